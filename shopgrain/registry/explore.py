@@ -1 +1,183 @@
-QUERIES = {}
+"""Queries over the exploratory views."""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import share_of_total
+from ..plans import explore
+from ..sources import warehouse
+
+
+def kpi_counts(spark, folder):
+    tables = warehouse.bronze(spark, folder)
+    tables["orders"] = warehouse.order_headers(spark, folder)
+    return explore.kpis(tables)
+
+
+def raw(spark, folder):
+    """Every dataset picked by name and reduced to its key, with the name."""
+    tables = warehouse.bronze(spark, folder)
+    tables["orders"] = warehouse.order_headers(spark, folder)
+    parts = []
+    for dataset in explore.DATASETS:
+        df = explore.raw(tables, dataset)
+        parts.append(
+            df.select(F.lit(dataset).alias("dataset"), F.col(df.columns[0]).cast("string").alias("key"))
+        )
+    return reduce(DataFrame.unionAll, parts)
+
+
+def price_stats(spark, folder):
+    stats = explore.price_stats(warehouse.products(spark, folder))
+    rounded = [c for c in stats.columns if c not in ("category", "n")]
+    return stats.select("category", "n", *[F.round(c, 4).alias(c) for c in rounded])
+
+
+_STATS_SQL = """
+with q as (
+  select p_type as category, count(*) as n, min(p_retailprice) as min_price,
+         quantile_cont(p_retailprice, 0.25) as q1, quantile_cont(p_retailprice, 0.5) as median,
+         quantile_cont(p_retailprice, 0.75) as q3, max(p_retailprice) as max_price
+  from part group by p_type
+)
+select category, n, round(min_price, 4) as min_price, round(q1, 4) as q1,
+       round(median, 4) as median, round(q3, 4) as q3, round(max_price, 4) as max_price,
+       round(q1 - (q3 - q1) * 1.5, 4) as lower_fence, round(q3 + (q3 - q1) * 1.5, 4) as upper_fence
+from q
+"""
+
+
+def price_histogram(spark, folder):
+    return explore.price_histogram(warehouse.products(spark, folder), 20, by_category=True)
+
+
+_HISTOGRAM_SQL = """
+with v as (select p_type as category, round(p_retailprice * 100)::bigint as v from part),
+b as (select category, min(v) as lo, max(v) as hi from v group by category),
+j as (
+  select category, lo, hi,
+         (case when hi = lo then 1 else least((v - lo) * 20 // (hi - lo) + 1, 20) end)::int as bin
+  from v join b using (category)
+)
+select category, bin, (lo + (hi - lo) * (bin - 1) / 20) / 100 as bin_start,
+       (lo + (hi - lo) * bin / 20) / 100 as bin_end, count(*) as count
+from j group by category, bin, lo, hi
+"""
+
+
+def share(spark, folder):
+    """Shares behind each chart that shows parts of a whole."""
+    tables = warehouse.bronze(spark, folder)
+    headers = warehouse.order_headers(spark, folder)
+    charts = {
+        "category": explore.category_counts(tables["products"]),
+        "city": explore.city_counts(tables["customers"]),
+        "status": explore.status_counts(headers),
+        "device": explore.device_counts(tables["events"]),
+    }
+    parts = [
+        share_of_total(counts).select(
+            F.lit(chart).alias("chart"),
+            F.col(counts.columns[0]).alias("value"),
+            "count",
+            F.round("share", 10).alias("share"),
+        )
+        for chart, counts in charts.items()
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
+_DEVICE = "list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int % 3 + 1)"
+
+_SHARE_SQL = f"""
+with v as (
+  select 'category' as chart, p_type as value from part
+  union all select 'city', coalesce(n_name, 'Unknown')
+    from customer left join nation on n_nationkey = c_nationkey
+  union all select 'status', o_orderstatus from orders
+  union all select 'device', {_DEVICE} from events
+), c as (select chart, value, count(*) as count from v where value is not null group by all)
+select chart, value, count,
+       round(count / sum(count) over (partition by chart), 10) as share from c
+"""
+
+
+def _counts_sql(value: str, name: str, source: str) -> str:
+    return (
+        f"select {value} as {name}, count(*) as count from {source} "
+        f"where {value} is not null group by all"
+    )
+
+
+QUERIES = {
+    "kpi_counts": (
+        kpi_counts,
+        """select 'products' as table_name, count(*) as row_count from part
+           union all select 'customers', count(*) from customer
+           union all select 'orders', count(*) from orders
+           union all select 'events', count(*) from events""",
+    ),
+    "explore_raw": (
+        raw,
+        """select 'Products' as dataset, p_partkey::varchar as key from part
+           union all select 'Customers', c_custkey::varchar from customer
+           union all select 'Orders', o_orderkey::varchar from orders
+           union all select 'Events', event_id::varchar from events""",
+    ),
+    "explore_price_stats": (price_stats, _STATS_SQL),
+    "explore_price_histogram": (price_histogram, _HISTOGRAM_SQL),
+    "explore_share": (share, _SHARE_SQL),
+    "explore_ratings": (
+        lambda spark, folder: explore.ratings(warehouse.products(spark, folder)),
+        """select p_partkey as id, (p_size * 10)::bigint as count,
+                  (p_size % 5 + 0.5)::double as rate from part where p_size is not null""",
+    ),
+    "explore_customer_list": (
+        lambda spark, folder: explore.customer_list(warehouse.customers(spark, folder)),
+        """select c_custkey as id, lower(c_name) || '@email.com' as email, c_name as username
+           from customer""",
+    ),
+    "explore_category_counts": (
+        lambda spark, folder: explore.category_counts(warehouse.products(spark, folder)),
+        _counts_sql("p_type", "category", "part"),
+    ),
+    "explore_city_counts": (
+        lambda spark, folder: explore.city_counts(warehouse.customers(spark, folder)),
+        _counts_sql(
+            "coalesce(n_name, 'Unknown')", "city",
+            "customer left join nation on n_nationkey = c_nationkey",
+        ),
+    ),
+    "explore_status_counts": (
+        lambda spark, folder: explore.status_counts(warehouse.order_headers(spark, folder)),
+        _counts_sql("o_orderstatus", "status", "orders"),
+    ),
+    "explore_event_counts": (
+        lambda spark, folder: explore.event_counts(warehouse.events(spark, folder)),
+        _counts_sql("event_type", "event_type", "events"),
+    ),
+    "explore_device_counts": (
+        lambda spark, folder: explore.device_counts(warehouse.events(spark, folder)),
+        _counts_sql(_DEVICE, "device", "events"),
+    ),
+    "explore_daily_orders": (
+        lambda spark, folder: explore.daily_orders(warehouse.order_headers(spark, folder)),
+        _counts_sql("o_orderdate::date", "date", "orders"),
+    ),
+    "explore_search": (
+        lambda spark, folder: explore.search(
+            warehouse.table(spark, folder, "part"), "p_name", "ring", F.col("p_size") >= 10
+        ),
+        "select * from part where p_name like '%ring%' and p_size >= 10",
+    ),
+    "explore_preview": (
+        lambda spark, folder: explore.preview(
+            warehouse.table(spark, folder, "part"), "p_partkey", 20
+        ),
+        "select * from part order by p_partkey limit 20",
+    ),
+}
