@@ -1 +1,361 @@
-QUERIES = {}
+"""Queries that write the tables in some layout and read them back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import scratch
+from ..operators import nest_items
+from ..plans import silver
+from ..schemas import BRONZE_PRODUCTS
+from ..sinks import (
+    export_csv,
+    run_summary,
+    write_bronze_json,
+    write_documents,
+    write_events,
+    write_table,
+)
+from ..sources import (
+    current_lookup,
+    discover,
+    evolve,
+    query,
+    read_bronze,
+    read_day,
+    read_documents,
+    register,
+    warehouse,
+)
+from .cleaning import PRODUCTS_SQL
+from .common import AS_OF, ITEMS_CTE, LOAD_TIME, lake, plain
+
+
+def _on(day):
+    return F.lit(day).cast("date").alias("day")
+
+
+def bronze_products(spark, folder):
+    path = scratch.new_path(spark, "bronze-products")
+    write_documents(
+        warehouse.products(spark, folder).select("*", _on(AS_OF)), path, "day"
+    )
+    return read_bronze(spark, path, "products").select(
+        "id", "title", F.col("price").cast("double").alias("price"), "description", "category",
+        "image", "rating.rate", "rating.count", "ingest_date",
+    )
+
+
+_BRONZE_PRODUCTS_SQL = f"""
+select p_partkey as id, p_name as title, p_retailprice as price, p_brand as description,
+       p_type as category, '/img/' || p_partkey || '.jpg' as image,
+       (p_size % 5 + 0.5)::double as rate, (p_size * 10)::bigint as count,
+       date '{AS_OF}' as ingest_date
+from part
+"""
+
+
+def bronze_customers(spark, folder):
+    path = scratch.new_path(spark, "bronze-customers")
+    people = warehouse.customers(spark, folder)
+    # Documents as they arrive: no country in the address.
+    address = F.col("address").dropFields("country")
+    write_documents(people.withColumn("address", address).select("*", _on(AS_OF)), path, "day")
+    return read_bronze(spark, path, "customers").select(
+        "id", "email", "username", "name.firstname", "name.lastname", "address.city",
+        "address.number", "address.country", "phone", "ingest_date",
+    )
+
+
+_BRONZE_CUSTOMERS_SQL = f"""
+select c_custkey as id, lower(c_name) || '@email.com' as email, c_name as username,
+       split_part(c_name, '#', 1) as firstname, split_part(c_name, '#', 2) as lastname,
+       n_name as city, c_nationkey::bigint as number, null::varchar as country,
+       c_name as phone, date '{AS_OF}' as ingest_date
+from customer left join nation on n_nationkey = c_nationkey
+"""
+
+
+def _order_documents(spark, folder):
+    """Orders with their items, ingested at the end of the month they were made in."""
+    fields = {"productId": F.col("productId"), "quantity": F.col("quantity")}
+    nested = nest_items(warehouse.items(spark, folder), ["id"], fields, "products")
+    return (
+        warehouse.order_headers(spark, folder)
+        .join(nested, "id", "left")
+        .withColumn("day", F.last_day(F.to_date("date")))
+    )
+
+
+def bronze_orders(spark, folder):
+    """The documents' own date differs from the day of their folder."""
+    path = scratch.new_path(spark, "bronze-orders")
+    write_documents(_order_documents(spark, folder), path, "day")
+    quantity = F.aggregate(
+        "products", F.lit(0).cast("bigint"), lambda total, item: total + item["quantity"]
+    )
+    return (
+        read_bronze(spark, path, "orders")
+        .groupBy("id", "userId", "date", "status", "ingest_date")
+        .agg(
+            F.sum(F.coalesce(F.size("products"), F.lit(0))).alias("items"),
+            F.sum(quantity).alias("quantity"),
+        )
+    )
+
+
+_BRONZE_ORDERS_SQL = """
+select o_orderkey as id, o_custkey as "userId", strftime(o_orderdate, '%Y-%m-%d') as date,
+       o_orderstatus as status, last_day(o_orderdate::date) as ingest_date,
+       count(l_orderkey) as items, sum(l_quantity)::bigint as quantity
+from orders left join lineitem on l_orderkey = o_orderkey
+group by o_orderkey, o_custkey, o_orderdate, o_orderstatus
+"""
+
+
+def _events_by_day(spark, folder):
+    path = scratch.new_path(spark, "bronze-events")
+    events = warehouse.events(spark, folder)
+    write_events(events, path, F.to_date(F.to_timestamp("timestamp")))
+    return path
+
+
+def bronze_events(spark, folder):
+    path = _events_by_day(spark, folder)
+    return read_bronze(spark, path, "events", multi_line=False).select(
+        "event_id", "event_type", "timestamp", "user_id", "device", "ingest_date"
+    )
+
+
+_DEVICE = "list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int % 3 + 1)"
+
+_BRONZE_EVENTS_SQL = f"""
+select event_id::varchar as event_id, event_type,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, user_id, {_DEVICE} as device,
+       ts::date as ingest_date
+from events
+"""
+
+
+def tolerant_json(spark, folder):
+    """Lists and single objects, next to a broken file and one of another kind."""
+    path = scratch.new_path(spark, "mixed")
+    products = warehouse.products(spark, folder)
+    first = products.agg(F.min("id")).scalar()
+    single = F.col("id") == first
+    write_documents(products.filter(~single), f"{path}/lists")
+    products.filter(single).coalesce(1).write.json(f"{path}/objects")
+    spark.range(1).select(F.lit('[{"id": 1, "title": ').alias("value")).coalesce(1).write.text(
+        f"{path}/broken"
+    )
+    export_csv(products.select("id", "title"), f"{path}/other")
+    found = read_documents(spark, path, BRONZE_PRODUCTS, pattern="*.{txt,json}")
+    return found.select("id", "title", F.col("price").cast("double").alias("price"), "category")
+
+
+def day_partition(spark, folder):
+    """The orders ingested on the last day there is."""
+    path = scratch.new_path(spark, "days")
+    documents = _order_documents(spark, folder)
+    write_documents(documents, f"{path}/orders", "day")
+    last = warehouse.table(spark, folder, "orders").agg(
+        F.last_day(F.to_date(F.max("o_orderdate"))).alias("day")
+    )
+    return read_day(spark, path, "orders", last.first().day).select("id", "userId", "date", "status")
+
+
+def dim_lookup(spark, folder):
+    products = current_lookup(
+        lake(spark, folder).table("dim_products"), "product_id", "price", "category"
+    )
+    return plain(products)
+
+
+def stored_fact(spark, folder):
+    fact = lake(spark, folder).table("fact_orders")
+    return plain(fact, "product_key", "customer_key", "load_timestamp", "discount")
+
+
+_FACT_SQL = f"""
+with {ITEMS_CTE}
+select order_id, order_date, customer_id, product_id, category, quantity,
+       revenue::double as revenue, cost::double as cost, profit::double as profit,
+       year, month, day
+from fact
+"""
+
+
+def stored_dims(spark, folder):
+    house = lake(spark, folder)
+    goods = house.table("dim_products").filter("is_current").select(
+        F.lit("product").alias("dimension"), F.col("product_id").alias("id"),
+        F.col("product_name").alias("name"), F.col("category").alias("folder"),
+    )
+    people = house.table("dim_customers").filter("is_current").select(
+        F.lit("customer"), "customer_id", "full_name", "country"
+    )
+    days = house.table("dim_date").select(
+        F.lit("day"), F.col("date_key").cast("string"), "day_name", "month_name"
+    )
+    return goods.unionAll(people).unionAll(days)
+
+
+_STORED_DIMS_SQL = """
+select 'product' as dimension, p_partkey::varchar as id, p_name as name, p_type as folder from part
+union all
+select 'customer', c_custkey::varchar, replace(c_name, '#', ' '), coalesce(r_name, 'US')
+from customer left join nation on n_nationkey = c_nationkey
+left join region on r_regionkey = n_regionkey
+union all
+select 'day', strftime(d, '%Y%m%d'), dayname(d), monthname(d)
+from (select unnest(generate_series(timestamp '1995-01-01', timestamp '2001-12-31',
+                                    interval 1 day)) as d)
+"""
+
+
+def discover_evolve(spark, folder):
+    """Two deliveries, the second with one more column; both stay readable."""
+    path = scratch.new_path(spark, "deliveries")
+    parts = warehouse.table(spark, folder, "part")
+    parts.select("p_partkey", "p_name").write.json(f"{path}/1")
+    parts.select("p_partkey", "p_name", "p_size").write.json(f"{path}/2")
+    found = [discover(spark, f"{path}/{n}", multi_line=False) for n in (1, 2)]
+    return evolve(found)
+
+
+def catalog_sql(spark, folder):
+    tables = {name: warehouse.table(spark, folder, name) for name in ("orders", "lineitem")}
+    register(spark, {f"catalog_{name}": df for name, df in tables.items()})
+    return query(
+        spark,
+        """select o_orderstatus, count(*) as items,
+                  cast(sum(cast(l_extendedprice as decimal(12,2))) as double) as price
+           from catalog_orders join catalog_lineitem on l_orderkey = o_orderkey
+           group by o_orderstatus""",
+    )
+
+
+def roundtrip_partitioned(spark, folder):
+    path = scratch.new_path(spark, "by-month")
+    products = silver.clean_products(warehouse.products(spark, folder), LOAD_TIME)
+    write_table(products, path, ["category"])
+    stored = spark.read.parquet(path)
+    return plain(stored, "product_key", "load_timestamp")
+
+
+def roundtrip_flat(spark, folder):
+    path = scratch.new_path(spark, "flat")
+    write_table(warehouse.table(spark, folder, "customer"), path)
+    return spark.read.parquet(path)
+
+
+def dynamic_overwrite(spark, folder):
+    """Everything written as version 1, the years from 2000 on again as version 2."""
+    path = scratch.new_path(spark, "versions")
+    orders = warehouse.table(spark, folder, "orders").select(
+        "o_orderkey", F.year("o_orderdate").alias("order_year")
+    )
+    write_table(orders.withColumn("version", F.lit(1)), path, ["order_year"])
+    again = orders.filter(F.col("order_year") >= 2000).withColumn("version", F.lit(2))
+    write_table(again, path, ["order_year"], incremental=True)
+    return spark.read.parquet(path).select("o_orderkey", "version", "order_year")
+
+
+def bronze_json(spark, folder):
+    path = scratch.new_path(spark, "lines")
+    headers = warehouse.order_headers(spark, folder)
+    write_bronze_json(headers, path, F.last_day(F.to_date("date")))
+    schema = headers.schema.add("ingest_date", "date")
+    return spark.read.schema(schema).json(path)
+
+
+def events_by_day(spark, folder):
+    """Rows per folder, the folder names being read as text."""
+    path = _events_by_day(spark, folder)
+    schema = "event_id string, year string, month string, day string"
+    return spark.read.schema(schema).json(path).select("event_id", "year", "month", "day")
+
+
+def csv_export(spark, folder):
+    path = scratch.new_path(spark, "csv")
+    people = warehouse.table(spark, folder, "customer")
+    export_csv(people, path)
+    return spark.read.schema(people.schema).option("header", True).csv(path)
+
+
+def rows_in_and_out(spark, folder):
+    house = lake(spark, folder)
+    bronze = warehouse.bronze(spark, folder)
+    return run_summary(
+        {
+            "dim_products": (bronze["products"], house.table("dim_products")),
+            "dim_customers": (bronze["customers"], house.table("dim_customers")),
+            "fact_orders": (warehouse.items(spark, folder), house.table("fact_orders")),
+        }
+    )
+
+
+QUERIES = {
+    "src_bronze_products": (bronze_products, _BRONZE_PRODUCTS_SQL),
+    "src_bronze_customers": (bronze_customers, _BRONZE_CUSTOMERS_SQL),
+    "src_bronze_orders": (bronze_orders, _BRONZE_ORDERS_SQL),
+    "src_bronze_events": (bronze_events, _BRONZE_EVENTS_SQL),
+    "src_tolerant_json": (
+        tolerant_json,
+        "select p_partkey as id, p_name as title, p_retailprice as price, p_type as category from part",
+    ),
+    "src_day_partition": (
+        day_partition,
+        """select o_orderkey as id, o_custkey as "userId",
+                  strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status
+           from orders
+           where last_day(o_orderdate::date) = (select last_day(max(o_orderdate)::date) from orders)
+        """,
+    ),
+    "src_dim_lookup": (
+        dim_lookup,
+        """select p_partkey::varchar as product_id, p_retailprice::double as price,
+                  p_type as category from part""",
+    ),
+    "src_fact": (stored_fact, _FACT_SQL),
+    "src_dim_gold": (stored_dims, _STORED_DIMS_SQL),
+    "cat_discover_evolve": (
+        discover_evolve,
+        """select p_partkey, p_name, null::bigint as p_size from part
+           union all select p_partkey, p_name, p_size from part""",
+    ),
+    "cat_sql": (
+        catalog_sql,
+        """select o_orderstatus, count(*) as items,
+                  sum(l_extendedprice::decimal(12,2))::double as price
+           from orders join lineitem on l_orderkey = o_orderkey group by o_orderstatus""",
+    ),
+    "sink_roundtrip_partitioned": (roundtrip_partitioned, PRODUCTS_SQL),
+    "sink_roundtrip_flat": (roundtrip_flat, "select * from customer"),
+    "sink_dynamic_overwrite": (
+        dynamic_overwrite,
+        """select o_orderkey, (case when year(o_orderdate) >= 2000 then 2 else 1 end)::int
+                  as version, year(o_orderdate)::int as order_year from orders""",
+    ),
+    "sink_bronze_json": (
+        bronze_json,
+        """select o_orderkey as id, o_custkey as "userId",
+                  strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status,
+                  last_day(o_orderdate::date) as ingest_date from orders""",
+    ),
+    "sink_bronze_events": (
+        events_by_day,
+        """select event_id::varchar as event_id, strftime(ts, '%Y') as year,
+                  strftime(ts, '%m') as month, strftime(ts, '%d') as day from events""",
+    ),
+    "sink_csv_export": (csv_export, "select * from customer"),
+    "run_summary": (
+        rows_in_and_out,
+        """select 'dim_products' as table_name, count(*) as rows_in, count(*) as rows_out,
+                  0::bigint as removed from part
+           union all select 'dim_customers', count(*), count(*), 0 from customer
+           union all select 'fact_orders', count(*), count(o_orderkey),
+                            count(*) - count(o_orderkey)
+             from lineitem left join orders on o_orderkey = l_orderkey""",
+    ),
+}

@@ -1 +1,79 @@
-QUERIES = {}
+"""Queries over watermarks, incremental loads and the file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import scratch
+from ..sources import warehouse
+from ..streaming import current_watermarks, filter_since, last_run, load_available, record_run
+
+
+def watermark_upsert(spark, folder):
+    """A log with one run per order, loads being named by priority: last one wins."""
+    path = scratch.new_path(spark, "watermarks")
+    runs = warehouse.table(spark, folder, "orders").select(
+        F.col("o_orderpriority").alias("pipeline_name"),
+        F.to_date("o_orderdate").alias("last_run_date"),
+        (
+            F.timestamp_seconds(F.unix_date(F.to_date("o_orderdate")) * 86400 + F.col("o_orderkey"))
+        ).alias("last_run_timestamp"),
+        F.lit("completed").alias("status"),
+    )
+    runs.write.mode("append").parquet(path)
+    text = F.date_format("last_run_timestamp", "yyyy-MM-dd HH:mm:ss")
+    return current_watermarks(spark, path).withColumn("last_run_timestamp", text)
+
+
+_UPSERT_SQL = """
+with log as (
+  select o_orderpriority as pipeline_name, o_orderdate::date as last_run_date,
+         o_orderdate::date + to_seconds(o_orderkey) as run_at, 'completed' as status
+  from orders
+)
+select pipeline_name, arg_max(last_run_date, run_at) as last_run_date,
+       strftime(max(run_at), '%Y-%m-%d %H:%M:%S') as last_run_timestamp, 'completed' as status
+from log group by pipeline_name
+"""
+
+
+def by_watermark(spark, folder):
+    path = scratch.new_path(spark, "watermarks")
+    record_run(spark, path, "orders", "2001-05-01", "2001-05-01 06:00:00")
+    record_run(spark, path, "orders", "2001-07-01", "2001-07-01 06:00:00")
+    headers = warehouse.table(spark, folder, "orders").select(
+        "o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date")
+    )
+    return filter_since(headers, "order_date", last_run(spark, path, "orders"))
+
+
+def stream_available(spark, folder):
+    """Load the events file, ask for more, and count what was stored."""
+    schema = warehouse.table(spark, folder, "events").schema
+    target = scratch.new_path(spark, "events")
+    checkpoint = scratch.new_path(spark, "events-checkpoint")
+    for _ in range(2):
+        load_available(
+            spark, folder, target, schema, checkpoint, file_format="parquet",
+            pattern="events.parquet",
+        )
+    return (
+        spark.read.parquet(target)
+        .groupBy("event_type")
+        .agg(F.count("*").alias("count"), F.count_distinct("batch_id").alias("batches"))
+    )
+
+
+QUERIES = {
+    "inc_watermark_upsert": (watermark_upsert, _UPSERT_SQL),
+    "inc_filter_by_watermark": (
+        by_watermark,
+        """select o_orderkey, o_custkey, o_orderdate::date as order_date from orders
+           where o_orderdate::date > date '2001-07-01'""",
+    ),
+    "inc_stream_available_now": (
+        stream_available,
+        """select event_type, count(*) as count, 1::bigint as batches
+           from events group by event_type""",
+    ),
+}

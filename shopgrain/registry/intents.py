@@ -1 +1,146 @@
-QUERIES = {}
+"""Queries over row history, trends, retention and typed events."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ..functions import run_time
+from ..operators import merge_history, open_versions
+from ..plans import gold, silver
+from ..sources import warehouse
+from .common import AS_OF, ITEMS_CTE, LOAD_TIME, cents, half_up, lake, plain
+from .gold import COHORT_CTE
+
+
+def scd2(spark, folder):
+    """Parts loaded once, then again with dearer small parts and new brands missing."""
+    parts = warehouse.table(spark, folder, "part").select(
+        F.col("p_partkey").alias("product_id"),
+        F.col("p_name").alias("product_name"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
+        "p_size",
+        "p_brand",
+    )
+    loaded = run_time(LOAD_TIME)
+    old = open_versions(
+        parts.filter(F.col("p_brand") != "Brand#2"), "product_key", "product_id", loaded
+    )
+    new = parts.filter(F.col("p_brand") != "Brand#3").withColumn(
+        "price", F.when(F.col("p_size") < 15, F.col("price") + 1).otherwise(F.col("price"))
+        .cast("decimal(10,2)")
+    )
+    snapshot = open_versions(new, "product_key", "product_id", loaded)
+    merged = merge_history(
+        old, snapshot, "product_key", "product_id", ["product_name", "price"],
+        AS_OF + dt.timedelta(days=30), close_missing=True,
+    )
+    return plain(merged, "product_key", "load_timestamp", "p_size", "p_brand")
+
+
+_SCD2_SQL = f"""
+with p as (
+  select p_partkey as product_id, p_name as product_name, p_retailprice::decimal(10,2) as price,
+         p_size < 15 as dearer, p_brand <> 'Brand#2' as was, p_brand <> 'Brand#3' as stays,
+         date '{AS_OF}' as first_day, date '{AS_OF}' + 30 as next_day
+  from part
+)
+select product_id, product_name, price::double as price, first_day as effective_date,
+       case when stays and not dearer then date '2099-12-31' else next_day end::date
+         as expiration_date,
+       stays and not dearer as is_current
+from p where was
+union all
+select product_id, product_name, (price + dearer::int)::double, next_day::date,
+       date '2099-12-31', true
+from p where stays and (not was or dearer)
+"""
+
+
+def growth(spark, folder):
+    fact = lake(spark, folder).table("fact_orders")
+    return plain(gold.category_growth(gold.category_analysis(fact, LOAD_TIME)))
+
+
+_GROWTH_SQL = f"""
+with {ITEMS_CTE},
+c as (select category, year, month, sum(revenue) as r from fact group by all),
+g as (select *, lag(r) over (partition by category order by year, month) as p from c)
+select category, year, month, r::double as total_revenue, p::double as previous_revenue,
+       (r - p)::double as revenue_change,
+       {half_up("100 * " + cents("r - p"), cents("p"), 2)} as growth_percent
+from g
+"""
+
+
+def retention(spark, folder):
+    fact = lake(spark, folder).table("fact_orders")
+    return plain(gold.cohort_retention(gold.cohort_analysis(fact, LOAD_TIME)))
+
+
+_RETENTION_SQL = f"""
+with {COHORT_CTE},
+s as (
+  select *, first_value(active_customers) over (
+    partition by cohort_year, cohort_month order by months_since_first_purchase) as cohort_size
+  from cohorts
+)
+select cohort_year, cohort_month, months_since_first_purchase, active_customers, cohort_size,
+       {half_up("100 * active_customers", "cohort_size", 2)} as retention_percent
+from s
+"""
+
+
+def rollup(spark, folder):
+    return plain(gold.daily_category_rollup(lake(spark, folder).table("fact_orders")))
+
+
+def lifetime_value(spark, folder):
+    house = lake(spark, folder)
+    filled = gold.with_lifetime_value(house.table("dim_customers"), house.table("fact_orders"))
+    return plain(filled.select("customer_id", "segment", "lifetime_value"))
+
+
+def typed_events(spark, folder):
+    events = silver.clean_events(warehouse.events(spark, folder))
+    return events.select(
+        "event_id",
+        "event_type",
+        F.unix_micros("event_time").alias("micros"),
+        "event_date",
+        "customer_id",
+        "device",
+    )
+
+
+QUERIES = {
+    "scd2_merge": (scd2, _SCD2_SQL),
+    "category_growth": (growth, _GROWTH_SQL),
+    "cohort_retention": (retention, _RETENTION_SQL),
+    "daily_category_rollup": (
+        rollup,
+        f"""with {ITEMS_CTE}
+        select order_date, category, grouping(order_date, category)::int as level,
+               sum(revenue)::double as total_revenue, sum(quantity)::bigint as total_quantity,
+               count(*) as total_items
+        from fact group by rollup (order_date, category)""",
+    ),
+    "customer_ltv_backfill": (
+        lifetime_value,
+        f"""with {ITEMS_CTE}
+        select c_custkey::varchar as customer_id,
+               case when c_custkey % 10 = 0 then 'VIP' when c_custkey % 5 = 0 then 'ACTIVE'
+                    else 'NEW' end as segment,
+               coalesce(sum(revenue), 0)::double as lifetime_value
+        from customer left join fact on customer_id = c_custkey::varchar group by c_custkey""",
+    ),
+    "silver_events": (
+        typed_events,
+        """select event_id::varchar as event_id, event_type, epoch_us(ts) as micros,
+                  ts::date as event_date, user_id::varchar as customer_id,
+                  list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int % 3 + 1)
+                    as device
+           from events""",
+    ),
+}
