@@ -16,7 +16,7 @@ from .quality import (
     summarize,
     verdict,
 )
-from .ranking import dense_rank, exact_quantiles, running_total
+from .ranking import dense_rank, exact_quantiles, running_total, small_dense_rank
 
 __all__ = [
     "NotNull",
@@ -37,6 +37,7 @@ __all__ = [
     "open_versions",
     "running_total",
     "share_of_total",
+    "small_dense_rank",
     "summarize",
     "surrogate_key",
     "table_counts",

@@ -224,16 +224,20 @@ def check(
     )
 
 
-def summarize(results: DataFrame) -> DataFrame:
-    """Checks passed and failed per table."""
+def _summary_columns() -> list[Column]:
     total, passed = F.count("*"), F.count_if("passed")
-    return results.groupBy("table_name").agg(
+    return [
         total.alias("total_checks"),
         passed.alias("checks_passed"),
         (total - passed).alias("checks_failed"),
         F.bround(passed / total * 100, 2).alias("success_rate"),
         (total == passed).alias("all_passed"),
-    )
+    ]
+
+
+def summarize(results: DataFrame) -> DataFrame:
+    """Checks passed and failed per table."""
+    return results.groupBy("table_name").agg(*_summary_columns())
 
 
 def result_records(results: DataFrame, run_id: str, timestamp: dt.datetime | str) -> DataFrame:
@@ -242,24 +246,14 @@ def result_records(results: DataFrame, run_id: str, timestamp: dt.datetime | str
     A table has as many results as it has rules, so the array is small.
     """
     fields = [c for c in results.columns if c != "table_name"]
-    texts = results.groupBy("table_name").agg(
-        F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("results")
-    )
-    return (
-        summarize(results)
-        .join(texts, "table_name")
-        .select(
-            F.concat_ws("_", "table_name", F.lit(run_id)).alias("check_id"),
-            F.lit(timestamp).cast("timestamp").alias("timestamp"),
-            "table_name",
-            F.lit(run_id).alias("run_id"),
-            "total_checks",
-            "checks_passed",
-            "checks_failed",
-            "success_rate",
-            "all_passed",
-            "results",
-        )
+    texts = F.to_json(F.array_sort(F.collect_list(F.struct(*fields)))).alias("results")
+    stored = results.groupBy("table_name").agg(*_summary_columns(), texts)
+    return stored.select(
+        F.concat_ws("_", "table_name", F.lit(run_id)).alias("check_id"),
+        F.lit(timestamp).cast("timestamp").alias("timestamp"),
+        "table_name",
+        F.lit(run_id).alias("run_id"),
+        *stored.columns[1:],
     )
 
 

@@ -20,12 +20,18 @@ from .joins import match
 _MAX_RANGES = 1024
 
 
-def _range_number(points: DataFrame, value: str, ranges: int) -> DataFrame:
-    """Add ``_range``: the number of cut values below ``value``, -1 for null."""
+def _range_number(points: DataFrame, value: str, weight: str, ranges: int) -> DataFrame:
+    """Add ``_range``: the number of cut values below ``value``, -1 for null.
+
+    The cut values come from a subquery, which Spark evaluates once for all uses
+    of the frame. The filter on the weight leaves it the same columns as the
+    frame itself, so that it starts from the same shuffled points.
+    """
     step = math.isqrt(ranges - 1) + 1
     fractions = [i / ranges for i in range(1, ranges)]
     # One row: all cut values, and each step-th of them to look those up by.
-    cuts = points.agg(F.percentile_approx(value, fractions).alias("fine")).select(
+    weighted = points.filter(F.col(weight) > 0)
+    cuts = weighted.agg(F.percentile_approx(value, fractions).alias("fine")).select(
         F.struct(
             "fine", F.expr(f"filter(fine, (c, i) -> (i + 1) % {step} = 0)").alias("coarse")
         )
@@ -60,7 +66,7 @@ def running_total(
     if ranges is None:
         ranges = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranges = min(max(ranges, 2), _MAX_RANGES)
-    placed = _range_number(points, value, ranges)
+    placed = _range_number(points, value, weight, ranges)
 
     def direction(column: str) -> Column:
         return F.desc(column) if descending else F.asc(column)
@@ -103,13 +109,22 @@ def dense_rank(
 ) -> DataFrame:
     """Dense rank of ``value`` within its group, as a long column ``name``.
 
-    Only the distinct values are ordered; the rows then look their rank up.
+    Only the distinct values are ordered; the rows then look their rank up, so
+    a value that very many rows share is ordered once.
     """
     groups = list(groups)
     points = df.select(*groups, value).distinct().withColumn("_one", F.lit(1).cast("bigint"))
     ranks = running_total(points, value, "_one", name, groups, descending, ranges)
-    ranks = ranks.select(*groups, value, name)
-    return match(df, ranks, [*groups, value])
+    return match(df, ranks.select(*groups, value, name), [*groups, value])
+
+
+def small_dense_rank(
+    df: DataFrame, value: str, name: str, groups: Sequence[str] = (), descending: bool = True
+) -> DataFrame:
+    """The same by a plain window, for tables known to fit one task."""
+    order = F.desc(value) if descending else F.asc(value)
+    rank = F.dense_rank().over(Window.partitionBy(*groups).orderBy(order))
+    return df.withColumn(name, rank.cast("bigint"))
 
 
 def exact_quantiles(

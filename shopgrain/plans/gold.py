@@ -22,7 +22,7 @@ from ..functions import (
     run_time,
     threshold_score,
 )
-from ..operators import dense_rank, lookup
+from ..operators import dense_rank, lookup, small_dense_rank
 
 When = dt.datetime | str | None
 
@@ -89,15 +89,31 @@ def product_totals(fact: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(fact: DataFrame, products: DataFrame, as_of: When = None) -> DataFrame:
+def product_revenue(fact: DataFrame) -> DataFrame:
+    """Revenue per product, all that the rankings need."""
+    return fact.groupBy("product_id", "category").agg(F.sum("revenue").alias("total_revenue"))
+
+
+# Up to this many products one task may rank them all.
+ONE_TASK_ROWS = 1_000_000
+
+
+def product_performance(
+    fact: DataFrame,
+    products: DataFrame,
+    as_of: When = None,
+    one_task_rows: int = ONE_TASK_ROWS,
+) -> DataFrame:
     """``product_performance``: totals, ratios and revenue ranks per product.
 
-    The totals are written to a scratch table first: the ranking reads them
-    several times, and the fact should be aggregated only once.
+    The totals are written to a scratch table first: the fact is aggregated
+    once, and the table's row count tells whether its ranking fits one task or
+    has to be spread.
     """
     totals = scratch.materialize(product_totals(fact), "product-totals")
-    ranked = dense_rank(totals, "total_revenue", "revenue_rank_overall")
-    ranked = dense_rank(ranked, "total_revenue", "revenue_rank_in_category", ["category"])
+    rank = small_dense_rank if totals.count() <= one_task_rows else dense_rank
+    ranked = rank(totals, "total_revenue", "revenue_rank_overall")
+    ranked = rank(ranked, "total_revenue", "revenue_rank_in_category", ["category"])
     goods = products.filter("is_current").select("product_id", "product_name", "price", "rating")
     return lookup(ranked, goods, "product_id").select(
         "product_id",

@@ -18,7 +18,7 @@ from ..functions import (
     run_time,
     to_day,
 )
-from ..operators import latest_per_key, lookup, open_versions, unmatched
+from ..operators import latest_per_key, lookup, open_versions
 
 When = dt.datetime | str | None
 
@@ -173,16 +173,17 @@ def rejected_items(
     orders: DataFrame, products: DataFrame, customers: DataFrame, dedup: bool = False
 ) -> DataFrame:
     """Order items that ``order_items`` leaves out, with the reason."""
-    items = _exploded(_ordered_items(orders, dedup))
-    goods = products.filter("is_current").select("product_id")
-    buyers = customers.filter("is_current").select("customer_id")
-    no_product = unmatched(items, goods, "product_id").withColumn(
-        "reason", F.lit("unknown product")
+    buyers = customers.filter("is_current").select("customer_id", F.lit(True).alias("_buyer"))
+    goods = products.filter("is_current").select("product_id", F.lit(True).alias("_good"))
+    sold = lookup(_ordered_items(orders, dedup), buyers, "customer_id")
+    items = lookup(_exploded(sold), goods, "product_id")
+    reason = F.when(F.col("_good").isNull(), "unknown product").when(
+        F.col("_buyer").isNull(), "unknown customer"
+    )
+    return (
+        items.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+        .drop("_buyer", "_good")
     )
-    no_customer = unmatched(
-        lookup(items, goods, "product_id", "inner"), buyers, "customer_id"
-    ).withColumn("reason", F.lit("unknown customer"))
-    return no_product.unionByName(no_customer)
 
 
 def clean_events(bronze: DataFrame) -> DataFrame:

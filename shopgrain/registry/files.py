@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import scratch
 from ..operators import nest_items
@@ -265,7 +266,7 @@ def bronze_json(spark, folder):
     path = scratch.new_path(spark, "lines")
     headers = warehouse.order_headers(spark, folder)
     write_bronze_json(headers, path, F.last_day(F.to_date("date")))
-    schema = headers.schema.add("ingest_date", "date")
+    schema = StructType(list(headers.schema)).add("ingest_date", "date")
     return spark.read.schema(schema).json(path)
 
 

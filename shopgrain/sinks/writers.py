@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +64,18 @@ def write_events(df: DataFrame, path: str, day: Column, mode: str = "append") ->
     )
 
 
+def _join_records(rows_per_document: int):
+    def arrays(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            # Null days go by an empty text, which no day has.
+            for day, records in batch.fillna({"date": ""}).groupby("date")["record"]:
+                for start in range(0, len(records), rows_per_document):
+                    text = ",".join(records.iloc[start : start + rows_per_document])
+                    yield pd.DataFrame({"date": [day], "value": [f"[{text}]"]}, dtype="object")
+
+    return arrays
+
+
 def write_documents(
     df: DataFrame,
     path: str,
@@ -72,19 +85,21 @@ def write_documents(
 ) -> None:
     """Files that hold one JSON array each, below ``date=<day>`` folders if asked.
 
-    A document takes at most ``rows_per_document`` rows of one input partition,
-    so none of them grows with the table however the days are distributed.
+    Every task joins the records of its own batches to arrays. So documents stay
+    small however the days are distributed, and a task that has to run again
+    writes the same records again, wherever it cuts the arrays.
     """
     fields = [c for c in df.columns if c != day]
-    folder = [F.date_format(day, "yyyy-MM-dd").alias("date")] if day else []
-    document = F.floor(F.monotonically_increasing_id() / rows_per_document).alias("document")
-    text = F.to_json(F.collect_list("record")).alias("value")
-    records = df.select(*folder, document, F.struct(*fields).alias("record"))
-    keys = [c for c in records.columns if c != "record"]
-    writer = (
-        records.groupBy(*keys).agg(text).drop("document")
-        .write.mode(mode).option("maxRecordsPerFile", 1)
-    )
+    folder = F.date_format(day, "yyyy-MM-dd") if day else F.lit("")
+    records = df.select(folder.alias("date"), F.to_json(F.struct(*fields)).alias("record"))
+    if day:
+        records = records.hint("rebalance", "date")
+    arrays = records.mapInPandas(_join_records(rows_per_document), "date string, value string")
+    if day:
+        arrays = arrays.withColumn("date", F.nullif("date", F.lit("")))
+    else:
+        arrays = arrays.drop("date")
+    writer = arrays.write.mode(mode).option("maxRecordsPerFile", 1)
     if day:
         writer = writer.partitionBy("date")
     writer.text(path)

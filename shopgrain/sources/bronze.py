@@ -75,7 +75,7 @@ def _with_broken(
 ) -> DataFrame | None:
     try:
         return (
-            spark.read.schema(schema.add(StructField(_BROKEN, StringType())))
+            spark.read.schema(StructType([*schema, StructField(_BROKEN, StringType())]))
             .option("multiLine", multi_line)
             .option("recursiveFileLookup", True)
             .option("pathGlobFilter", pattern)
@@ -107,11 +107,10 @@ def read_documents(
     Files may hold a list or a single object. Broken files and files that do
     not match ``pattern`` are left out; a missing path gives an empty frame.
     """
-    plain = StructType(list(schema))
-    frame = _with_broken(spark, path, StructType(list(schema)), pattern, multi_line)
+    frame = _with_broken(spark, path, schema, pattern, multi_line)
     if frame is None:
-        return spark.createDataFrame([], plain)
-    return frame.filter(~_unreadable(plain)).select([f"`{f.name}`" for f in plain])
+        return spark.createDataFrame([], schema)
+    return frame.filter(~_unreadable(schema)).select([f"`{name}`" for name in schema.names])
 
 
 def skipped_documents(
@@ -122,7 +121,7 @@ def skipped_documents(
     multi_line: bool = True,
 ) -> DataFrame:
     """Files that ``read_documents`` leaves out because they cannot be parsed."""
-    frame = _with_broken(spark, path, StructType(list(schema)), pattern, multi_line)
+    frame = _with_broken(spark, path, schema, pattern, multi_line)
     if frame is None:
         return spark.createDataFrame([], "file string, skipped bigint")
     return (
