@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import fit_shuffles
 from . import cleaning, explore, files, gold, incremental, intents, quality, scalars
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -13,8 +14,16 @@ Builder = Callable[[SparkSession, str], DataFrame]
 _MODULES = (files, cleaning, gold, explore, scalars, quality, incremental, intents)
 
 
+def _fitted(build: Builder) -> Builder:
+    def fitted(spark: SparkSession, folder: str) -> DataFrame:
+        fit_shuffles(spark, folder)
+        return build(spark, folder)
+
+    return fitted
+
+
 def queries() -> dict[str, Builder]:
-    return {name: build for module in _MODULES for name, (build, _) in module.QUERIES.items()}
+    return {name: _fitted(build) for module in _MODULES for name, (build, _) in module.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -29,3 +29,26 @@ def build_session(app_name: str = "shopgrain", master: str | None = None, **conf
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
+
+
+def fit_shuffles(
+    spark: SparkSession,
+    path: str,
+    bytes_per_partition: int = 256 * 1024**2,
+    most: int = 40_000,
+) -> int:
+    """Raise the number of shuffle partitions to suit the size of the input.
+
+    Adaptive execution merges partitions that turn out small but cannot cut a
+    shuffle finer than it was planned, so the number follows the bytes stored
+    below ``path`` and is never lowered.
+    """
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    stored = files.getContentSummary(folder).getLength()
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(current, min(-(-stored // bytes_per_partition), most))
+    if wanted != current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted

@@ -18,6 +18,9 @@ def connection(folder):
 def test_query_matches_sql(spark, folder, connection, name):
     df = QUERIES[name](spark, folder)
     assert oracle.differences(df, connection, SQL[name]) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert slow not in plan
 
 
 def test_every_query_has_sql():
