@@ -11,21 +11,13 @@ from pyspark.sql import functions as F
 from .joins import match
 
 
-def value_counts(df: DataFrame, column: str, missing: str | None = None) -> DataFrame:
-    """Rows per value, most frequent first, equal counts by value.
-
-    Nulls are left out, or counted under ``missing`` if that is given.
-    """
-    value = F.col(column)
-    if missing is None:
-        df = df.filter(value.isNotNull())
-    else:
-        value = F.coalesce(value, F.lit(missing))
-    name = column.split(".")[-1]
+def value_counts(df: DataFrame, column: str) -> DataFrame:
+    """Rows per value, most frequent first, equal counts by value; nulls left out."""
     return (
-        df.groupBy(value.alias(name))
+        df.filter(F.col(column).isNotNull())
+        .groupBy(column)
         .agg(F.count("*").alias("count"))
-        .orderBy(F.desc("count"), F.asc(name))
+        .orderBy(F.desc("count"), F.asc(column))
     )
 
 

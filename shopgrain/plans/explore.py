@@ -71,7 +71,9 @@ def ratings(products: DataFrame) -> DataFrame:
 
 
 def city_counts(customers: DataFrame) -> DataFrame:
-    return value_counts(customers, "address.city", missing="Unknown")
+    """Customers per city; those without an address count as unknown."""
+    city = F.when(F.col("address").isNull(), "Unknown").otherwise(F.col("address.city"))
+    return value_counts(customers.select(city.alias("city")), "city")
 
 
 def customer_list(customers: DataFrame) -> DataFrame:

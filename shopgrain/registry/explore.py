@@ -96,7 +96,7 @@ _DEVICE = "list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int %
 _SHARE_SQL = f"""
 with v as (
   select 'category' as chart, p_type as value from part
-  union all select 'city', coalesce(n_name, 'Unknown')
+  union all select 'city', n_name
     from customer left join nation on n_nationkey = c_nationkey
   union all select 'status', o_orderstatus from orders
   union all select 'device', {_DEVICE} from events
@@ -148,7 +148,7 @@ QUERIES = {
     "explore_city_counts": (
         lambda spark, folder: explore.city_counts(warehouse.customers(spark, folder)),
         _counts_sql(
-            "coalesce(n_name, 'Unknown')", "city",
+            "n_name", "city",
             "customer left join nation on n_nationkey = c_nationkey",
         ),
     ),

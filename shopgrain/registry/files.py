@@ -177,7 +177,7 @@ def stored_fact(spark, folder):
     return plain(fact, "product_key", "customer_key", "load_timestamp", "discount")
 
 
-_FACT_SQL = f"""
+FACT_SQL = f"""
 with {ITEMS_CTE}
 select order_id, order_date, customer_id, product_id, category, quantity,
        revenue::double as revenue, cost::double as cost, profit::double as profit,
@@ -318,7 +318,7 @@ QUERIES = {
         """select p_partkey::varchar as product_id, p_retailprice::double as price,
                   p_type as category from part""",
     ),
-    "src_fact": (stored_fact, _FACT_SQL),
+    "src_fact": (stored_fact, FACT_SQL),
     "src_dim_gold": (stored_dims, _STORED_DIMS_SQL),
     "cat_discover_evolve": (
         discover_evolve,

@@ -5,8 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import scratch
+from ..schemas import PARTITIONING
+from ..sinks import write_table
 from ..sources import warehouse
-from ..streaming import current_watermarks, filter_since, last_run, load_available, record_run
+from ..streaming import (
+    current_watermarks,
+    filter_since,
+    last_run,
+    load_available,
+    record_run,
+    upsert_orders,
+)
+from .common import lake, plain
+from .files import FACT_SQL
 
 
 def watermark_upsert(spark, folder):
@@ -47,6 +58,17 @@ def by_watermark(spark, folder):
     return filter_since(headers, "order_date", last_run(spark, path, "orders"))
 
 
+def fact_upsert(spark, folder):
+    """The fact of the orders before 2000 brought up to date with those since 1999."""
+    house = lake(spark, folder)
+    fact = house.table("fact_orders")
+    path = scratch.new_path(spark, "fact")
+    write_table(fact.filter("order_date < '2000-01-01'"), path, PARTITIONING["fact_orders"])
+    upsert_orders(spark, path, fact.filter("order_date >= '1999-01-01'"))
+    stored = spark.read.schema(fact.schema).parquet(path).select(fact.columns)
+    return plain(stored, "product_key", "customer_key", "load_timestamp", "discount")
+
+
 def stream_available(spark, folder):
     """Load the events file, ask for more, and count what was stored."""
     schema = warehouse.table(spark, folder, "events").schema
@@ -65,6 +87,7 @@ def stream_available(spark, folder):
 
 
 QUERIES = {
+    "inc_fact_upsert": (fact_upsert, FACT_SQL),
     "inc_watermark_upsert": (watermark_upsert, _UPSERT_SQL),
     "inc_filter_by_watermark": (
         by_watermark,

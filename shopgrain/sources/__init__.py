@@ -1,10 +1,11 @@
 """Readers: bronze JSON documents, Parquet tables, catalog views."""
 
 from .bronze import read_bronze, read_day, read_documents, skipped_documents
-from .catalog import discover, evolve, query, register
+from .catalog import attach, discover, evolve, query, register, schema_changes
 from .tables import current_lookup, read_table
 
 __all__ = [
+    "attach",
     "current_lookup",
     "discover",
     "evolve",
@@ -14,5 +15,6 @@ __all__ = [
     "read_documents",
     "read_table",
     "register",
+    "schema_changes",
     "skipped_documents",
 ]

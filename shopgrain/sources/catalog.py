@@ -6,6 +6,8 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, NumericType, StructType
 
 
 def discover(
@@ -24,9 +26,44 @@ def discover(
     )
 
 
+def schema_changes(old: StructType, new: StructType) -> dict[str, list[str]]:
+    """Columns a delivery adds, lacks, or brings with another type."""
+    before = {f.name: f.dataType for f in old}
+    after = {f.name: f.dataType for f in new}
+    return {
+        "added": [c for c in after if c not in before],
+        "missing": [c for c in before if c not in after],
+        "retyped": [c for c in after if c in before and after[c] != before[c]],
+    }
+
+
+def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    nested = (ArrayType, MapType, StructType)
+    return df.withColumns(
+        {
+            c: F.to_json(c) if isinstance(df.schema[c].dataType, nested) else F.col(c).cast("string")
+            for c in columns
+        }
+    )
+
+
+def _merge(old: DataFrame, new: DataFrame) -> DataFrame:
+    def mixed(column: str) -> bool:
+        kinds = old.schema[column].dataType, new.schema[column].dataType
+        nested = all(isinstance(k, (ArrayType, StructType)) for k in kinds)
+        return not nested and not all(isinstance(k, NumericType) for k in kinds)
+
+    changes = schema_changes(old.schema, new.schema)
+    texts = [c for c in changes["retyped"] if mixed(c)]
+    return _as_text(old, texts).unionByName(_as_text(new, texts), allowMissingColumns=True)
+
+
 def evolve(batches: Iterable[DataFrame]) -> DataFrame:
-    """All batches under one schema: new columns are added, old ones are kept."""
-    return reduce(lambda old, new: old.unionByName(new, allowMissingColumns=True), batches)
+    """All batches under one schema: new columns are added, old ones are kept.
+
+    A column that is a number in one batch and text in another becomes text.
+    """
+    return reduce(_merge, batches)
 
 
 def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
@@ -35,6 +72,12 @@ def register(spark: SparkSession, tables: Mapping[str, DataFrame]) -> None:
         frame.createOrReplaceTempView(name)
 
 
+def attach(spark: SparkSession, folders: Mapping[str, str], file_format: str = "parquet") -> None:
+    """Create catalog tables over existing folders, without moving their files."""
+    for name, path in folders.items():
+        spark.catalog.createTable(name, path=path, source=file_format)
+
+
 def query(spark: SparkSession, sql: str, **frames: DataFrame) -> DataFrame:
     """Run SQL; frames passed by keyword are addressed as ``{name}`` in the text."""
     return spark.sql(sql, **frames) if frames else spark.sql(sql)

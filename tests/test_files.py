@@ -16,6 +16,7 @@ from shopgrain.sinks import (
     write_table,
 )
 from shopgrain.sources import (
+    attach,
     current_lookup,
     discover,
     evolve,
@@ -24,6 +25,7 @@ from shopgrain.sources import (
     read_day,
     read_documents,
     register,
+    schema_changes,
     skipped_documents,
 )
 
@@ -163,11 +165,24 @@ def test_discovery(spark, tmp_path):
     put(tmp_path / "2/a.json", [{"id": 2, "new": {"deep": True}}])
     found = evolve([discover(spark, str(tmp_path / n)) for n in "12"])
     assert rows(found, "id", "old", "new.deep") == [(1, "x", None), (2, None, True)]
+    third = spark.createDataFrame([("3", 1.5)], "id string, old double")
+    assert schema_changes(found.schema, third.schema) == {
+        "added": [], "missing": ["new"], "retyped": ["id", "old"],
+    }
+    assert rows(evolve([found, third]), "id", "old") == [("1", "x"), ("2", None), ("3", "1.5")]
     register(spark, {"found": found})
     assert rows(query(spark, "select count(*) from found")) == [(2,)]
     assert rows(query(spark, "select max(id) from {f}", f=found)) == [(2,)]
 
 
+def test_attached_tables(spark, tmp_path):
+    write_table(spark.range(5), str(tmp_path / "t"))
+    attach(spark, {"attached_numbers": str(tmp_path / "t")})
+    assert rows(query(spark, "select sum(id) from attached_numbers")) == [(10,)]
+    spark.sql("drop table attached_numbers")
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
 def test_explore_guards(spark):
     products = spark.createDataFrame(
         [(1, "1.5", "a", (None, 3)), (2, "x", "a", (4.0, 2))],
@@ -180,5 +195,7 @@ def test_explore_guards(spark):
     assert rows(explore.price_stats(products), "n", "median") == [(1, 1.5)]
     with pytest.raises(ValueError):
         explore.raw({}, "Nothing")
-    people = spark.createDataFrame([(None,), (("Rome",),)], "address struct<city: string>")
+    people = spark.createDataFrame(
+        [(None,), (("Rome",),), ((None,),)], "address struct<city: string>"
+    )
     assert rows(explore.city_counts(people)) == [("Rome", 1), ("Unknown", 1)]

@@ -118,3 +118,12 @@ def test_merge_history(spark, close_missing):
     assert merged.select("key").distinct().count() == 7
     again = merge_history(merged, snapshot, *args, dt.date(2024, 3, 1), close_missing)
     assert rows(again, *shown) == rows(merged, *shown)
+
+
+def test_upsert_within_months(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    d, m = dt.date, Decimal
+    write_table(items(spark, ("1", d(2024, 1, 5), "a", m(1)), ("2", d(2024, 2, 5), "a", m(2))), path, ["year", "month"])
+    upsert_orders(spark, path, items(spark, ("1", d(2024, 1, 5), "a", m(9))), moved=False)
+    upsert_orders(spark, path, items(spark, ("1", d(2024, 1, 5), "a", m(9))).filter("false"))
+    assert rows(spark.read.parquet(path), "order_id", "revenue") == [("1", m("9.00")), ("2", m("2.00"))]
