@@ -3,6 +3,7 @@
 from .arrays import explode_items, nest_items
 from .counting import histogram, share_of_total, table_counts, value_counts
 from .dedup import latest_per_key
+from .grouping import group_totals
 from .history import merge_history, open_versions, surrogate_key
 from .joins import lookup, unmatched
 from .quality import (
@@ -29,6 +30,7 @@ __all__ = [
     "dense_rank",
     "exact_quantiles",
     "explode_items",
+    "group_totals",
     "histogram",
     "latest_per_key",
     "lookup",

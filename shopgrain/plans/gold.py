@@ -1,9 +1,8 @@
 """Gold layer: business tables over the order-item fact.
 
 Every builder aggregates the fact before it joins a dimension, so joins see one
-row per key and a hot key is reduced inside the tasks that read it. Exact
-distinct counts are left to Spark's own plan, which first groups by the counted
-value and thereby spreads a hot group over all tasks.
+row per key and a hot key is reduced inside the tasks that read it. The fact is
+a stored table: builders with distinct counts read its columns in several passes.
 """
 
 from __future__ import annotations
@@ -22,7 +21,7 @@ from ..functions import (
     run_time,
     threshold_score,
 )
-from ..operators import dense_rank, lookup, small_dense_rank
+from ..operators import dense_rank, group_totals, lookup, small_dense_rank
 
 When = dt.datetime | str | None
 
@@ -32,16 +31,22 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, as_of: When = None) -> Dat
 
     ``avg_order_value`` is the average per order item, as its consumers expect.
     """
-    daily = fact.groupBy("order_date", "year", "month").agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("profit").alias("total_profit"),
-        F.sum("cost").alias("total_cost"),
-        F.sum("quantity").alias("total_quantity"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.avg("revenue").alias("avg_order_value"),
-        F.count("*").alias("total_items"),
+    daily = group_totals(
+        fact,
+        ["order_date", "year", "month"],
+        {
+            "total_revenue": F.sum("revenue"),
+            "total_profit": F.sum("profit"),
+            "total_cost": F.sum("cost"),
+            "total_quantity": F.sum("quantity"),
+            "avg_order_value": F.avg("revenue"),
+            "total_items": F.count("*"),
+        },
+        {
+            "total_orders": "order_id",
+            "unique_customers": "customer_id",
+            "unique_products": "product_id",
+        },
     )
     days = calendar.select(
         F.col("date").alias("order_date"),
@@ -79,13 +84,16 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, as_of: When = None) -> Dat
 
 def product_totals(fact: DataFrame) -> DataFrame:
     """Sales per product."""
-    return fact.groupBy("product_id", "category").agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("profit").alias("total_profit"),
-        F.sum("quantity").alias("total_quantity_sold"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.avg("revenue").alias("avg_revenue_per_order"),
+    return group_totals(
+        fact,
+        ["product_id", "category"],
+        {
+            "total_revenue": F.sum("revenue"),
+            "total_profit": F.sum("profit"),
+            "total_quantity_sold": F.sum("quantity"),
+            "avg_revenue_per_order": F.avg("revenue"),
+        },
+        {"total_orders": "order_id", "unique_customers": "customer_id"},
     )
 
 
@@ -143,15 +151,18 @@ def top_products(performance: DataFrame, k: int, per_category: bool = False) ->
 
 def customer_totals(fact: DataFrame) -> DataFrame:
     """Purchases per customer."""
-    return fact.groupBy("customer_id").agg(
-        F.sum("revenue").alias("lifetime_revenue"),
-        F.sum("profit").alias("lifetime_profit"),
-        F.sum("quantity").alias("total_items_purchased"),
-        F.count_distinct("order_id").alias("total_orders"),
-        F.count_distinct("product_id").alias("unique_products_bought"),
-        F.avg("revenue").alias("avg_order_value"),
-        F.max("order_date").alias("last_order_date"),
-        F.min("order_date").alias("first_order_date"),
+    return group_totals(
+        fact,
+        ["customer_id"],
+        {
+            "lifetime_revenue": F.sum("revenue"),
+            "lifetime_profit": F.sum("profit"),
+            "total_items_purchased": F.sum("quantity"),
+            "avg_order_value": F.avg("revenue"),
+            "last_order_date": F.max("order_date"),
+            "first_order_date": F.min("order_date"),
+        },
+        {"total_orders": "order_id", "unique_products_bought": "product_id"},
     )
 
 
@@ -255,13 +266,19 @@ def segment_distribution(customers_360: DataFrame) -> DataFrame:
 
 def category_analysis(fact: DataFrame, as_of: When = None) -> DataFrame:
     """``category_analysis``: totals per category and month."""
-    totals = fact.groupBy("category", "year", "month").agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.sum("profit").alias("total_profit"),
-        F.sum("quantity").alias("total_quantity"),
-        F.count_distinct("product_id").alias("unique_products"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.count_distinct("order_id").alias("total_orders"),
+    totals = group_totals(
+        fact,
+        ["category", "year", "month"],
+        {
+            "total_revenue": F.sum("revenue"),
+            "total_profit": F.sum("profit"),
+            "total_quantity": F.sum("quantity"),
+        },
+        {
+            "unique_products": "product_id",
+            "unique_customers": "customer_id",
+            "total_orders": "order_id",
+        },
     )
     return totals.select(
         "*",

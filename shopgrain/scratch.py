@@ -10,6 +10,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_used_by: set[str] = set()
 
 
 def _root(spark: SparkSession) -> str:
@@ -29,7 +30,13 @@ def _app_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path nobody has used yet, below this application's scratch folder."""
+    """A path nobody has used yet, below this application's scratch folder.
+
+    The folder goes away with the Python process, or earlier by ``release``.
+    """
+    if _app_folder(spark) not in _used_by:
+        _used_by.add(_app_folder(spark))
+        atexit.register(_release_quietly, spark)
     return f"{_app_folder(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
@@ -45,6 +52,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _release_quietly(spark: SparkSession) -> None:
+    try:
+        release(spark)
+    except Exception:  # noqa: BLE001 - the session may have been stopped before
+        pass
+
+
 def release(spark: SparkSession) -> None:
     """Delete everything this application wrote to its scratch folder."""
     context = spark.sparkContext

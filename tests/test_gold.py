@@ -6,6 +6,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopgrain import schemas, scratch
+from shopgrain.operators import group_totals
 from shopgrain.plans import gold, silver
 from shopgrain.plans.lakehouse import GOLD, SILVER, Lakehouse
 from shopgrain.registry.common import AS_OF, CALENDAR, LOAD_TIME, THRESHOLDS
@@ -130,6 +131,16 @@ def test_category_growth(spark, fact):
     ]
 
 
+def test_group_totals_with_null_keys(spark):
+    df = spark.createDataFrame(
+        [("a", 1, 1), ("a", 1, 2), (None, 1, 1), (None, None, 1), (None, None, None)],
+        "g string, h int, v int",
+    )
+    found = group_totals(df, ["g", "h"], {"n": F.count("*"), "s": F.sum("v")}, {"d": "v", "e": "g"})
+    assert found.columns == ["g", "h", "n", "s", "d", "e"]
+    assert rows(found) == [("a", 1, 2, 3, 2, 1), (None, 1, 1, 1, 1, 0), (None, None, 2, 1, 1, 0)]
+
+
 def test_rollup_levels_agree(fact):
     totals = gold.daily_category_rollup(fact).groupBy("level").agg(F.sum("total_revenue"))
     assert rows(totals) == [(0, Decimal("85.00")), (1, Decimal("85.00")), (3, Decimal("85.00"))]

@@ -92,6 +92,14 @@ def test_cohort_window_sees_reduced_rows(house):
     assert plan.index("Window") < plan.rindex("partial_sum")
 
 
+def test_distinct_counts_do_not_repeat_rows(house, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = executed(gold.product_totals(house.table("fact_orders")))
+    assert "Expand" not in plan
+    # Every branch leaves its last exchange by group, so the joins need no other.
+    assert plan.count("SortMergeJoin") == 2 and plan.count("Exchange hashpartitioning") == 5
+
+
 def test_a_hot_folder_gets_several_files(spark, tmp_path, settings):
     settings(
         spark__sql__adaptive__advisoryPartitionSizeInBytes="64k",
