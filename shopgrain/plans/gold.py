@@ -355,12 +355,20 @@ def cohort_retention(cohorts: DataFrame) -> DataFrame:
 
 
 def daily_category_rollup(fact: DataFrame) -> DataFrame:
-    """Revenue and items per day and category, per day, and over all."""
-    return fact.rollup("order_date", "category").agg(
+    """Revenue and items per day and category, per day, and over all.
+
+    Rolled up from the totals per day and category, not from the items.
+    """
+    finest = fact.groupBy("order_date", "category").agg(
+        F.sum("revenue").alias("revenue"),
+        F.sum("quantity").alias("quantity"),
+        F.count("*").alias("items"),
+    )
+    return finest.rollup("order_date", "category").agg(
         F.grouping_id().cast("int").alias("level"),
-        F.sum("revenue").alias("total_revenue"),
+        F.sum("revenue").cast("decimal(20,2)").alias("total_revenue"),
         F.sum("quantity").alias("total_quantity"),
-        F.count("*").alias("total_items"),
+        F.sum("items").alias("total_items"),
     )
 
 
