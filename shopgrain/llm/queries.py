@@ -9,6 +9,8 @@ from .exact_dedup import exact_groups
 from .mixing import mix
 from .sharding import byte_shards
 from .simhash import near_duplicates
+from .substring_dedup import repeated_passages
+from .suffix_dedup import repeated_bytes
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,10 +21,20 @@ def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_groups(_table(spark, folder, "documents"))
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    passages = repeated_passages(_table(spark, folder, "documents"), 35)
+    return passages.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
 
 
+def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    strings = repeated_bytes(_table(spark, folder, "documents"), 200)
+    return strings.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -42,7 +54,9 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash": op3_simhash,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op7_mixing": op7_mixing,
     "op10_sharding": op10_sharding,
 }
