@@ -66,7 +66,9 @@ def exact_groups(
             .withColumn("next_group", F.monotonically_increasing_id())
         )
         groups = store(groups, "radix-groups")
-        joined = rows.join(groups, ["group", "digit"], "left")
+        # Merged at every size: a small table of groups would be broadcast otherwise,
+        # and the plan for much data would never be the one that was tried.
+        joined = rows.join(groups.hint("merge"), ["group", "digit"], "left")
         alone = F.col("size").isNull()
         ended = F.lit(False) if first else F.length("digit") < width
         done = alone | ended
