@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import row_key, store, word_count
+from .tables import WORDS, store, word_count
 
 
 def _targets(sizes: DataFrame, weights: Sequence[float], most_epochs: float) -> DataFrame:
@@ -59,6 +59,7 @@ def mix(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    carry: bool = False,
 ) -> DataFrame:
     """One row per document: id, source, size, source_size, target and taken.
 
@@ -69,27 +70,26 @@ def mix(
     in the last one the documents that come first in random order, of which the
     one at the cut is taken in part, so a source's taken words are its target
     rounded down. Reruns give the same rows. Rows that share id and text follow
-    one another in the order. Other columns are ignored; an empty table gives an
-    empty result.
+    one another in the order. Other columns are ignored, but with ``carry`` they all
+    come along in a struct ``row``; an empty table gives an empty result.
     """
-    sized = store(
-        docs.select(
-            F.col(id_column).alias("id"),
-            F.col(source_column).cast("string").alias("source"),
-            word_count(text_column).alias("size"),
-            F.xxhash64(F.lit(seed), row_key(id_column, text_column)).alias("key"),
-        ),
-        "mix-sizes",
+    sized = docs.select(
+        F.col(id_column).alias("id"),
+        F.col(source_column).cast("string").alias("source"),
+        word_count(text_column).alias("size"),
+        F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(str(seed)))).alias("key"),
+        F.xxhash64(text_column).alias("tie"),  # for texts that share an id
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
+    if not carry:
+        sized = store(sized, "mix-sizes")  # narrow, so that texts are read once
     sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = store(_targets(sizes, weights, most_epochs), "mix-targets")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    columns = [F.col("source").isNull().alias("none"), "source", "key", "id", "size"]
-    ordered = sized.select(*columns).repartitionByRange(partitions, "none", "source", "key", "id")
-    ordered = ordered.sortWithinPartitions("none", "source", "key", "id").withColumn(
-        "part", F.spark_partition_id()
-    )
-    schema = f"id {dict(sized.dtypes)['id']}, source string, size long, part int, upto long"
+    order = ["none", "source", "key", "tie"]
+    ordered = sized.withColumn("none", F.col("source").isNull()).repartitionByRange(partitions, *order)
+    ordered = ordered.sortWithinPartitions(*order).drop("none", "key", "tie").withColumn("part", F.spark_partition_id())
+    schema = type(ordered.schema)([*ordered.schema]).add("upto", "long")
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words of a source in this partition up to and including each row."""
@@ -97,31 +97,17 @@ def mix(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            sizes = batch.column("size").to_numpy()
-            names = batch.column("source")
-            runs = pc.run_end_encode(names)
+            runs = pc.run_end_encode(batch.column("source"))
             ends = runs.run_ends.to_numpy()
-            upto = np.cumsum(sizes)
-            start = 0
-            for k, end in enumerate(ends.tolist()):
-                name = runs.values[k].as_py()
-                base = int(upto[start - 1]) if start else 0
-                if k or name != source:
-                    total = 0
-                shift = total - base
-                last = int(upto[end - 1]) + shift
-                upto_here = upto[start:end] + shift
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").slice(start, end - start),
-                        names.slice(start, end - start),
-                        batch.column("size").slice(start, end - start),
-                        batch.column("part").slice(start, end - start),
-                        pa.array(upto_here),
-                    ],
-                    ["id", "source", "size", "part", "upto"],
-                )
-                source, total, start = name, last, end
+            starts = np.concatenate([[0], ends[:-1]])
+            upto = np.cumsum(batch.column("size").to_numpy())
+            before = np.where(starts > 0, upto[starts - 1], 0)
+            # The first source may go on from the batch before.
+            if runs.values[0].as_py() == source:
+                before[0] -= total
+            upto = upto - np.repeat(before, ends - starts)
+            source, total = runs.values[len(ends) - 1].as_py(), int(upto[-1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(upto)], [*batch.schema.names, "upto"])
 
     summed = store(ordered.mapInArrow(running, schema), "mix-sums")
     # One row for each partition and source in it: as many as both together.
@@ -130,19 +116,37 @@ def mix(
     parts = parts.select(
         "source", "part", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before")
     )
-    placed = summed.alias("r").join(
-        parts.alias("p"), F.expr("r.source <=> p.source and r.part = p.part")
-    ).select("r.id", "r.source", "r.size", (F.col("r.upto") + F.col("p.before")).alias("upto"))
-    joined = placed.alias("r").join(targets.alias("t"), F.expr("r.source <=> t.source"), "left")
+    placed = summed.alias("r").join(parts.alias("p"), F.expr("r.source <=> p.source and r.part = p.part"))
+    placed = placed.join(targets.alias("t"), F.expr("r.source <=> t.source"))
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
     rest = budget - epochs * F.col("source_size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - (F.col("upto") - F.col("size"))))
-    return joined.select(
+    earlier_words = F.col("upto") + F.col("before") - F.col("size")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - earlier_words))
+    return placed.select(
         F.col("id").alias(id_column),
         F.col("r.source").alias(source_column),
         "size",
         "source_size",
         "target",
         (epochs * F.col("size") + part).cast("long").alias("taken"),
+        *(["row"] if carry else []),
     )
+
+
+def mixed_rows(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars", **options) -> DataFrame:
+    """The mix as documents, with the columns of ``docs``: a row for each whole copy, and
+    one with the first words only, joined by single spaces, where a source is cut.
+    Documents without words take no part."""
+    mixed = mix(docs, text_column=text_column, carry=True, **options).where("taken > 0")
+    copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
+    each = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
+    left = (F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
+    cut = left < F.col("size")
+    words = F.regexp_extract_all(F.col(f"row.{text_column}"), F.lit(f"({WORDS})"), F.lit(1))
+    text = F.when(cut, F.array_join(F.slice(words, 1, left), " ")).otherwise(F.col(f"row.{text_column}"))
+    changed = {text_column: text}
+    if length_column in docs.columns:
+        length = F.length(text).cast(docs.schema[length_column].dataType)
+        changed[length_column] = F.when(cut, length).otherwise(F.col(f"row.{length_column}"))
+    return each.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

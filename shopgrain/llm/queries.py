@@ -5,12 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontamination import contaminated
 from .exact_dedup import exact_groups
+from .language_id import identify
 from .mixing import mix
 from .sharding import byte_shards
 from .simhash import near_duplicates
 from .substring_dedup import repeated_passages
 from .suffix_dedup import repeated_bytes
+from .token_counts import token_counts
+from .url_filter import SOFT, STRICT, Rule, judge_urls
+
+
+# The rules of the page contract: host, path and verdict.
+PAGE_RULES = (
+    Rule("com", "/", "allow"),
+    Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"),
+    Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -35,11 +49,27 @@ def op4_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return strings.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(_table(spark, folder, "documents"), ("source", "lang", "text"))
+
+
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mix(_table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return judge_urls(_table(spark, folder, "pages"), PAGE_RULES)
+
+
+def op9_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return identify(_table(spark, folder, "documents"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return byte_shards(_table(spark, folder, "documents"), 40).select(
         "doc_id",
@@ -57,8 +87,96 @@ QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_simhash": op3_simhash,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_token_counts": op5_token_counts,
+    "op6_decontamination": op6_decontamination,
     "op7_mixing": op7_mixing,
+    "op8_url_filter": op8_url_filter,
+    "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
 }
 
-ORACLES: dict[str, str] = {}
+_WORD_LISTS = r"""
+d as (select doc_id, source,
+             list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+      from documents)
+"""
+
+
+def _term_hits(terms: tuple[str, ...]) -> str:
+    tests = (f"regexp_matches(u, '(^|[^a-z0-9]){t}([^a-z0-9]|$)')::bigint" for t in terms)
+    return "(" + " + ".join(tests) + ")"
+
+
+def _rule_cases(value) -> str:
+    ordered = sorted(PAGE_RULES, key=lambda r: -len(r.name))
+    return "case " + " ".join(
+        f"when (host = '{r.host}' or ends_with(host, '.{r.host}')) and starts_with(path, '{r.path}') "
+        f"then '{value(r)}'"
+        for r in ordered
+    ) + " end"
+
+
+ORACLES: dict[str, str] = {
+    "op1_exact_dedup": r"""
+with d as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents)
+select doc_id, min(doc_id) over (partition by t) as keep_id, count(*) over (partition by t) as group_size,
+       row_number() over (partition by t order by doc_id) = 1 as kept, sha256(t) as text_sha256
+from d
+""",
+    "op2_substring_dedup": f"""
+with {_WORD_LISTS},
+windows as (select doc_id, i, array_to_string(w[i:i + 34], ' ') as s
+            from (select doc_id, w, unnest(range(1, len(w) - 33)) as i from d)),
+repeats as (select doc_id, i from (select doc_id, i, count(*) over (partition by s) as n from windows)
+            where n > 1),
+gone as (select distinct doc_id, unnest(range(i, i + 35)) as p from repeats),
+words as (select doc_id, unnest(w) as word, generate_subscripts(w, 1) as p from d),
+kept as (select doc_id, count(*) as n, string_agg(word, ' ' order by p) as t
+         from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed,
+       sha256(coalesce(t, '')) as kept_sha256
+from d left join kept using (doc_id)
+""",
+    "op7_mixing": f"""
+with {_WORD_LISTS},
+sized as (select doc_id, source, len(w)::bigint as size, md5(doc_id::varchar || ':7') as key from d),
+sources as (select source, sum(size)::bigint as source_size,
+                   1.0::double + (row_number() over (order by source nulls last) - 1) % 3 as weight
+            from sized group by source),
+levels as (select *, 3 * source_size as most,
+                  ((sum(source_size) over ())::double
+                   - coalesce(sum(3 * source_size) over before, 0)::double)
+                  / (sum(weight) over () - coalesce(sum(weight) over before, 0.0)) as level
+           from sources
+           window before as (order by 3 * source_size / weight, source nulls last
+                             rows between unbounded preceding and 1 preceding)),
+final as (select arg_min(level, 3 * source_size / weight) as final from levels where level * weight < most),
+targets as (select source, source_size,
+                   case when final is null or final * weight >= most then most::double
+                        else final * weight end as target
+            from levels, final),
+placed as (select doc_id, size, source_size, target, floor(target)::bigint as budget,
+                  coalesce(sum(size) over (partition by s.source order by key
+                           rows between unbounded preceding and 1 preceding), 0)::bigint as earlier
+           from sized s join targets t on s.source is not distinct from t.source),
+cut as (select *, case when source_size > 0 then budget // source_size else 0 end as epochs from placed)
+select doc_id, size, source_size, target,
+       (epochs * size + greatest(0, least(size, budget - epochs * source_size - earlier)))::bigint as taken
+from cut
+""",
+    "op8_url_filter": f"""
+with rest as (select page_id, translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as u,
+                     case when contains(url, '://') then url[strpos(url, '://') + 3:] else '' end as r
+              from pages),
+parts as (select page_id, u,
+                 translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                 regexp_extract(r, '^[^/?#]*(/[^?#]*)', 1) as path,
+                 {_term_hits(STRICT)} as strict_hits, {_term_hits(SOFT)} as soft_hits
+          from rest)
+select page_id, host, path, {_rule_cases(lambda r: r.name)} as rule,
+       coalesce({_rule_cases(lambda r: r.verdict)},
+                case when strict_hits > 0 or soft_hits >= 2 then 'block' else 'allow' end) as verdict,
+       strict_hits, soft_hits
+from parts
+""",
+}

@@ -57,6 +57,7 @@ def byte_shards(
     overhead: int = 16,
     tolerance: float = 0.002,
     bits: int = 12,
+    carry: bool = False,
 ) -> DataFrame:
     """One row per document: id, size, text_crc32, shard and slot.
 
@@ -66,23 +67,23 @@ def byte_shards(
     and a group of them is divided only where a splitter would miss its tolerance
     otherwise. Slots count the rows of a shard from 0 without gaps. A null text
     counts as empty, a null id as an id of its own; rows that share id and text
-    have one key, so they share a shard. Other columns are ignored; an empty table
-    gives an empty result.
+    have one key, so they share a shard. Other columns are ignored, but with ``carry``
+    they all come along in a struct ``row``; an empty table gives an empty result.
 
     The driver sees candidate intervals only: 2**bits at first, and 2**bits for
     each interval refined, which are those around a splitter and those with more
     than a 2**(1-bits) part of all rows, fewer than shards + 2**(bits-1) a round.
     """
     text = text_or_empty(text_column)
-    rows = store(
-        docs.select(
-            F.col(id_column).alias("id"),
-            (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
-            F.crc32(text.cast("binary")).alias("text_crc32"),
-            _key(id_column, text_column).alias("key"),
-        ),
-        "shard-rows",
-    )
+    columns = [
+        F.col(id_column).alias("id"),
+        (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        _key(id_column, text_column).alias("key"),
+    ]
+    rows = store(docs.select(columns), "shard-rows")  # narrow, so that texts are read once
+    if carry:
+        whole = docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
     def count(frame: DataFrame, level: int) -> dict[tuple[int, int], tuple[int, int]]:
         counted = frame.groupBy(_prefix(level, bits).alias("prefix")).agg(
@@ -126,8 +127,9 @@ def byte_shards(
     places = docs.sparkSession.createDataFrame(
         placed, "level int, prefix long, shard int, first long"
     )
-    at = rows.withColumn("at", _interval(refined, bits)).select(
-        "id", "size", "text_crc32", "key", "at.level", "at.prefix"
+    extra = ["row"] if carry else []
+    at = (whole if carry else rows).withColumn("at", _interval(refined, bits)).select(
+        "id", "size", "text_crc32", "key", "at.level", "at.prefix", *extra
     )
     numbered = at.join(places, ["level", "prefix"]).selectExpr(
         "id",
@@ -135,5 +137,6 @@ def byte_shards(
         "text_crc32",
         "shard",
         "first + row_number() over (partition by level, prefix order by key, id, text_crc32) - 1 as slot",
+        *extra,
     )
     return numbered.withColumnRenamed("id", id_column)

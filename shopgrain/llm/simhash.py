@@ -51,21 +51,29 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
     return int(chosen.view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, fp) of every document; a null or wordless text has fingerprint zero."""
-    id_type = docs.schema[id_column].dataType.simpleString()
+def fingerprints(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: bool = False
+) -> DataFrame:
+    """(id, fp) of every document; a null or wordless text has fingerprint zero.
+    With ``carry`` also a struct ``row`` of all columns."""
+    rows = docs.select(
+        F.col(id_column).alias("id"),
+        F.col(text_column).alias("text"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
+    )
+    schema = rows.drop("text").schema.add("fp", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            prints = np.fromiter(
-                (fingerprint(texts[i].as_py()) for i in range(len(texts))), np.int64, len(texts)
+            prints = np.fromiter((fingerprint(t.as_py()) for t in texts), np.int64, len(texts))
+            kept = [k for k in range(batch.num_columns) if k != 1]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in kept), pa.array(prints)],
+                [*(batch.schema.names[k] for k in kept), "fp"],
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints)], ["id", "fp"])
 
-    return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(
-        run, f"id {id_type}, fp long"
-    )
+    return rows.mapInArrow(run, schema)
 
 
 def _variants(nodes: DataFrame) -> DataFrame:
@@ -181,9 +189,21 @@ def _two_wildcards(members: DataFrame) -> DataFrame:
     )
 
 
-def near_duplicates(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
-) -> DataFrame:
+def _linked(prints: DataFrame) -> DataFrame:
+    """(fp, root) of all different fingerprints of (id, tie, fp)."""
+    nodes = store(prints.select("fp").distinct(), "nodes")
+    met = _variants(nodes).repartition("key").sortWithinPartitions("key", "fp")
+    links = store(met.mapInArrow(_link, "a long, b long"), "links")
+    edges = links.where("b is not null")
+    large = links.where("b is null").select(F.col("a").alias("fp")).distinct()
+    if not large.isEmpty():
+        edges = edges.union(_two_wildcards(large))
+    roots = components(edges)
+    joined = nodes.join(roots, nodes.fp == roots.node, "left")
+    return joined.select("fp", F.coalesce("root", "fp").alias("root"))
+
+
+def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: id, fingerprint (16 hex digits), component_id.
 
     Fingerprints link at two or fewer differing bits; component_id is the smallest
@@ -196,22 +216,27 @@ def near_duplicates(
     further. Links are kept as spanning forests, never as all pairs of a group.
     """
     prints = store(fingerprints(docs, id_column, text_column), "fingerprints")
-    nodes = store(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
-    met = _variants(nodes).repartition("key").sortWithinPartitions("key", "fp")
-    links = store(met.mapInArrow(_link, "a long, b long"), "links")
-    edges = links.where("b is not null")
-    large = links.where("b is null").select(F.col("a").alias("fp")).distinct()
-    if not large.isEmpty():
-        edges = edges.union(_two_wildcards(large))
-    roots = components(edges)
-    linked = nodes.join(roots, nodes.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    linked = store(linked, "linked")
-    smallest = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = linked.join(smallest, "root").select("fp", "component_id")
+    roots = store(_linked(prints), "linked")
+    least = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    rooted = roots.join(least, "fp")
+    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = roots.join(smallest, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         F.col("id").alias(id_column),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
     )
+
+
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The documents, with all their columns, less all but one of each linked group.
+
+    The row with the smallest id stays (null ids last, then by hash of the text);
+    of repeated rows one.
+    """
+    rows = fingerprints(docs, id_column, text_column, carry=True)
+    rows = store(rows.withColumn("number", F.monotonically_increasing_id()), "fingerprints")
+    prints = rows.select("id", "fp", "number", F.xxhash64(f"row.{text_column}").alias("tie"))
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "tie", "number")
+    best = prints.join(_linked(prints), "fp").groupBy("root").agg(F.min(order).alias("best"))
+    return rows.join(best.select("best.number"), "number", "left_semi").select("row.*")

@@ -31,6 +31,6 @@ def word_count(column: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def row_key(id_column: str, text_column: str) -> Column:
-    """64 bits of id and text: tells rows apart that share an id but not their text."""
-    return F.xxhash64(F.col(id_column), F.col(text_column))
+def tie(id_column: str, text_column: str) -> Column:
+    """32 bits of id and text: tells rows apart that share an id but not their text."""
+    return F.hash(F.col(id_column), F.col(text_column))

@@ -27,7 +27,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import row_key, store
+from .tables import store, tie
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2**64
@@ -438,7 +438,7 @@ def repeated_spans(
     spark = docs.sparkSession
     texts = docs.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("id"),
-        row_key(id_column, text_column).cast("int").alias("tie"),
+        tie(id_column, text_column).alias("tie"),
         F.col(text_column).alias("text"),
     )
     frequent, size = _frequent(texts, shape)
@@ -460,7 +460,7 @@ def with_spans(
         F.col(id_column).alias("row_id"),
         F.col(text_column).alias("text"),
         F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("id"),
-        row_key(id_column, text_column).cast("int").alias("tie"),
+        tie(id_column, text_column).alias("tie"),
     )
     return left.join(spans, ["id", "tie"], "left").select("row_id", "text", "spans")
 

@@ -1,0 +1,16 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+
+@pytest.fixture(scope="session")
+def documents(spark, folder):
+    return spark.read.parquet(f"{folder}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def texts(documents):
+    return [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]

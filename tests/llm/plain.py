@@ -1,0 +1,125 @@
+"""Plain versions of the operators, for small tables, and a table of odd rows."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+import xxhash
+
+SPACES = re.compile(r"[\x20\x09-\x0D]+")
+
+
+def words(text):
+    return [w for w in SPACES.split(text or "") if w]
+
+
+def sha(raw):
+    return hashlib.sha256(raw if isinstance(raw, bytes) else raw.encode()).hexdigest()
+
+
+PASSAGE = " ".join(f"w{k * 7919 % 101}" for k in range(60))
+LONG = " ".join(f"n{k * k % 9973}" for k in range(30_000))
+
+# (doc_id, text): nulls, empty, blank, equal, nearly equal, repeated, periodic, long.
+ODD = [
+    (1, "alpha beta  gamma"),
+    (2, "alpha\tbeta\ngamma"),
+    (3, None),
+    (4, ""),
+    (5, "   "),
+    (6, "ALPHA beta gamma"),
+    (7, "repeated row"),
+    (7, "repeated row"),
+    (7, "same id, other text"),
+    (None, "no id"),
+    (None, "no id"),
+    (None, None),
+    (8, "x" + PASSAGE + " tail one"),
+    (9, "another start " + PASSAGE),
+    (10, PASSAGE.replace("w3 ", "changed ")),
+    (11, "la " * 120),
+    (12, "la " * 36 + "end"),
+    (13, "é" * 400),
+    (14, "ü" + "é" * 150),
+    (15, LONG),
+    (16, LONG + " and more"),
+    (17, "12345 67 ..."),
+    (18, "nul \x00 byte " + PASSAGE),
+    (19, PASSAGE + " " + PASSAGE),
+]
+
+
+def odd_docs(spark, rows=ODD):
+    """Documents with columns whose names the operators use themselves."""
+    data = [(i, t, "en" if k % 2 else None, f"s{k % 3}" if k % 4 else None, len(t or ""), k, "x", k)
+            for k, (i, t) in enumerate(rows)]
+    schema = (
+        "doc_id long, text string, lang string, source string, n_chars long, id long, tie string, size int"
+    )
+    df = spark.createDataFrame(data, schema)
+    return df.withColumns({c: df.id for c in ("row", "key", "fp", "group", "digit", "token", "part", "language")})
+
+
+def exact_groups(rows):
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[SPACES.sub(" ", text or "")].append(i)
+    return groups
+
+
+def repeated(rows, window, elements):
+    """For each row, which elements are covered by a window that starts elsewhere too."""
+    split = [elements(t) for _, t in rows]
+    counts = Counter(tuple(e[k : k + window]) for e in split for k in range(len(e) - window + 1))
+    out = []
+    for e in split:
+        gone = [False] * len(e)
+        until = 0
+        for k in range(len(e) - window + 1):
+            if counts[tuple(e[k : k + window])] > 1:
+                for j in range(max(k, until), k + window):
+                    gone[j] = True
+                until = k + window
+        out.append((e, gone))
+    return out
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def fingerprint(text):
+    w = words(lowered(text))
+    shingles = [" ".join(w[k : k + 3]) for k in range(len(w) - 2)] or ([" ".join(w)] if w else [])
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(prints, most=2):
+    """Root of each node of the graph of prints that differ in few bits."""
+    nodes = sorted(set(prints))
+    root = {n: n for n in nodes}
+
+    def top(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for k, a in enumerate(nodes):
+        for b in nodes[:k]:
+            if (a ^ b).bit_count() <= most:
+                root[top(a)] = top(b)
+    return {n: top(n) for n in nodes}
+
+
+def edit_distance(item, text):
+    """Least edit distance of the item to any part of the text."""
+    row = [0] * (len(text) + 1)
+    for k, c in enumerate(item, 1):
+        new = [k]
+        for j, d in enumerate(text, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return min(row)
