@@ -14,8 +14,10 @@ from functools import reduce
 import ahocorasick
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 # Items are sent to the tasks in blocks of about this many characters.
 _BLOCK = 16 << 20
@@ -187,8 +189,6 @@ def contaminated(
 
         return rows.mapInArrow(run, schema)
 
-    from pyspark.sql.pandas.types import to_arrow_type
-
     item_type = to_arrow_type(items.schema[item_id_column].dataType)
     return reduce(DataFrame.unionByName, map(scan, _blocks(items, item_id_column, item_text_column)))
 
@@ -198,15 +198,17 @@ def is_clean(
 ) -> Column:
     """Whether a text contains none of the items; for filters, by the same rules."""
     context = items.sparkSession.sparkContext
-    clean = F.lit(True)
-    for block in _blocks(items, item_id_column, item_text_column):
-        known = context.broadcast(block)
 
+    def free_of(known: Broadcast):
         @F.pandas_udf("boolean")
-        def free(batches: Iterator[pd.Series], known=known) -> Iterator[pd.Series]:
+        def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             matcher = Matcher(known.value, rate)
             for texts in batches:
                 yield pd.Series([next(matcher.hits(t), None) is None for t in texts], dtype=bool)
 
-        clean = clean & free(text)
+        return free
+
+    clean = F.lit(True)
+    for block in _blocks(items, item_id_column, item_text_column):
+        clean = clean & free_of(context.broadcast(block))(text)
     return clean

@@ -29,7 +29,7 @@ def _key(id_column: str, text_column: str) -> Column:
 
 
 def _prefix(level: int, bits: int) -> Column:
-    """The key's leading bits, as an unsigned number that fits a long."""
+    """The key's leading bits; the whole key, which may be negative, at the last level."""
     shift = _KEY_BITS - level * bits
     return F.shiftrightunsigned("key", shift) if shift > 0 else F.col("key")
 
@@ -46,7 +46,7 @@ def _interval(refined: list[set[int]], bits: int) -> Column:
 
 def _unsigned(level: int, prefix: int, bits: int) -> int:
     """Where an interval starts among unsigned keys."""
-    return (prefix << (_KEY_BITS - level * bits)) % (1 << _KEY_BITS)
+    return (prefix << max(0, _KEY_BITS - level * bits)) % (1 << _KEY_BITS)
 
 
 def byte_shards(

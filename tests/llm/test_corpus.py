@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import oracle
 import plain
 import pytest
+from pyspark.sql import functions as F
 from plain import ODD, odd_docs
 
 import corpus_pipeline
@@ -125,7 +126,6 @@ def test_occurrence_is_where_it_is_said_to_be():
     text = normalise("Before it. The quick brwn fox jumps over the lazzy dog and sleeps, after it.")
     ((_, distance, start, end),) = Matcher([(1, item)], 0.1).hits(text)
     assert distance == 2 and text[start:end] == "the quick brwn fox jumps over the lazzy dog and sleeps"
-    assert contaminated is not None
 
 
 def shares(sizes, weights=(1, 2, 3), most=3):
@@ -234,8 +234,8 @@ def test_identify_odd_rows(spark):
         elif r.doc_id is not None:
             assert r.lang_pred == "en"
     assert identify(odd_docs(spark, ODD[:0])).count() == 0
-    unlabelled = odd_docs(spark).withColumn("lang", odd_docs(spark).lang.substr(9, 1)).where("lang is null")
-    assert {r.lang_pred for r in identify(unlabelled).collect()} <= {"und"}
+    unlabelled = odd_docs(spark).withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in identify(unlabelled).collect()} == {"und"}
 
 
 def check_shards(rows, texts, shards, slack):
@@ -262,7 +262,7 @@ def test_byte_shards(spark, folder, texts):
     rows = [(k, "hot " * 20 if k % 3 == 0 else f"text {k // 6} " * 20) for k in range(6000)]
     sharded = byte_shards(odd_docs(spark, rows), 10, bits=6)
     check_shards(sharded.collect(), rows, 10, 400)
-    spread = sharded.groupBy("text_crc32").agg({"shard": "count_distinct"} if False else {"shard": "max"}).collect()
+    spread = sharded.groupBy("text_crc32").agg({"shard": "max"}).collect()
     assert len(spread) == len({t for _, t in rows})
     assert len({(r.text_crc32, r.shard) for r in sharded.collect()}) <= len(spread) + 10
 
