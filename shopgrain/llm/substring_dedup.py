@@ -61,7 +61,7 @@ def repeated_windows(fragments: list[bytes], weights: np.ndarray, window: int) -
 
 
 def repeated_passages(
-    docs: DataFrame, window: int = 35, gram: int = 12, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, window: int = 35, gram: int = 6, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per document: id, n_words, n_removed, kept_sha256, kept_text and spans.
 

@@ -204,7 +204,7 @@ def runs_of(chunk: Chunk, shape: Shape, frequent: np.ndarray) -> Runs:
     )
 
 
-_ZSTD = {"level": 3}
+_ZSTD = {"level": 6}
 
 
 def _pack(kind: int, arrays: list[np.ndarray], text: bytes = b"") -> bytes:
