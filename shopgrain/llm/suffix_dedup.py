@@ -128,7 +128,7 @@ def repeated_strings(fragments: list[bytes], weights: np.ndarray, window: int) -
 
 
 def repeated_bytes(
-    docs: DataFrame, window: int = 200, gram: int = 40, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame, window: int = 200, gram: int = 24, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept and spans.
 
