@@ -5,7 +5,7 @@ from .counting import histogram, share_of_total, table_counts, value_counts
 from .dedup import latest_per_key
 from .grouping import group_totals
 from .history import merge_history, open_versions, surrogate_key
-from .joins import lookup, unmatched
+from .joins import lookup, match, unmatched
 from .quality import (
     NotNull,
     Range,
@@ -17,7 +17,7 @@ from .quality import (
     summarize,
     verdict,
 )
-from .ranking import dense_rank, exact_quantiles, running_total, small_dense_rank
+from .ranking import dense_rank, exact_quantiles, running_total
 
 __all__ = [
     "NotNull",
@@ -34,12 +34,12 @@ __all__ = [
     "histogram",
     "latest_per_key",
     "lookup",
+    "match",
     "merge_history",
     "nest_items",
     "open_versions",
     "running_total",
     "share_of_total",
-    "small_dense_rank",
     "summarize",
     "surrogate_key",
     "table_counts",

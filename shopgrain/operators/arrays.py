@@ -7,8 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import match
-
 
 def explode_items(df: DataFrame, array: str, fields: Mapping[str, str]) -> DataFrame:
     """One row per array element; rows with a null or empty array vanish.
@@ -23,48 +21,17 @@ def explode_items(df: DataFrame, array: str, fields: Mapping[str, str]) -> DataF
 
 
 def nest_items(
-    df: DataFrame, keys: Sequence[str], fields: Mapping[str, Column], name: str,
-    max_items: int = 100_000,
+    df: DataFrame, keys: Sequence[str], fields: Mapping[str, Column], name: str
 ) -> DataFrame:
     """Gather items into one array of structs per key, sorted by its fields.
 
-    A first look at the keys tells whether any has more than ``max_items``
-    items. Such a key is spread over several rows of about that size, since no
-    row should grow with the data; the items of all its rows together are
-    complete. Without big keys one shuffle does.
+    There is one row per key at any size, as one bronze document holds a whole
+    order: the items of one key must fit a row. Keys with unbounded items belong
+    in a flat table.
     """
-    keys = list(keys)
     item = F.struct(*[value.alias(field) for field, value in fields.items()]).alias("_item")
-    items = df.select(*keys, item)
-    big = items.groupBy(*keys).agg(F.count("*").alias("_size")).filter(
-        F.col("_size") > max_items
-    )
-    if big.isEmpty():
-        return items.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias(name))
-    return _nest_in_parts(items, keys, big, name, max_items)
-
-
-def _nest_in_parts(
-    items: DataFrame, keys: list[str], big: DataFrame, name: str, max_items: int
-) -> DataFrame:
-    # Equal items travel as one row with a count, and the copies of an item are
-    # cut into pieces that may go to different parts of its key.
-    counted = items.groupBy(*keys, "_item").agg(F.count("*").alias("_copies"))
-    sizes = big.select(*keys, F.ceil(F.col("_size") / max_items).alias("_parts"))
-    pieces = F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / max_items))
-    left = F.col("_copies") - F.col("_piece") * max_items
-    placed = (
-        match(counted, sizes, keys, "left")
-        .withColumn("_parts", F.coalesce("_parts", F.lit(1)))
-        .withColumn("_piece", F.explode(pieces))
-        .withColumn("_part", F.pmod(F.xxhash64("_item") + F.col("_piece"), F.col("_parts")))
-        .withColumn("_items", F.array_repeat("_item", F.least(F.lit(max_items), left).cast("int")))
-    )
-    # The explicit exchange lets the join before it split a big key's partition,
-    # which it could not if the grouping went on in the partitions of the join.
     return (
-        placed.repartition(*keys, "_part")
-        .groupBy(*keys, "_part")
-        .agg(F.array_sort(F.flatten(F.collect_list("_items"))).alias(name))
-        .drop("_part")
+        df.select(*keys, item)
+        .groupBy(*keys)
+        .agg(F.array_sort(F.collect_list("_item")).alias(name))
     )

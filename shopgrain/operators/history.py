@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import match
+
 # Fixed value: the expiration date of a version that is still open.
 OPEN_END = "2099-12-31"
 
@@ -37,7 +39,7 @@ def merge_history(
     history: DataFrame,
     snapshot: DataFrame,
     key_name: str,
-    business_key: str,
+    business_key: str | Column,
     tracked: Sequence[str],
     as_of: dt.date,
     close_missing: bool = False,
@@ -45,16 +47,17 @@ def merge_history(
     """History after loading a full snapshot of the source.
 
     Both frames have the same columns; the snapshot has one row per business
-    key. A current row whose tracked columns differ from the snapshot's is
-    closed and the snapshot's row is opened next to it; unknown keys are
-    opened; rows gone from the source stay open unless ``close_missing``.
+    key, which may be null once. A current row whose tracked columns differ from
+    the snapshot's is closed and the snapshot's row is opened next to it; unknown
+    keys are opened; rows gone from the source stay open unless ``close_missing``.
+    A version opened on the same day is replaced instead of closed, so a day has
+    one version of a key at most and loading a snapshot again changes nothing.
     Write the result to a new path, never over the history being read.
     """
     columns = history.columns
-    old = history.filter("is_current").select(
-        F.col(business_key).alias("key"), F.struct(*columns).alias("old")
-    )
-    new = snapshot.select(F.col(business_key).alias("key"), F.struct(*columns).alias("new"))
+    key = F.col(business_key) if isinstance(business_key, str) else business_key
+    old = history.filter("is_current").select(key.alias("key"), F.struct(*columns).alias("old"))
+    new = snapshot.select(key.alias("key"), F.struct(*columns).alias("new"))
     same = F.lit(True)
     for c in tracked:
         same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
@@ -62,6 +65,7 @@ def merge_history(
     ended = F.col("new").isNull() if close_missing else F.lit(False)
     changed = F.col("old").isNotNull() & ((F.col("new").isNotNull() & ~same) | ended)
     kept = F.col("old").isNotNull() & ~changed
+    replaced = F.col("new").isNotNull() & (F.col("old.effective_date") == today)
 
     closed = F.col("old").withField("expiration_date", today).withField("is_current", F.lit(False))
     stamped = (
@@ -72,11 +76,11 @@ def merge_history(
         .withField(key_name, surrogate_key("key", today))
     )
     versions = F.array(
-        F.when(kept, F.col("old")).when(changed, closed),
+        F.when(kept, F.col("old")).when(changed & ~F.coalesce(replaced, F.lit(False)), closed),
         F.when(F.col("new").isNotNull() & ~kept, stamped),
     )
     merged = (
-        old.join(new, "key", "full_outer")
+        match(old, new, ["key"], "full_outer", keep_both=True)
         .select(F.explode(versions).alias("row"))
         .filter(F.col("row").isNotNull())
         .select("row.*")

@@ -9,32 +9,17 @@ from pyspark.sql import functions as F
 
 
 def lookup(
-    facts: DataFrame,
-    dimension: DataFrame,
-    keys: str | Sequence[str],
-    how: str = "left",
-    salts: int = 1,
+    facts: DataFrame, dimension: DataFrame, keys: str | Sequence[str], how: str = "left"
 ) -> DataFrame:
     """Add the columns of a dimension that has one row per key.
 
     No broadcast is forced: Spark broadcasts a dimension whose measured size is
     below its threshold and shuffles beyond it, and adaptive execution splits
-    the partition of a hot key. ``salts`` spreads each key over that many
-    partitions without adaptive execution, at the price of as many copies of
-    the dimension.
+    the partition of a hot key.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported lookup join: {how}")
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    if salts == 1:
-        return facts.join(dimension, keys, how)
-    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    return (
-        facts.withColumn("_salt", spread)
-        .join(dimension.withColumn("_salt", copies), [*keys, "_salt"], how)
-        .drop("_salt")
-    )
+    return facts.join(dimension, [keys] if isinstance(keys, str) else list(keys), how)
 
 
 def unmatched(facts: DataFrame, dimension: DataFrame, keys: str | Sequence[str]) -> DataFrame:
@@ -43,10 +28,23 @@ def unmatched(facts: DataFrame, dimension: DataFrame, keys: str | Sequence[str])
     return facts.join(dimension.select(*keys), keys, "left_anti")
 
 
-def match(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join in which null keys match each other; keeps the left keys."""
+def match(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    keep_both: bool = False,
+) -> DataFrame:
+    """Equi-join in which null keys match each other; keeps the left keys.
+
+    ``keep_both`` is for full outer joins: the keys are the left's or else the
+    right's.
+    """
     renamed = right.withColumnsRenamed({k: f"_match_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_match_{k}"))
-    return left.join(renamed, condition, how).drop(*[f"_match_{k}" for k in keys])
+    joined = left.join(renamed, condition, how)
+    if keep_both:
+        joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"_match_{k}")) for k in keys})
+    return joined.drop(*[f"_match_{k}" for k in keys])

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 
 from .joins import match
 
-# Bounds the table of ranges, whatever the number of shuffle partitions is.
-_MAX_RANGES = 1024
-
-
 def _range_number(points: DataFrame, value: str, weight: str, ranges: int) -> DataFrame:
     """Add ``_range``: the number of cut values below ``value``, -1 for null.
 
@@ -65,7 +61,7 @@ def running_total(
     groups = list(groups)
     if ranges is None:
         ranges = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = min(max(ranges, 2), _MAX_RANGES)
+    ranges = max(ranges, 2)
     placed = _range_number(points, value, weight, ranges)
 
     def direction(column: str) -> Column:
@@ -118,15 +114,6 @@ def dense_rank(
     return match(df, ranks.select(*groups, value, name), [*groups, value])
 
 
-def small_dense_rank(
-    df: DataFrame, value: str, name: str, groups: Sequence[str] = (), descending: bool = True
-) -> DataFrame:
-    """The same by a plain window, for tables known to fit one task."""
-    order = F.desc(value) if descending else F.asc(value)
-    rank = F.dense_rank().over(Window.partitionBy(*groups).orderBy(order))
-    return df.withColumn(name, rank.cast("bigint"))
-
-
 def exact_quantiles(
     df: DataFrame,
     value: str,

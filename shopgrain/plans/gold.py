@@ -8,11 +8,12 @@ a stored table: builders with distinct counts read its columns in several passes
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import scratch
+from .. import schemas
 from ..functions import (
     RfmThresholds,
     percent,
@@ -21,7 +22,7 @@ from ..functions import (
     run_time,
     threshold_score,
 )
-from ..operators import dense_rank, group_totals, lookup, small_dense_rank
+from ..operators import dense_rank, group_totals, lookup, match
 
 When = dt.datetime | str | None
 
@@ -57,29 +58,14 @@ def daily_sales(fact: DataFrame, calendar: DataFrame, as_of: When = None) -> Dat
         "day_name",
         "is_weekend",
     )
-    return lookup(daily, days, "order_date").select(
-        "order_date",
-        "date_key",
-        "year",
-        "quarter",
-        "month",
-        "month_name",
-        "day",
-        "day_name",
-        "is_weekend",
-        "total_revenue",
-        "total_profit",
-        "total_cost",
-        percent("total_profit", "total_revenue").alias("profit_margin"),
-        "total_quantity",
-        "total_orders",
-        "total_items",
-        "unique_customers",
-        "unique_products",
-        "avg_order_value",
-        ratio("total_items", "total_orders").alias("avg_items_per_order"),
-        run_time(as_of).alias("load_timestamp"),
+    named = lookup(daily, days, "order_date").withColumns(
+        {
+            "profit_margin": percent("total_profit", "total_revenue"),
+            "avg_items_per_order": ratio("total_items", "total_orders"),
+            "load_timestamp": run_time(as_of),
+        }
     )
+    return named.select(schemas.DAILY_SALES.names)
 
 
 def product_totals(fact: DataFrame) -> DataFrame:
@@ -102,45 +88,29 @@ def product_revenue(fact: DataFrame) -> DataFrame:
     return fact.groupBy("product_id", "category").agg(F.sum("revenue").alias("total_revenue"))
 
 
-# Up to this many products one task may rank them all.
-ONE_TASK_ROWS = 1_000_000
-
-
 def product_performance(
     fact: DataFrame,
     products: DataFrame,
     as_of: When = None,
-    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """``product_performance``: totals, ratios and revenue ranks per product.
 
-    The totals are written to a scratch table first: the fact is aggregated
-    once, and the table's row count tells whether its ranking fits one task or
-    has to be spread.
+    Ranks need the revenue only, so they are found on a narrow aggregation of
+    their own and looked up by product.
     """
-    totals = scratch.materialize(product_totals(fact), "product-totals")
-    rank = small_dense_rank if totals.count() <= one_task_rows else dense_rank
-    ranked = rank(totals, "total_revenue", "revenue_rank_overall")
-    ranked = rank(ranked, "total_revenue", "revenue_rank_in_category", ["category"])
+    revenue = product_revenue(fact)
+    ranks = dense_rank(revenue, "total_revenue", "revenue_rank_overall")
+    ranks = dense_rank(ranks, "total_revenue", "revenue_rank_in_category", ["category"])
+    ranked = match(product_totals(fact), ranks.drop("total_revenue"), ["product_id", "category"])
     goods = products.filter("is_current").select("product_id", "product_name", "price", "rating")
-    return lookup(ranked, goods, "product_id").select(
-        "product_id",
-        "product_name",
-        "category",
-        "price",
-        "rating",
-        "total_revenue",
-        "total_profit",
-        percent("total_profit", "total_revenue").alias("profit_margin"),
-        "total_quantity_sold",
-        "total_orders",
-        "unique_customers",
-        "avg_revenue_per_order",
-        ratio("total_revenue", "total_quantity_sold").alias("avg_revenue_per_unit"),
-        "revenue_rank_overall",
-        "revenue_rank_in_category",
-        run_time(as_of).alias("load_timestamp"),
+    named = lookup(ranked, goods, "product_id").withColumns(
+        {
+            "profit_margin": percent("total_profit", "total_revenue"),
+            "avg_revenue_per_unit": ratio("total_revenue", "total_quantity_sold"),
+            "load_timestamp": run_time(as_of),
+        }
     )
+    return named.select(schemas.PRODUCT_PERFORMANCE.names)
 
 
 def top_products(performance: DataFrame, k: int, per_category: bool = False) -> DataFrame:
@@ -229,30 +199,8 @@ def customer_360(
         ],
     )
     until = F.col("load_timestamp") if today is None else F.lit(today)
-    return add_rfm(measured, until, thresholds).select(
-        "customer_key",
-        "customer_id",
-        "full_name",
-        "email",
-        "country",
-        "segment",
-        "lifetime_revenue",
-        "lifetime_profit",
-        "total_orders",
-        "total_items_purchased",
-        "unique_products_bought",
-        "avg_order_value",
-        "first_order_date",
-        "last_order_date",
-        "days_since_last_order",
-        "days_as_customer",
-        "recency_score",
-        "frequency_score",
-        "monetary_score",
-        "rfm_score",
-        "customer_segment",
-        run_time(as_of).alias("load_timestamp"),
-    )
+    scored = add_rfm(measured, until, thresholds)
+    return scored.withColumn("load_timestamp", run_time(as_of)).select(schemas.CUSTOMER_360.names)
 
 
 def segment_distribution(customers_360: DataFrame) -> DataFrame:
@@ -325,14 +273,39 @@ def cohort_analysis(fact: DataFrame, as_of: When = None) -> DataFrame:
     )
 
 
+def product_months(fact: DataFrame) -> DataFrame:
+    """Revenue and quantity of each product by month."""
+    return fact.groupBy("product_id", "category", "year", "month").agg(
+        F.sum("revenue").alias("total_revenue"), F.sum("quantity").alias("total_quantity")
+    )
+
+
+def product_growth(fact: DataFrame) -> DataFrame:
+    """Revenue change of each product against its previous month with sales."""
+    return revenue_growth(product_months(fact), ["product_id", "category"])
+
+
+def product_mix(fact: DataFrame) -> DataFrame:
+    """Each product's share of its category's revenue in a month."""
+    months = product_months(fact)
+    whole = months.groupBy("category", "year", "month").agg(
+        F.sum("total_revenue").alias("category_revenue")
+    )
+    mixed = match(months, whole, ["category", "year", "month"])
+    return mixed.withColumn("revenue_share", percent("total_revenue", "category_revenue"))
+
+
 def category_growth(categories: DataFrame) -> DataFrame:
     """Revenue change of each category against its previous month with sales."""
-    previous = F.lag("total_revenue").over(
-        Window.partitionBy("category").orderBy("year", "month")
-    )
+    return revenue_growth(categories, ["category"])
+
+
+def revenue_growth(months: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Change of ``total_revenue`` against the previous month that a key has."""
+    previous = F.lag("total_revenue").over(Window.partitionBy(*keys).orderBy("year", "month"))
     change = F.col("total_revenue") - F.col("previous_revenue")
-    return categories.select(
-        "category", "year", "month", "total_revenue", previous.alias("previous_revenue")
+    return months.select(
+        *keys, "year", "month", "total_revenue", previous.alias("previous_revenue")
     ).select(
         "*",
         change.alias("revenue_change"),

@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, scratch
 from ..functions import RfmThresholds
+from ..operators import merge_history
+from ..session import fitted_shuffles
 from ..sinks import write_table
-from ..sources import read_bronze, read_table
+from ..sources import read_bronze, read_day, read_table
+from ..streaming import last_run, record_run, upsert_orders
 from . import gold, silver
 
-SILVER = ("dim_products", "dim_customers", "dim_date", "fact_orders")
+SILVER = ("dim_products", "dim_customers", "dim_date", "fact_orders", "events")
 GOLD = (
     "daily_sales_summary",
     "product_performance",
@@ -23,6 +26,12 @@ GOLD = (
     "category_analysis",
     "cohort_analysis",
 )
+# What a version of a dimension row says about itself; the rest is tracked.
+_STAMPS = ("effective_date", "expiration_date", "is_current", "load_timestamp")
+_DIMENSIONS = {
+    "dim_products": ("product_key", ("product_id",)),
+    "dim_customers": ("customer_key", ("customer_id", "email")),
+}
 
 
 @dataclass(frozen=True)
@@ -30,19 +39,53 @@ class Lakehouse:
     """Silver and gold tables below one root folder.
 
     Every table is written once and read back by the steps that follow it, so
-    no step recomputes an earlier one.
+    no step recomputes an earlier one. Shuffles are fitted to the bytes that a
+    step reads.
     """
 
     spark: SparkSession
     root: str
 
+    def path(self, name: str) -> str:
+        return f"{self.root}/{'silver' if name in SILVER else 'gold'}/{name}"
+
     def table(self, name: str) -> DataFrame:
-        layer = "silver" if name in SILVER else "gold"
-        return read_table(self.spark, f"{self.root}/{layer}", name)
+        return read_table(self.spark, self.path(name).rpartition("/")[0], name)
+
+    def _exists(self, name: str) -> bool:
+        context = self.spark.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
 
     def _store(self, name: str, df: DataFrame) -> None:
-        layer = "silver" if name in SILVER else "gold"
-        write_table(df, f"{self.root}/{layer}/{name}", schemas.PARTITIONING[name])
+        write_table(df, self.path(name), schemas.PARTITIONING[name])
+
+    def _store_dimension(self, name: str, snapshot: DataFrame, as_of: dt.date | None) -> None:
+        """Overwrite, or merge into the stored history if there is one."""
+        if as_of is not None and self._exists(name):
+            key_name, identity = _DIMENSIONS[name]
+            tracked = [c for c in snapshot.columns if c not in (key_name, *_STAMPS)]
+            merged = merge_history(
+                self.table(name), snapshot, key_name, F.coalesce(*identity), tracked, as_of
+            )
+            # A table cannot be read and replaced in the same step.
+            with scratch.materialized(merged, name) as stored:
+                self._store(name, stored)
+        else:
+            self._store(name, snapshot)
+
+    def build_dimensions(
+        self,
+        bronze: Mapping[str, DataFrame],
+        as_of: dt.datetime | str | None = None,
+        history: bool = False,
+    ) -> None:
+        """Products and customers; ``history`` keeps their earlier versions."""
+        day = None
+        if history:
+            day = dt.date.fromisoformat(str(as_of)[:10]) if as_of else dt.date.today()
+        self._store_dimension("dim_products", silver.clean_products(bronze["products"], as_of), day)
+        self._store_dimension("dim_customers", silver.clean_customers(bronze["customers"], as_of), day)
 
     def build_silver(
         self,
@@ -50,30 +93,31 @@ class Lakehouse:
         as_of: dt.datetime | str | None = None,
         calendar: tuple[dt.date | str, dt.date | str] | None = None,
         dedup_orders: bool = False,
+        history: bool = False,
+        inputs: Iterable[str] = (),
     ) -> None:
-        """Dimensions first, then the fact that refers to them, then the calendar.
+        """Dimensions first, then the fact that refers to them, then calendar and events.
 
         Without given bounds the calendar spans the order days of the fact.
+        ``inputs`` are the folders behind the frames, for the size of shuffles.
         """
-        self._store("dim_products", silver.clean_products(bronze["products"], as_of))
-        self._store("dim_customers", silver.clean_customers(bronze["customers"], as_of))
-        self._store(
-            "fact_orders",
-            silver.order_items(
+        with fitted_shuffles(self.spark, inputs):
+            self.build_dimensions(bronze, as_of, history)
+            fact = silver.order_items(
                 bronze["orders"],
                 self.table("dim_products"),
                 self.table("dim_customers"),
                 as_of,
                 dedup_orders,
-            ),
-        )
-        start, end = calendar or (None, None)
-        self._store(
-            "dim_date",
-            silver.date_dimension(
+            )
+            self._store("fact_orders", fact)
+            start, end = calendar or (None, None)
+            days = silver.date_dimension(
                 self.spark, start, end, F.col("order_date"), self.table("fact_orders")
-            ),
-        )
+            )
+            self._store("dim_date", days)
+            if "events" in bronze:
+                self._store("events", silver.clean_events(bronze["events"]))
 
     def build_gold(
         self,
@@ -83,22 +127,61 @@ class Lakehouse:
     ) -> None:
         fact = self.table("fact_orders")
         products, customers = self.table("dim_products"), self.table("dim_customers")
-        self._store("daily_sales_summary", gold.daily_sales(fact, self.table("dim_date"), as_of))
-        self._store("product_performance", gold.product_performance(fact, products, as_of))
-        self._store(
-            "customer_360", gold.customer_360(fact, customers, as_of, thresholds, today)
-        )
-        self._store("category_analysis", gold.category_analysis(fact, as_of))
-        self._store("cohort_analysis", gold.cohort_analysis(fact, as_of))
-
+        with fitted_shuffles(self.spark, [self.path("fact_orders"), self.path("dim_customers")]):
+            self._store("daily_sales_summary", gold.daily_sales(fact, self.table("dim_date"), as_of))
+            self._store("product_performance", gold.product_performance(fact, products, as_of))
+            self._store(
+                "customer_360", gold.customer_360(fact, customers, as_of, thresholds, today)
+            )
+            self._store("category_analysis", gold.category_analysis(fact, as_of))
+            self._store("cohort_analysis", gold.cohort_analysis(fact, as_of))
+
+    def load_day(
+        self,
+        bronze_path: str,
+        day: dt.date | str,
+        log: str,
+        pipeline: str = "orders",
+        as_of: dt.datetime | str | None = None,
+    ) -> bool:
+        """Bring the stored fact up to date with one ingest day, unless the run log
+        says it was loaded; true if it was loaded now.
 
-def build_from_folder(spark: SparkSession, bronze_path: str, root: str, multi_line: bool = True) -> Lakehouse:
+        Days are loaded in order. Orders delivered again replace their items, so
+        a run that broke before it was recorded can be repeated.
+        """
+        before = last_run(self.spark, log, pipeline)
+        if before is not None and before >= dt.date.fromisoformat(str(day)):
+            return False
+        orders = read_day(self.spark, bronze_path, "orders", day)
+        items = silver.order_items(
+            orders, self.table("dim_products"), self.table("dim_customers"), as_of, dedup=True
+        )
+        with fitted_shuffles(self.spark, [self.path("fact_orders")]):
+            if self._exists("fact_orders"):
+                upsert_orders(self.spark, self.path("fact_orders"), items)
+            else:
+                self._store("fact_orders", items)
+        record_run(self.spark, log, pipeline, day, as_of)
+        return True
+
+
+def build_from_folder(
+    spark: SparkSession,
+    bronze_path: str,
+    root: str,
+    multi_line: bool | None = None,
+    history: bool = False,
+    as_of: dt.datetime | str | None = None,
+) -> Lakehouse:
     """Both layers from a folder of bronze documents."""
-    tables = {
-        name: read_bronze(spark, f"{bronze_path.rstrip('/')}/{name}", name, multi_line)
-        for name in ("products", "customers", "orders")
-    }
+    folders = {n: f"{bronze_path.rstrip('/')}/{n}" for n in ("products", "customers", "orders", "events")}
+    context = spark.sparkContext
+    events = context._jvm.org.apache.hadoop.fs.Path(folders["events"])
+    if not events.getFileSystem(context._jsc.hadoopConfiguration()).exists(events):
+        del folders["events"]
+    tables = {n: read_bronze(spark, path, n, multi_line) for n, path in folders.items()}
     house = Lakehouse(spark, root)
-    house.build_silver(tables)
-    house.build_gold()
+    house.build_silver(tables, as_of, history=history, inputs=folders.values())
+    house.build_gold(as_of)
     return house

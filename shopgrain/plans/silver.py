@@ -32,16 +32,16 @@ def _delivery(df: DataFrame) -> list[str]:
 
 def clean_products(bronze: DataFrame, as_of: When = None) -> DataFrame:
     """``dim_products``: the last valid delivery of each product."""
-    price = F.col("price").try_cast("decimal(10,2)")
-    valid = bronze.filter(F.col("id").isNotNull() & (F.col("price").try_cast("double") > 0))
+    price = number_or_null("price", "decimal(10,2)")
+    valid = bronze.filter(F.col("id").isNotNull() & (number_or_null("price", "double") > 0))
     one_each = latest_per_key(valid, ["id"], _delivery(valid))
     cleaned = one_each.select(
         F.col("id").cast("string").alias("product_id"),
         clean_text("title").alias("product_name"),
         F.upper(clean_text("category")).alias("category"),
         price.alias("price"),
-        F.coalesce(F.col("rating.rate"), F.lit(0.0)).try_cast("decimal(3,2)").alias("rating"),
-        F.coalesce(F.col("rating.count"), F.lit(0)).try_cast("int").alias("review_count"),
+        number_or_null(default_if_missing("rating.rate", 0.0), "decimal(3,2)").alias("rating"),
+        number_or_null(default_if_missing("rating.count", 0), "int").alias("review_count"),
         F.col("description").alias("product_description"),
         F.col("image").alias("image_url"),
     )
@@ -77,7 +77,7 @@ def clean_customers(bronze: DataFrame, as_of: When = None, normalise: bool = Tru
         clean_text("address.street").alias("street"),
         clean_text("address.city").alias("city"),
         clean_text("address.zipcode").alias("zipcode"),
-        F.upper(clean_text(F.coalesce("address.country", F.lit("US")))).alias("country"),
+        F.upper(clean_text(default_if_missing("address.country", "US"))).alias("country"),
         customer_tier(customer_id).alias("segment"),
         F.lit(0).cast("decimal(10,2)").alias("lifetime_value"),
     )
@@ -111,6 +111,16 @@ def date_dimension(
     return days.select(*calendar_columns("date"))
 
 
+def default_if_missing(column: str, default: str | float) -> Column:
+    """A column with a default in place of nulls."""
+    return F.coalesce(F.col(column), F.lit(default))
+
+
+def number_or_null(column: str | Column, data_type: str) -> Column:
+    """Text as a number; null where it is none."""
+    return (F.col(column) if isinstance(column, str) else column).try_cast(data_type)
+
+
 def _ordered_items(orders: DataFrame, dedup: bool) -> DataFrame:
     known = orders.filter(F.col("id").isNotNull())
     if dedup:
@@ -140,7 +150,6 @@ def order_items(
     customers: DataFrame,
     as_of: When = None,
     dedup: bool = False,
-    keep_status: bool = False,
 ) -> DataFrame:
     """``fact_orders``: one row per item with a known product and customer.
 
@@ -165,8 +174,7 @@ def order_items(
             "load_timestamp": run_time(as_of),
         }
     )
-    extra = ["status"] if keep_status else []
-    return stamped.select(*schemas.FACT_ORDERS.names, *extra)
+    return stamped.select(schemas.FACT_ORDERS.names)
 
 
 def rejected_items(
@@ -203,3 +211,12 @@ def clean_events(bronze: DataFrame) -> DataFrame:
         "referrer",
         "device",
     )
+
+
+def event_counts(events: DataFrame) -> DataFrame:
+    """Events per customer and type, with the first and last time: funnel steps."""
+    return events.groupBy("customer_id", "event_type").agg(
+        F.count("*").alias("events"),
+        F.min("event_time").alias("first_time"),
+        F.max("event_time").alias("last_time"),
+    )

@@ -21,15 +21,17 @@ def _dims(spark, folder):
 def dim_date(spark, folder):
     days = F.to_date("o_orderdate")
     # Whole years, from the first to the last one with an order.
-    span = warehouse.table(spark, folder, "orders").select(
+    span = warehouse.table(spark, folder, "orders").agg(
+        F.min(days).alias("first"), F.max(days).alias("last")
+    )
+    bounds = span.select(
         F.explode(
             F.array(
-                F.trunc(days, "year"),
-                F.date_sub(F.add_months(F.trunc(days, "year"), 12), 1),
+                F.trunc("first", "year"), F.date_sub(F.add_months(F.trunc("last", "year"), 12), 1)
             )
         ).alias("day")
     )
-    return silver.date_dimension(spark, days_of=F.col("day"), orders=span)
+    return silver.date_dimension(spark, days_of=F.col("day"), orders=bounds)
 
 
 _DATE_SQL = """
@@ -84,10 +86,19 @@ left join region on r_regionkey = n_regionkey
 
 
 def silver_order_items(spark, folder):
+    """Two deliveries of every order, of which the last one counts: the first came
+    without its last item and with another status."""
     products, customers = _dims(spark, folder)
-    fact = silver.order_items(
-        warehouse.orders(spark, folder), products, customers, LOAD_TIME, keep_status=True
+    orders = warehouse.orders(spark, folder)
+    last = orders.withColumn("ingest_date", F.lit("2001-08-02").cast("date"))
+    first = orders.withColumns(
+        {
+            "products": F.expr("slice(products, 1, size(products) - 1)"),
+            "status": F.lit("open"),
+            "ingest_date": F.lit("2001-08-01").cast("date"),
+        }
     )
+    fact = silver.order_items(first.unionByName(last), products, customers, LOAD_TIME, dedup=True)
     return plain(fact, "product_key", "customer_key", "load_timestamp")
 
 
@@ -197,13 +208,13 @@ def join_rejects_anti(spark, folder):
 
 
 def _nested(spark, folder):
+    """One row per order that has items."""
     fields = {"productId": F.col("productId"), "quantity": F.col("quantity")}
     return nest_items(warehouse.items(spark, folder), ["id"], fields, "products")
 
 
 def explode_order_items(spark, folder):
-    orders = warehouse.order_headers(spark, folder).join(_nested(spark, folder), "id", "left")
-    return explode_items(orders, "products", {"product_id": "productId", "quantity": "quantity"})
+    return explode_items(warehouse.orders(spark, folder), "products", {"product_id": "productId", "quantity": "quantity"})
 
 
 def nest_order_items(spark, folder):
@@ -219,12 +230,7 @@ def nest_order_items(spark, folder):
             F.aggregate("products", zero, total).alias("q"),
             F.element_at("products", 1)["productId"].alias("first_product"),
         )
-        .groupBy("id")
-        .agg(
-            F.sum("n").alias("items"),
-            F.sum("q").alias("quantity"),
-            F.min("first_product").alias("first_product"),
-        )
+        .select("id", F.col("n").cast("bigint").alias("items"), F.col("q").alias("quantity"), "first_product")
     )
 
 

@@ -12,22 +12,28 @@ from ..plans import explore
 from ..sources import warehouse
 
 
+_DEVICE = "list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int % 3 + 1)"
+
+
 def kpi_counts(spark, folder):
-    tables = warehouse.bronze(spark, folder)
-    tables["orders"] = warehouse.order_headers(spark, folder)
-    return explore.kpis(tables)
+    return explore.kpis(warehouse.bronze(spark, folder))
 
 
 def raw(spark, folder):
-    """Every dataset picked by name and reduced to its key, with the name."""
+    """Whole rows of every dataset picked by name, under one set of columns."""
     tables = warehouse.bronze(spark, folder)
-    tables["orders"] = warehouse.order_headers(spark, folder)
+    listed = {
+        "Products": ("id", "title", "price", "description", "category", "image", "rating.rate", "rating.count"),
+        "Customers": ("id", "email", "username", "name.firstname", "name.lastname", "address.city",
+                      "address.street", "address.zipcode", "phone"),
+        "Orders": ("id", "userId", "date", "status", "size(products)"),
+        "Events": ("event_id", "event_type", "timestamp", "user_id", "device"),
+    }
     parts = []
     for dataset in explore.DATASETS:
-        df = explore.raw(tables, dataset)
-        parts.append(
-            df.select(F.lit(dataset).alias("dataset"), F.col(df.columns[0]).cast("string").alias("key"))
-        )
+        values = [F.coalesce(F.expr(f"cast({c} as string)"), F.lit("")) for c in listed[dataset]]
+        row = F.concat_ws("|", *values)
+        parts.append(explore.raw(tables, dataset).select(F.lit(dataset).alias("dataset"), row.alias("row")))
     return reduce(DataFrame.unionAll, parts)
 
 
@@ -72,11 +78,10 @@ from j group by category, bin, lo, hi
 def share(spark, folder):
     """Shares behind each chart that shows parts of a whole."""
     tables = warehouse.bronze(spark, folder)
-    headers = warehouse.order_headers(spark, folder)
     charts = {
         "category": explore.category_counts(tables["products"]),
         "city": explore.city_counts(tables["customers"]),
-        "status": explore.status_counts(headers),
+        "status": explore.status_counts(tables["orders"]),
         "device": explore.device_counts(tables["events"]),
     }
     parts = [
@@ -91,8 +96,6 @@ def share(spark, folder):
     return reduce(DataFrame.unionAll, parts)
 
 
-_DEVICE = "list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int % 3 + 1)"
-
 _SHARE_SQL = f"""
 with v as (
   select 'category' as chart, p_type as value from part
@@ -123,10 +126,18 @@ QUERIES = {
     ),
     "explore_raw": (
         raw,
-        """select 'Products' as dataset, p_partkey::varchar as key from part
-           union all select 'Customers', c_custkey::varchar from customer
-           union all select 'Orders', o_orderkey::varchar from orders
-           union all select 'Events', event_id::varchar from events""",
+        f"""select 'Products' as dataset, concat_ws('|', p_partkey, p_name, p_retailprice, p_brand, p_type,
+                   '/img/' || p_partkey || '.jpg', p_size % 5 + 0.5, p_size * 10) as row from part
+           union all select 'Customers', concat_ws('|', c_custkey, lower(c_name) || '@email.com', c_name,
+                   split_part(c_name, '#', 1), split_part(c_name, '#', 2), coalesce(n_name, ''),
+                   coalesce(c_mktsegment, ''), lpad(c_nationkey::varchar, 5, '0'), c_name)
+             from customer left join nation on n_nationkey = c_nationkey
+           union all select 'Orders', concat_ws('|', o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d'),
+                   o_orderstatus, coalesce(nullif(count(l_orderkey), 0)::varchar, ''))
+             from orders left join lineitem on l_orderkey = o_orderkey
+             group by o_orderkey, o_custkey, o_orderdate, o_orderstatus
+           union all select 'Events', concat_ws('|', event_id, event_type,
+                   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f'), user_id, {_DEVICE}) from events""",
     ),
     "explore_price_stats": (price_stats, _STATS_SQL),
     "explore_price_histogram": (price_histogram, _HISTOGRAM_SQL),
@@ -153,7 +164,7 @@ QUERIES = {
         ),
     ),
     "explore_status_counts": (
-        lambda spark, folder: explore.status_counts(warehouse.order_headers(spark, folder)),
+        lambda spark, folder: explore.status_counts(warehouse.orders(spark, folder)),
         _counts_sql("o_orderstatus", "status", "orders"),
     ),
     "explore_event_counts": (
@@ -165,7 +176,7 @@ QUERIES = {
         _counts_sql(_DEVICE, "device", "events"),
     ),
     "explore_daily_orders": (
-        lambda spark, folder: explore.daily_orders(warehouse.order_headers(spark, folder)),
+        lambda spark, folder: explore.daily_orders(warehouse.orders(spark, folder)),
         _counts_sql("o_orderdate::date", "date", "orders"),
     ),
     "explore_search": (

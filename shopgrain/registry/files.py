@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import scratch
-from ..operators import nest_items
 from ..plans import silver
 from ..schemas import BRONZE_PRODUCTS
 from ..sinks import (
@@ -25,11 +26,12 @@ from ..sources import (
     read_bronze,
     read_day,
     read_documents,
+    read_table,
     register,
     warehouse,
 )
 from .cleaning import PRODUCTS_SQL
-from .common import AS_OF, ITEMS_CTE, LOAD_TIME, lake, plain
+from .common import AS_OF, ITEMS_CTE, LOAD_TIME, THRESHOLDS, lake, plain
 
 
 def _on(day):
@@ -63,15 +65,19 @@ def bronze_customers(spark, folder):
     address = F.col("address").dropFields("country")
     write_documents(people.withColumn("address", address).select("*", _on(AS_OF)), path, "day")
     return read_bronze(spark, path, "customers").select(
-        "id", "email", "username", "name.firstname", "name.lastname", "address.city",
-        "address.number", "address.country", "phone", "ingest_date",
+        "id", "email", "username", "password", "name.firstname", "name.lastname",
+        "address.city", "address.street", "address.number", "address.zipcode",
+        "address.geolocation.lat", "address.country", "phone", "ingest_date",
     )
 
 
 _BRONZE_CUSTOMERS_SQL = f"""
 select c_custkey as id, lower(c_name) || '@email.com' as email, c_name as username,
+       null::varchar as password,
        split_part(c_name, '#', 1) as firstname, split_part(c_name, '#', 2) as lastname,
-       n_name as city, c_nationkey::bigint as number, null::varchar as country,
+       n_name as city, c_mktsegment as street, c_nationkey::bigint as number,
+       lpad(c_nationkey::varchar, 5, '0') as zipcode, null::varchar as lat,
+       null::varchar as country,
        c_name as phone, date '{AS_OF}' as ingest_date
 from customer left join nation on n_nationkey = c_nationkey
 """
@@ -79,13 +85,7 @@ from customer left join nation on n_nationkey = c_nationkey
 
 def _order_documents(spark, folder):
     """Orders with their items, ingested at the end of the month they were made in."""
-    fields = {"productId": F.col("productId"), "quantity": F.col("quantity")}
-    nested = nest_items(warehouse.items(spark, folder), ["id"], fields, "products")
-    return (
-        warehouse.order_headers(spark, folder)
-        .join(nested, "id", "left")
-        .withColumn("day", F.last_day(F.to_date("date")))
-    )
+    return warehouse.orders(spark, folder).withColumn("day", F.last_day(F.to_date("date")))
 
 
 def bronze_orders(spark, folder):
@@ -96,11 +96,10 @@ def bronze_orders(spark, folder):
         "products", F.lit(0).cast("bigint"), lambda total, item: total + item["quantity"]
     )
     return (
-        read_bronze(spark, path, "orders")
-        .groupBy("id", "userId", "date", "status", "ingest_date")
-        .agg(
-            F.sum(F.coalesce(F.size("products"), F.lit(0))).alias("items"),
-            F.sum(quantity).alias("quantity"),
+        read_bronze(spark, path, "orders").select(
+            "id", "userId", "date", "status", "ingest_date",
+            F.coalesce(F.size("products"), F.lit(0)).cast("bigint").alias("items"),
+            quantity.alias("quantity"),
         )
     )
 
@@ -123,7 +122,7 @@ def _events_by_day(spark, folder):
 
 def bronze_events(spark, folder):
     path = _events_by_day(spark, folder)
-    return read_bronze(spark, path, "events", multi_line=False).select(
+    return read_bronze(spark, path, "events").select(
         "event_id", "event_type", "timestamp", "user_id", "device", "ingest_date"
     )
 
@@ -150,7 +149,7 @@ def tolerant_json(spark, folder):
         f"{path}/broken"
     )
     export_csv(products.select("id", "title"), f"{path}/other")
-    found = read_documents(spark, path, BRONZE_PRODUCTS, pattern="*.{txt,json}")
+    found = read_documents(spark, path, BRONZE_PRODUCTS)
     return found.select("id", "title", F.col("price").cast("double").alias("price"), "category")
 
 
@@ -162,7 +161,9 @@ def day_partition(spark, folder):
     last = warehouse.table(spark, folder, "orders").agg(
         F.last_day(F.to_date(F.max("o_orderdate"))).alias("day")
     )
-    return read_day(spark, path, "orders", last.first().day).select("id", "userId", "date", "status")
+    return read_day(spark, path, "orders", last.first().day).select(
+        "id", "userId", "date", "status", F.size("products").cast("bigint").alias("items")
+    )
 
 
 def dim_lookup(spark, folder):
@@ -181,7 +182,7 @@ FACT_SQL = f"""
 with {ITEMS_CTE}
 select order_id, order_date, customer_id, product_id, category, quantity,
        revenue::double as revenue, cost::double as cost, profit::double as profit,
-       year, month, day
+       year, month, day, status
 from fact
 """
 
@@ -218,8 +219,8 @@ def discover_evolve(spark, folder):
     """Two deliveries, the second with one more column; both stay readable."""
     path = scratch.new_path(spark, "deliveries")
     parts = warehouse.table(spark, folder, "part")
-    parts.select("p_partkey", "p_name").write.json(f"{path}/1")
-    parts.select("p_partkey", "p_name", "p_size").write.json(f"{path}/2")
+    parts.drop("p_size").write.json(f"{path}/1")
+    parts.write.json(f"{path}/2")
     found = [discover(spark, f"{path}/{n}", multi_line=False) for n in (1, 2)]
     return evolve(found)
 
@@ -237,11 +238,59 @@ def catalog_sql(spark, folder):
 
 
 def roundtrip_partitioned(spark, folder):
-    path = scratch.new_path(spark, "by-month")
+    """Products under categories that look like numbers, and one without any."""
+    root = scratch.new_path(spark, "by-category")
     products = silver.clean_products(warehouse.products(spark, folder), LOAD_TIME)
-    write_table(products, path, ["category"])
-    stored = spark.read.parquet(path)
-    return plain(stored, "product_key", "load_timestamp")
+    code = F.when(F.col("category") == "PROMO", "").when(F.col("category") == "SMALL", "007")
+    products = products.withColumn("category", F.coalesce(code, "category"))
+    write_table(products, f"{root}/dim_products", ["category"])
+    return plain(read_table(spark, root, "dim_products"), "product_key", "load_timestamp")
+
+
+def roundtrip_all(spark, folder):
+    """Rows and sums of every partitioned table, as read back under its schema."""
+    house = lake(spark, folder)
+    house.build_gold(LOAD_TIME, THRESHOLDS)
+    measures = {
+        "dim_products": ("category", "price"),
+        "dim_customers": ("country", "lifetime_value"),
+        "fact_orders": ("year", "revenue"),
+        "daily_sales_summary": ("month", "total_revenue"),
+        "product_performance": ("category", "total_revenue"),
+        "customer_360": ("country", "lifetime_revenue"),
+        "category_analysis": ("category", "total_revenue"),
+    }
+    parts = [
+        house.table(name).groupBy(F.col(key).cast("string").alias("key")).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows"),
+            F.sum(value).cast("double").alias("total"),
+        )
+        for name, (key, value) in measures.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_ALL_SQL = f"""
+with {ITEMS_CTE},
+people as (
+  select c_custkey::varchar as customer_id, upper(coalesce(r_name, 'US')) as country
+  from customer left join nation on n_nationkey = c_nationkey
+  left join region on r_regionkey = n_regionkey
+),
+days as (select order_date, month, sum(revenue) as revenue from fact group by all),
+products as (select product_id, category, sum(revenue) as revenue from fact group by all),
+buyers as (select country, sum(revenue) as revenue from people left join fact using (customer_id)
+           group by customer_id, country),
+months as (select category, year, month, sum(revenue) as revenue from fact group by all)
+select upper(trim(p_type)) as key, 'dim_products' as table_name, count(*) as rows,
+       sum(p_retailprice::decimal(10,2))::double as total from part group by 1
+union all select country, 'dim_customers', count(*), 0::double from people group by 1
+union all select year::varchar, 'fact_orders', count(*), sum(revenue)::double from fact group by 1
+union all select month::varchar, 'daily_sales_summary', count(*), sum(revenue)::double from days group by 1
+union all select category, 'product_performance', count(*), sum(revenue)::double from products group by 1
+union all select country, 'customer_360', count(*), coalesce(sum(revenue), 0)::double from buyers group by 1
+union all select category, 'category_analysis', count(*), sum(revenue)::double from months group by 1
+"""
 
 
 def roundtrip_flat(spark, folder):
@@ -263,18 +312,24 @@ def dynamic_overwrite(spark, folder):
 
 
 def bronze_json(spark, folder):
+    """JSON lines by ingest day, read back with the default reader."""
     path = scratch.new_path(spark, "lines")
-    headers = warehouse.order_headers(spark, folder)
-    write_bronze_json(headers, path, F.last_day(F.to_date("date")))
-    schema = StructType(list(headers.schema)).add("ingest_date", "date")
-    return spark.read.schema(schema).json(path)
+    write_bronze_json(warehouse.orders(spark, folder), path, F.last_day(F.to_date("date")))
+    items = F.coalesce(F.size("products"), F.lit(0)).cast("bigint")
+    return read_bronze(spark, path, "orders").select(
+        "id", "userId", "date", "status", "ingest_date", items.alias("items")
+    )
 
 
 def events_by_day(spark, folder):
-    """Rows per folder, the folder names being read as text."""
-    path = _events_by_day(spark, folder)
-    schema = "event_id string, year string, month string, day string"
-    return spark.read.schema(schema).json(path).select("event_id", "year", "month", "day")
+    """The events of the last day there is, read by day with the default reader."""
+    path = scratch.new_path(spark, "bronze")
+    events = warehouse.events(spark, folder)
+    write_events(events, f"{path}/events", F.to_date(F.to_timestamp("timestamp")))
+    last = warehouse.table(spark, folder, "events").agg(F.to_date(F.max("ts")).alias("day"))
+    return read_day(spark, path, "events", last.first().day).select(
+        "event_id", "event_type", "timestamp", "user_id", "device"
+    )
 
 
 def csv_export(spark, folder):
@@ -308,9 +363,11 @@ QUERIES = {
     "src_day_partition": (
         day_partition,
         """select o_orderkey as id, o_custkey as "userId",
-                  strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status
-           from orders
+                  strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status,
+                  nullif(count(l_orderkey), 0) as items
+           from orders left join lineitem on l_orderkey = o_orderkey
            where last_day(o_orderdate::date) = (select last_day(max(o_orderdate)::date) from orders)
+           group by o_orderkey, o_custkey, o_orderdate, o_orderstatus
         """,
     ),
     "src_dim_lookup": (
@@ -322,8 +379,8 @@ QUERIES = {
     "src_dim_gold": (stored_dims, _STORED_DIMS_SQL),
     "cat_discover_evolve": (
         discover_evolve,
-        """select p_partkey, p_name, null::bigint as p_size from part
-           union all select p_partkey, p_name, p_size from part""",
+        """select * replace (null::bigint as p_size) from part
+           union all select * replace (p_size::bigint as p_size) from part""",
     ),
     "cat_sql": (
         catalog_sql,
@@ -331,7 +388,13 @@ QUERIES = {
                   sum(l_extendedprice::decimal(12,2))::double as price
            from orders join lineitem on l_orderkey = o_orderkey group by o_orderstatus""",
     ),
-    "sink_roundtrip_partitioned": (roundtrip_partitioned, PRODUCTS_SQL),
+    "sink_roundtrip_partitioned": (
+        roundtrip_partitioned,
+        f"""select * replace (nullif(case category when 'PROMO' then '' when 'SMALL' then '007'
+                                     else category end, '') as category)
+            from ({PRODUCTS_SQL})""",
+    ),
+    "sink_roundtrip_all": (roundtrip_all, _ALL_SQL),
     "sink_roundtrip_flat": (roundtrip_flat, "select * from customer"),
     "sink_dynamic_overwrite": (
         dynamic_overwrite,
@@ -342,12 +405,15 @@ QUERIES = {
         bronze_json,
         """select o_orderkey as id, o_custkey as "userId",
                   strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status,
-                  last_day(o_orderdate::date) as ingest_date from orders""",
+                  last_day(o_orderdate::date) as ingest_date, count(l_orderkey) as items
+           from orders left join lineitem on l_orderkey = o_orderkey
+           group by o_orderkey, o_custkey, o_orderdate, o_orderstatus""",
     ),
     "sink_bronze_events": (
         events_by_day,
-        """select event_id::varchar as event_id, strftime(ts, '%Y') as year,
-                  strftime(ts, '%m') as month, strftime(ts, '%d') as day from events""",
+        f"""select event_id::varchar as event_id, event_type,
+                   strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, user_id, {_DEVICE} as device
+            from events where ts::date = (select max(ts)::date from events)""",
     ),
     "sink_csv_export": (csv_export, "select * from customer"),
     "run_summary": (

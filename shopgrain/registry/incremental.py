@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import scratch
-from ..schemas import PARTITIONING
-from ..sinks import write_table
+from ..plans.lakehouse import Lakehouse
+from ..schemas import BRONZE, PARTITIONING
+from ..sinks import write_bronze_json, write_table
 from ..sources import warehouse
 from ..streaming import (
     current_watermarks,
@@ -16,7 +17,7 @@ from ..streaming import (
     record_run,
     upsert_orders,
 )
-from .common import lake, plain
+from .common import LOAD_TIME, lake, plain
 from .files import FACT_SQL
 
 
@@ -70,22 +71,53 @@ def fact_upsert(spark, folder):
 
 
 def stream_available(spark, folder):
-    """Load the events file, ask for more, and count what was stored."""
-    schema = warehouse.table(spark, folder, "events").schema
-    target = scratch.new_path(spark, "events")
-    checkpoint = scratch.new_path(spark, "events-checkpoint")
+    """Load the day folders of the orders, ask for more, and read what was stored.
+
+    The documents' own dates differ from the days of their folders."""
+    source = scratch.new_path(spark, "bronze-orders")
+    orders = warehouse.orders(spark, folder)
+    write_bronze_json(orders, source, F.last_day(F.to_date("date")))
+    target = scratch.new_path(spark, "orders")
+    checkpoint = scratch.new_path(spark, "orders-checkpoint")
     for _ in range(2):
-        load_available(
-            spark, folder, target, schema, checkpoint, file_format="parquet",
-            pattern="events.parquet",
-        )
-    return (
-        spark.read.parquet(target)
-        .groupBy("event_type")
-        .agg(F.count("*").alias("count"), F.count_distinct("batch_id").alias("batches"))
+        load_available(spark, source, target, BRONZE["orders"], checkpoint)
+    return spark.read.parquet(target).select(
+        "id", "date", "status", "ingest_date", F.col("batch_id").cast("bigint").alias("batch_id"),
+        F.coalesce(F.size("products"), F.lit(0)).cast("bigint").alias("items"),
     )
 
 
+_STREAM_SQL = """
+select o_orderkey as id, strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status,
+       last_day(o_orderdate::date) as ingest_date, 0::bigint as batch_id,
+       count(l_orderkey) as items
+from orders left join lineitem on l_orderkey = o_orderkey
+group by o_orderkey, o_orderdate, o_orderstatus
+"""
+
+
+def daily_run(spark, folder):
+    """The fact brought up to date day by day: everything on the first day, on the
+    second the orders of 2001 again with another status; both days asked for twice."""
+    root, lake_root = scratch.new_path(spark, "daily-bronze"), scratch.new_path(spark, "daily-lake")
+    log = scratch.new_path(spark, "daily-log")
+    orders = warehouse.orders(spark, folder)
+    write_bronze_json(orders, f"{root}/orders", F.lit("2001-08-01").cast("date"))
+    again = orders.filter("date >= '2001-01-01'").withColumn("status", F.lit("again"))
+    write_bronze_json(again, f"{root}/orders", F.lit("2001-08-02").cast("date"))
+    house = Lakehouse(spark, lake_root)
+    house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
+    for day in ("2001-08-01", "2001-08-01", "2001-08-02", "2001-08-02"):
+        house.load_day(root, day, log, as_of=LOAD_TIME)
+    return plain(house.table("fact_orders"), "product_key", "customer_key", "load_timestamp", "discount")
+
+
+_DAILY_SQL = f"""
+select * replace (case when order_date >= date '2001-01-01' then 'again' else status end as status)
+from ({FACT_SQL})
+"""
+
+
 QUERIES = {
     "inc_fact_upsert": (fact_upsert, FACT_SQL),
     "inc_watermark_upsert": (watermark_upsert, _UPSERT_SQL),
@@ -94,9 +126,9 @@ QUERIES = {
         """select o_orderkey, o_custkey, o_orderdate::date as order_date from orders
            where o_orderdate::date > date '2001-07-01'""",
     ),
+    "inc_daily_run": (daily_run, _DAILY_SQL),
     "inc_stream_available_now": (
         stream_available,
-        """select event_type, count(*) as count, 1::bigint as batches
-           from events group by event_type""",
+        _STREAM_SQL,
     ),
 }

@@ -4,57 +4,73 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import run_time
-from ..operators import merge_history, open_versions
+from .. import scratch
 from ..plans import gold, silver
+from ..plans.lakehouse import Lakehouse
 from ..sources import warehouse
 from .common import AS_OF, ITEMS_CTE, LOAD_TIME, cents, half_up, lake, plain
 from .gold import COHORT_CTE
 
 
 def scd2(spark, folder):
-    """Parts loaded once, then again with dearer small parts and new brands missing."""
-    parts = warehouse.table(spark, folder, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
-        "p_size",
-        "p_brand",
+    """Both dimensions of a lakehouse that keeps history, loaded twice and then again.
+
+    The second load, thirty days later, has dearer small parts, lacks the parts of one
+    brand, and knows new names for customers in debt."""
+    house = Lakehouse(spark, scratch.new_path(spark, "history"))
+    products, people = warehouse.products(spark, folder), warehouse.customers(spark, folder)
+    dear = F.when(F.col("rating.count") < 150, (F.col("price").cast("decimal(10,2)") + 1).cast("string"))
+    debtors = warehouse.table(spark, folder, "customer").filter("c_acctbal < 0").select(
+        F.col("c_custkey").alias("id"), F.lit("Doe").alias("_name")
     )
-    loaded = run_time(LOAD_TIME)
-    old = open_versions(
-        parts.filter(F.col("p_brand") != "Brand#2"), "product_key", "product_id", loaded
+    name = F.when(F.col("_name").isNotNull(), F.col("name").withField("lastname", F.col("_name")))
+    first = {"products": products.filter("description <> 'Brand#2'"), "customers": people}
+    later = {
+        "products": products.filter("description <> 'Brand#3'").withColumn("price", F.coalesce(dear, "price")),
+        "customers": people.join(debtors, "id", "left").withColumn("name", F.coalesce(name, "name")).drop("_name"),
+    }
+    house.build_dimensions(first, f"{AS_OF} 00:00:00", history=True)
+    for _ in range(2):
+        house.build_dimensions(later, f"{AS_OF + dt.timedelta(days=30)} 00:00:00", history=True)
+    stamps = ["effective_date", "expiration_date", "is_current"]
+    goods = house.table("dim_products").select(
+        F.lit("product").alias("dimension"), F.col("product_id").alias("id"), "product_key",
+        F.col("price").cast("string").alias("value"), *stamps,
     )
-    new = parts.filter(F.col("p_brand") != "Brand#3").withColumn(
-        "price", F.when(F.col("p_size") < 15, F.col("price") + 1).otherwise(F.col("price"))
-        .cast("decimal(10,2)")
+    names = house.table("dim_customers").select(
+        F.lit("customer"), "customer_id", "customer_key", "last_name", *stamps
     )
-    snapshot = open_versions(new, "product_key", "product_id", loaded)
-    merged = merge_history(
-        old, snapshot, "product_key", "product_id", ["product_name", "price"],
-        AS_OF + dt.timedelta(days=30), close_missing=True,
-    )
-    return plain(merged, "product_key", "load_timestamp", "p_size", "p_brand")
+    both = goods.unionAll(names)
+    # How many versions share a key: one, everywhere.
+    return both.withColumn(
+        "same_key", F.count("*").over(Window.partitionBy("dimension", "product_key"))
+    ).drop("product_key")
 
 
 _SCD2_SQL = f"""
 with p as (
-  select p_partkey as product_id, p_name as product_name, p_retailprice::decimal(10,2) as price,
-         p_size < 15 as dearer, p_brand <> 'Brand#2' as was, p_brand <> 'Brand#3' as stays,
-         date '{AS_OF}' as first_day, date '{AS_OF}' + 30 as next_day
+  select p_partkey::varchar as id, p_retailprice::decimal(10,2) as price,
+         p_size < 15 as dearer, p_brand <> 'Brand#2' as was, p_brand <> 'Brand#3' as stays
   from part
-)
-select product_id, product_name, price::double as price, first_day as effective_date,
-       case when stays and not dearer then date '2099-12-31' else next_day end::date
-         as expiration_date,
-       stays and not dearer as is_current
-from p where was
+), days as (select date '{AS_OF}' as first_day, (date '{AS_OF}' + 30)::date as next_day,
+                   date '2099-12-31' as open_end)
+select 'product' as dimension, id, price::varchar as value, first_day as effective_date,
+       case when stays and dearer then next_day else open_end end as expiration_date,
+       not (stays and dearer) as is_current, 1::bigint as same_key
+from p, days where was
+union all
+select 'product', id, (price + dearer::int)::decimal(10,2)::varchar, next_day, open_end, true, 1
+from p, days where stays and (not was or dearer)
 union all
-select product_id, product_name, (price + dearer::int)::double, next_day::date,
-       date '2099-12-31', true
-from p where stays and (not was or dearer)
+select 'customer', c_custkey::varchar, split_part(c_name, '#', 2), first_day,
+       case when c_acctbal < 0 then next_day else open_end end, c_acctbal >= 0, 1
+from customer, days
+union all
+select 'customer', c_custkey::varchar, 'Doe', next_day, open_end, true, 1
+from customer, days where c_acctbal < 0
 """
 
 
@@ -74,6 +90,44 @@ from g
 """
 
 
+def product_growth(spark, folder):
+    return plain(gold.product_growth(lake(spark, folder).table("fact_orders")))
+
+
+def product_mix(spark, folder):
+    return plain(gold.product_mix(lake(spark, folder).table("fact_orders")))
+
+
+_PRODUCT_GROWTH_SQL = f"""
+with {ITEMS_CTE},
+c as (select product_id, category, year, month, sum(revenue) as r from fact group by all),
+g as (select *, lag(r) over (partition by product_id, category order by year, month) as p from c)
+select product_id, category, year, month, r::double as total_revenue,
+       p::double as previous_revenue, (r - p)::double as revenue_change,
+       {half_up("100 * " + cents("r - p"), cents("p"), 2)} as growth_percent
+from g
+"""
+
+_PRODUCT_MIX_SQL = f"""
+with {ITEMS_CTE},
+c as (select product_id, category, year, month, sum(revenue) as r, sum(quantity)::bigint as q
+      from fact group by all),
+m as (select *, sum(r) over (partition by category, year, month) as w from c)
+select product_id, category, year, month, r::double as total_revenue, q as total_quantity,
+       w::double as category_revenue, {half_up("100 * " + cents("r"), cents("w"), 2)} as revenue_share
+from m
+"""
+
+
+def event_counts(spark, folder):
+    """Counts from the stored events."""
+    counts = silver.event_counts(lake(spark, folder).table("events"))
+    return counts.select(
+        "customer_id", "event_type", "events",
+        F.unix_micros("first_time").alias("first_micros"), F.unix_micros("last_time").alias("last_micros"),
+    )
+
+
 def retention(spark, folder):
     fact = lake(spark, folder).table("fact_orders")
     return plain(gold.cohort_retention(gold.cohort_analysis(fact, LOAD_TIME)))
@@ -103,8 +157,7 @@ def lifetime_value(spark, folder):
 
 
 def typed_events(spark, folder):
-    events = silver.clean_events(warehouse.events(spark, folder))
-    return events.select(
+    return lake(spark, folder).table("events").select(
         "event_id",
         "event_type",
         F.unix_micros("event_time").alias("micros"),
@@ -117,6 +170,14 @@ def typed_events(spark, folder):
 QUERIES = {
     "scd2_merge": (scd2, _SCD2_SQL),
     "category_growth": (growth, _GROWTH_SQL),
+    "product_growth": (product_growth, _PRODUCT_GROWTH_SQL),
+    "product_mix": (product_mix, _PRODUCT_MIX_SQL),
+    "event_counts": (
+        event_counts,
+        """select user_id::varchar as customer_id, event_type, count(*) as events,
+                  min(epoch_us(ts)) as first_micros, max(epoch_us(ts)) as last_micros
+           from events group by all""",
+    ),
     "cohort_retention": (retention, _RETENTION_SQL),
     "daily_category_rollup": (
         rollup,

@@ -18,6 +18,7 @@ from ..operators import (
 )
 from ..operators.quality import RESULT, result_records
 from ..plans import suites
+from ..sinks import write_bronze_json
 from ..sources import warehouse
 
 # The part types of the test tables, in place of the shop's categories.
@@ -174,7 +175,7 @@ def _customers(spark, folder):
 
 def _orders(spark, folder):
     return check(
-        warehouse.order_headers(spark, folder), "orders", suites.orders_suite(), skip_empty=True
+        warehouse.orders(spark, folder), "orders", suites.orders_suite(), skip_empty=True
     )
 
 
@@ -316,7 +317,45 @@ def verdicts(spark, folder):
     return verdict(summaries, RUN_ID, RUN_DAY).unionAll(verdict(nothing, "empty", RUN_DAY))
 
 
+def daily_run(spark, folder):
+    """A day of bronze files checked in one call, twice under one run id, then another
+    day without any: stored results of the run, messages and both verdicts."""
+    root, store = scratch.new_path(spark, "dq-bronze"), scratch.new_path(spark, "dq-store")
+    day = F.lit(RUN_DAY).cast("date")
+    for name in ("products", "customers", "orders"):
+        write_bronze_json(warehouse.bronze(spark, folder)[name], f"{root}/{name}", day)
+    rules = {
+        "products": suites.products_suite(TYPES),
+        "customers": suites.customers_suite(),
+        "orders": suites.orders_suite(),
+    }
+    for _ in range(2):
+        run = suites.check_day(spark, root, RUN_DAY, RUN_ID, store, RUN_TIME, rules)
+    empty = suites.check_day(spark, root, "2001-01-01", "empty", store, RUN_TIME, rules)
+    text = F.lit(None).cast("string")
+    found = run.records.join(run.alerts, "table_name", "left").select(
+        "run_id", "table_name", "total_checks", "checks_failed", "all_passed", "message"
+    )
+    verdicts = run.verdict.unionAll(empty.verdict).select(
+        "run_id", text.alias("table_name"), F.col("tables_checked").alias("total_checks"),
+        F.col("tables_failed").alias("checks_failed"), "all_passed", text.alias("message"),
+    )
+    return found.unionByName(verdicts)
+
+
 QUERIES = {
+    "dq_daily_run": (
+        daily_run,
+        f"""with {_SUMMARY_CTE}
+        select '{RUN_ID}' as run_id, table_name, total_checks, checks_failed, all_passed,
+               case when not all_passed then 'Table: ' || table_name || chr(10) || '  Checks Failed: '
+                 || checks_failed || '/' || total_checks || chr(10) || '  Success Rate: '
+                 || success_rate || '%' end as message
+        from summary
+        union all select '{RUN_ID}', null, count(*), count(*) filter (not all_passed),
+                         bool_and(all_passed), null from summary
+        union all select 'empty', null, 0, 0, true, null""",
+    ),
     "dq_not_null": (not_null, _NOT_NULL_SQL),
     "dq_unique": (unique, _UNIQUE_SQL),
     "dq_range": (value_range, _RANGE_SQL),

@@ -12,8 +12,11 @@ from ..functions import (
     line_metrics,
     percent,
     ratio,
+    threshold_score,
     to_day,
 )
+from ..operators.history import OPEN_END
+from ..plans.silver import default_if_missing, number_or_null
 from ..sources import warehouse
 from .common import half_up, plain
 
@@ -38,12 +41,9 @@ def conditional(spark, folder):
     people = warehouse.table(spark, folder, "customer")
     return people.join(known, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
         "c_custkey",
-        F.coalesce("n_name", F.lit("US")).alias("country"),
-        F.coalesce("n_regionkey", F.lit(0)).alias("region"),
-        F.when(F.col("c_acctbal") < 0, "DEBT")
-        .when(F.col("c_acctbal") < 5000, "LOW")
-        .otherwise("HIGH")
-        .alias("balance"),
+        default_if_missing("n_name", "US").alias("country"),
+        default_if_missing("n_regionkey", 0).alias("region"),
+        threshold_score(F.col("c_acctbal"), (9000, 5000, 2000, 0)).alias("balance"),
     )
 
 
@@ -51,11 +51,13 @@ def casts(spark, folder):
     parts = warehouse.table(spark, folder, "part")
     return parts.select(
         "p_partkey",
-        F.col("p_name").try_cast("int").alias("name_as_int"),
-        F.col("p_retailprice").cast("string").try_cast("decimal(10,2)").cast("double").alias("price"),
-        F.col("p_size").cast("string").try_cast("int").alias("size"),
+        number_or_null("p_name", "int").alias("name_as_int"),
+        number_or_null(F.col("p_retailprice").cast("string"), "decimal(10,2)")
+        .cast("double")
+        .alias("price"),
+        number_or_null(F.col("p_size").cast("string"), "int").alias("size"),
         F.col("p_partkey").cast("string").alias("key_text"),
-        F.lit("2099-12-31").cast("date").alias("expiration"),
+        F.lit(OPEN_END).cast("date").alias("expiration"),
     )
 
 
@@ -155,8 +157,9 @@ QUERIES = {
     "fn_conditional": (
         conditional,
         """select c_custkey, coalesce(n_name, 'US') as country, coalesce(n_regionkey, 0) as region,
-                  case when c_acctbal < 0 then 'DEBT' when c_acctbal < 5000 then 'LOW'
-                       else 'HIGH' end as balance
+                  (case when c_acctbal >= 9000 then 5 when c_acctbal >= 5000 then 4
+                        when c_acctbal >= 2000 then 3 when c_acctbal >= 0 then 2
+                        else 1 end)::int as balance
            from customer left join (select * from nation where n_regionkey <> 0)
              on n_nationkey = c_nationkey""",
     ),

@@ -122,6 +122,20 @@ FACT_ORDERS = struct(
     month="integer",
     day="integer",
     load_timestamp="timestamp",
+    status="string",
+)
+
+EVENTS = struct(
+    event_id="string",
+    event_type="string",
+    event_time="timestamp",
+    event_date="date",
+    customer_id="string",
+    session_id="string",
+    product_id="string",
+    page_url="string",
+    referrer="string",
+    device="string",
 )
 
 DIM_DATE = struct(
@@ -139,6 +153,101 @@ DIM_DATE = struct(
     date_key="integer",
 )
 
+# The gold tables. Their consumers know these names, in this order.
+DAILY_SALES = struct(
+    order_date="date",
+    date_key="integer",
+    year="integer",
+    quarter="integer",
+    month="integer",
+    month_name="string",
+    day="integer",
+    day_name="string",
+    is_weekend="boolean",
+    total_revenue="decimal(20,2)",
+    total_profit="decimal(20,2)",
+    total_cost="decimal(20,2)",
+    profit_margin="decimal(27,2)",
+    total_quantity="long",
+    total_orders="long",
+    total_items="long",
+    unique_customers="long",
+    unique_products="long",
+    avg_order_value="decimal(14,6)",
+    avg_items_per_order="double",
+    load_timestamp="timestamp",
+)
+
+PRODUCT_PERFORMANCE = struct(
+    product_id="string",
+    product_name="string",
+    category="string",
+    price="decimal(10,2)",
+    rating="decimal(3,2)",
+    total_revenue="decimal(20,2)",
+    total_profit="decimal(20,2)",
+    profit_margin="decimal(27,2)",
+    total_quantity_sold="long",
+    total_orders="long",
+    unique_customers="long",
+    avg_revenue_per_order="decimal(14,6)",
+    avg_revenue_per_unit="decimal(21,2)",
+    revenue_rank_overall="long",
+    revenue_rank_in_category="long",
+    load_timestamp="timestamp",
+)
+
+CUSTOMER_360 = struct(
+    customer_key="long",
+    customer_id="string",
+    full_name="string",
+    email="string",
+    country="string",
+    segment="string",
+    lifetime_revenue="decimal(20,2)",
+    lifetime_profit="decimal(20,2)",
+    total_orders="long",
+    total_items_purchased="long",
+    unique_products_bought="long",
+    avg_order_value="decimal(14,6)",
+    first_order_date="date",
+    last_order_date="date",
+    days_since_last_order="integer",
+    days_as_customer="integer",
+    recency_score="integer",
+    frequency_score="integer",
+    monetary_score="integer",
+    rfm_score="string",
+    customer_segment="string",
+    load_timestamp="timestamp",
+)
+
+CATEGORY_ANALYSIS = struct(
+    category="string",
+    year="integer",
+    month="integer",
+    total_revenue="decimal(20,2)",
+    total_profit="decimal(20,2)",
+    total_quantity="long",
+    unique_products="long",
+    unique_customers="long",
+    total_orders="long",
+    profit_margin="decimal(27,2)",
+    revenue_per_product="decimal(21,2)",
+    load_timestamp="timestamp",
+)
+
+COHORT_ANALYSIS = struct(
+    cohort_year="integer",
+    cohort_month="integer",
+    months_since_first_purchase="integer",
+    active_customers="long",
+    cohort_revenue="decimal(20,2)",
+    avg_revenue_per_customer="decimal(14,6)",
+    cohort_period="string",
+    load_timestamp="timestamp",
+)
+
 WATERMARKS = struct(
     pipeline_name="string",
     last_run_date="date",
@@ -152,6 +261,7 @@ PARTITIONING = {
     "dim_customers": ("country",),
     "fact_orders": ("year", "month"),
     "dim_date": (),
+    "events": ("event_date",),
     "daily_sales_summary": ("year", "month"),
     "product_performance": ("category",),
     "customer_360": ("country",),

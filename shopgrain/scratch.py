@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +19,9 @@ def _root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared
-    # Nothing configured: a single-machine run such as the unit tests.
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all nodes share")
+    # Nothing configured and one machine, as in the unit tests.
     global _local_root
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="shopgrain-")
@@ -52,6 +56,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The same for a table that is not needed after the block: it is deleted."""
+    path = new_path(df.sparkSession, label)
+    df.write.mode("errorifexists").parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        _delete(df.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def _release_quietly(spark: SparkSession) -> None:
     try:
         release(spark)
@@ -61,6 +82,4 @@ def _release_quietly(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application wrote to its scratch folder."""
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(_app_folder(spark))
-    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, _app_folder(spark))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime re-planning does the physical tuning: small shuffle partitions are
@@ -14,6 +17,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # About the size of a written file before encoding.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.parquet.compression.codec": "snappy",
     "spark.sql.parquet.filterPushdown": "true",
 }
@@ -31,24 +36,34 @@ def build_session(app_name: str = "shopgrain", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def fit_shuffles(
-    spark: SparkSession,
-    path: str,
-    bytes_per_partition: int = 256 * 1024**2,
-    most: int = 40_000,
-) -> int:
-    """Raise the number of shuffle partitions to suit the size of the input.
+def stored_bytes(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Bytes of the files below some paths."""
+    context = spark.sparkContext
+    total = 0
+    for path in paths:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(context._jsc.hadoopConfiguration())
+        if files.exists(folder):
+            total += files.getContentSummary(folder).getLength()
+    return total
+
+
+@contextmanager
+def fitted_shuffles(
+    spark: SparkSession, paths: Iterable[str], bytes_per_partition: int = 256 * 1024**2
+) -> Iterator[int]:
+    """Enough shuffle partitions for the files below ``paths``, for the jobs inside.
 
     Adaptive execution merges partitions that turn out small but cannot cut a
-    shuffle finer than it was planned, so the number follows the bytes stored
-    below ``path`` and is never lowered.
+    shuffle finer than it was planned, so the number follows the bytes that are
+    read, without a limit, and is never lowered. Later work finds the session as
+    it was.
     """
-    context = spark.sparkContext
-    folder = context._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(context._jsc.hadoopConfiguration())
-    stored = files.getContentSummary(folder).getLength()
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(current, min(-(-stored // bytes_per_partition), most))
-    if wanted != current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return wanted
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    wanted = max(int(before), -(-stored_bytes(spark, paths) // bytes_per_partition))
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, before)

@@ -1,6 +1,6 @@
 """Readers: bronze JSON documents, Parquet tables, catalog views."""
 
-from .bronze import read_bronze, read_day, read_documents, skipped_documents
+from .bronze import read_bronze, read_day, read_documents, skipped_documents, with_ingest_day
 from .catalog import attach, discover, evolve, query, register, schema_changes
 from .tables import current_lookup, read_table
 
@@ -17,4 +17,5 @@ __all__ = [
     "register",
     "schema_changes",
     "skipped_documents",
+    "with_ingest_day",
 ]

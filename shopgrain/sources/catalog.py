@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, NumericType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
 
 
 def discover(
@@ -47,11 +47,19 @@ def _as_text(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     )
 
 
+def _mergeable(old: DataType, new: DataType) -> bool:
+    """Whether a union by name can bring two types together without text."""
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        shared = set(old.names) & set(new.names)
+        return all(_mergeable(old[n].dataType, new[n].dataType) for n in shared)
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return _mergeable(old.elementType, new.elementType)
+    return old == new or (isinstance(old, NumericType) and isinstance(new, NumericType))
+
+
 def _merge(old: DataFrame, new: DataFrame) -> DataFrame:
     def mixed(column: str) -> bool:
-        kinds = old.schema[column].dataType, new.schema[column].dataType
-        nested = all(isinstance(k, (ArrayType, StructType)) for k in kinds)
-        return not nested and not all(isinstance(k, NumericType) for k in kinds)
+        return not _mergeable(old.schema[column].dataType, new.schema[column].dataType)
 
     changes = schema_changes(old.schema, new.schema)
     texts = [c for c in changes["retyped"] if mixed(c)]

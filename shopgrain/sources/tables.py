@@ -7,12 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from .. import schemas
 
 # Declared schemas spare the footer read that schema inference costs; the
-# partition columns they name keep their declared types.
+# partition columns they name keep their declared types, so a category "007" stays
+# text.
 _DECLARED = {
     "dim_products": schemas.DIM_PRODUCTS,
     "dim_customers": schemas.DIM_CUSTOMERS,
     "fact_orders": schemas.FACT_ORDERS,
     "dim_date": schemas.DIM_DATE,
+    "events": schemas.EVENTS,
+    "daily_sales_summary": schemas.DAILY_SALES,
+    "product_performance": schemas.PRODUCT_PERFORMANCE,
+    "customer_360": schemas.CUSTOMER_360,
+    "category_analysis": schemas.CATEGORY_ANALYSIS,
+    "cohort_analysis": schemas.COHORT_ANALYSIS,
 }
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import nest_items
+
 # Device names by the remainder of an event's k property.
 DEVICES = ("desktop", "mobile", "tablet")
 
@@ -78,15 +80,10 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders as documents of one item each.
-
-    An order may be delivered in several documents. Keeping line items apart
-    saves gathering them into arrays only for the next step to take them apart.
-    """
-    line = items(spark, folder).select(
-        "id", F.array(F.struct("productId", "quantity")).alias("products")
-    )
-    return order_headers(spark, folder).join(line, "id").select(
+    """Orders as documents, each with all its items; orders without items stay."""
+    fields = {"productId": F.col("productId"), "quantity": F.col("quantity")}
+    nested = nest_items(items(spark, folder), ["id"], fields, "products")
+    return order_headers(spark, folder).join(nested, "id", "left").select(
         "id", "userId", "date", "products", "status"
     )
 

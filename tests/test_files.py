@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from shopgrain import schemas
-from shopgrain.plans import explore, silver
+from shopgrain.plans import explore, silver, suites
 from shopgrain.plans.lakehouse import build_from_folder
 from shopgrain.sinks import (
     export_csv,
@@ -104,14 +104,16 @@ def test_tolerant_reader(spark, tmp_path):
     put(tmp_path / "in/list.json", [{"id": 1, "title": "a"}, {"id": "x", "title": "b"}])
     put(tmp_path / "in/deep/dict.json", {"id": 3, "title": "c"})
     put(tmp_path / "in/bad.json", '[{"id": 4, "title": "d"}, {"id": ', raw=True)
-    put(tmp_path / "in/notes.txt", '[{"id": 5}]', raw=True)
+    put(tmp_path / "in/notes.csv", '[{"id": 5}]', raw=True)
+    put(tmp_path / "in/lines.json", '{"id": 6, "title": "e"}\n{"id": 7, "ti\n{"id": 8, "title": "f"}', raw=True)
+    put(tmp_path / "in/line.txt", '[{"id": 9, "title": "g"}, {"id": 10, "title": "h"}]', raw=True)
     schema = schemas.BRONZE_PRODUCTS
     # One bad field costs that field, not the record; a broken file is left out.
     assert rows(read_documents(spark, str(tmp_path / "in"), schema), "id", "title") == [
-        (1, "a"), (3, "c"), (None, "b"),
+        (1, "a"), (10, "h"), (3, "c"), (6, "e"), (8, "f"), (9, "g"), (None, "b"),
     ]
     skipped = skipped_documents(spark, str(tmp_path / "in"), schema).collect()
-    assert [r.file.rsplit("/", 1)[1] for r in skipped] == ["bad.json"]
+    assert sorted(r.file.rsplit("/", 1)[1] for r in skipped) == ["bad.json", "lines.json"]
     missing = read_documents(spark, str(tmp_path / "none"), schema)
     assert missing.count() == 0 and missing.columns == schema.names
     assert skipped_documents(spark, str(tmp_path / "none"), schema).count() == 0
@@ -133,6 +135,37 @@ def test_documents_stay_small(spark, tmp_path):
     }
 
 
+def test_every_layout_of_the_sinks_is_read_back(spark, tmp_path):
+    """Lines, arrays and events, a day each; nothing is lost with default arguments."""
+    orders = spark.range(50).select("id", F.lit("2024-01-31").alias("date"), F.lit("2024-02-01").cast("date").alias("day"))
+    write_bronze_json(orders.drop("day"), str(tmp_path / "orders"), F.lit("2024-02-01").cast("date"))
+    write_documents(orders, str(tmp_path / "products"), "day", rows_per_document=7)
+    events = spark.range(30).select(F.col("id").cast("string").alias("event_id"))
+    write_events(events, str(tmp_path / "events"), F.lit("2024-02-01").cast("date"))
+    for table, n in (("orders", 50), ("products", 50), ("events", 30)):
+        found = read_bronze(spark, str(tmp_path / table), table)
+        assert found.count() == n
+        assert rows(found.select(F.col("ingest_date").cast("string")).distinct()) == [("2024-02-01",)]
+        assert read_day(spark, str(tmp_path), table, "2024-02-01").count() == n
+        assert read_day(spark, str(tmp_path), table, "2024-02-02").count() == 0
+
+
+def test_unknown_layouts_are_an_error(spark, tmp_path):
+    put(tmp_path / "orders/day-1/a.json", [{"id": 1}])
+    with pytest.raises(ValueError, match="no day folders"):
+        read_day(spark, str(tmp_path), "orders", "2024-03-01")
+    assert read_day(spark, str(tmp_path), "products", "2024-03-01").count() == 0
+    with pytest.raises(ValueError):
+        suites.check_day(spark, str(tmp_path), "2024-03-01", "r", str(tmp_path / "dq"), "2024-03-01 00:00:00")
+
+
+def test_empty_folder_values_are_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, "007"), (3, None)], "id int, c string")
+    write_table(df, str(tmp_path / "t"), ["c"])
+    back = spark.read.schema("id int, c string").parquet(str(tmp_path / "t"))
+    assert rows(back) == [(1, None), (2, "007"), (3, None)]
+
+
 def test_static_rebuild_leaves_nothing_behind(spark, tmp_path):
     path = str(tmp_path / "t")
     write_table(spark.createDataFrame([(1, "a"), (2, "b")], "id int, c string"), path, ["c"])
@@ -170,6 +203,8 @@ def test_discovery(spark, tmp_path):
         "added": [], "missing": ["new"], "retyped": ["id", "old"],
     }
     assert rows(evolve([found, third]), "id", "old") == [("1", "x"), ("2", None), ("3", "1.5")]
+    listed = spark.createDataFrame([(4, [1])], "id long, new array<int>")
+    assert rows(evolve([found, listed]), "id", "new") == [(1, None), (2, '{"deep":true}'), (4, "[1]")]
     register(spark, {"found": found})
     assert rows(query(spark, "select count(*) from found")) == [(2,)]
     assert rows(query(spark, "select max(id) from {f}", f=found)) == [(2,)]

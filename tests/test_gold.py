@@ -63,8 +63,7 @@ def test_daily_sales(spark, fact):
     assert found[3][2:4] == (Decimal("0.00"), None)
 
 
-@pytest.mark.parametrize("one_task_rows", [0, 100])
-def test_product_performance(spark, fact, one_task_rows):
+def test_product_performance(spark, fact):
     products = spark.createDataFrame(
         [("p1", "One", Decimal("10.00"), Decimal("4.00"), True),
          ("p1", "Old", Decimal("9.00"), Decimal("4.00"), False),
@@ -72,7 +71,7 @@ def test_product_performance(spark, fact, one_task_rows):
         "product_id string, product_name string, price decimal(10,2), rating decimal(3,2), "
         "is_current boolean",
     )
-    found = gold.product_performance(fact, products, "2024-04-01", one_task_rows)
+    found = gold.product_performance(fact, products, "2024-04-01")
     assert rows(found, "product_id", "product_name", "revenue_rank_overall", "revenue_rank_in_category") == [
         ("p1", "One", 1, 1), ("p2", None, 2, 1), ("p3", "Three", 1, 1), ("p4", None, 3, 2),
     ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shopgrain import schemas
 from shopgrain.operators import merge_history, open_versions
-from shopgrain.sinks import write_table
+from shopgrain.sinks import write_bronze_json, write_table
 from shopgrain.streaming import (
     current_watermarks,
     filter_since,
@@ -124,6 +124,40 @@ def test_upsert_within_months(spark, tmp_path):
     path = str(tmp_path / "fact")
     d, m = dt.date, Decimal
     write_table(items(spark, ("1", d(2024, 1, 5), "a", m(1)), ("2", d(2024, 2, 5), "a", m(2))), path, ["year", "month"])
-    upsert_orders(spark, path, items(spark, ("1", d(2024, 1, 5), "a", m(9))), moved=False)
+    upsert_orders(spark, path, items(spark, ("1", d(2024, 1, 5), "a", m(9))))
     upsert_orders(spark, path, items(spark, ("1", d(2024, 1, 5), "a", m(9))).filter("false"))
     assert rows(spark.read.parquet(path), "order_id", "revenue") == [("1", m("9.00")), ("2", m("2.00"))]
+
+
+def history_of(spark, data, day):
+    df = spark.createDataFrame(data, "key string, v int")
+    return open_versions(df, "sk", "key", F.lit(f"{day} 08:00:00").cast("timestamp"))
+
+
+def test_history_with_a_null_key_and_a_second_load_on_one_day(spark):
+    args = "sk", "key", ["v"]
+    shown = "key", "v", F.col("effective_date").cast("string"), "is_current"
+    first = history_of(spark, [("a", 1), (None, 1)], "2024-01-01")
+    merged = merge_history(first, history_of(spark, [("a", 2), (None, 1)], "2024-02-01"), *args, dt.date(2024, 2, 1))
+    assert rows(merged, *shown) == [
+        ("a", 1, "2024-01-01", False), ("a", 2, "2024-02-01", True), (None, 1, "2024-01-01", True),
+    ]
+    again = merge_history(merged, history_of(spark, [("a", 3), (None, 1)], "2024-02-01"), *args, dt.date(2024, 2, 1))
+    assert rows(again, *shown) == [
+        ("a", 1, "2024-01-01", False), ("a", 3, "2024-02-01", True), (None, 1, "2024-01-01", True),
+    ]
+    assert again.select("sk").distinct().count() == 3
+
+
+def test_a_new_checkpoint_keeps_earlier_rows(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    day = F.lit("2024-05-02").cast("date")
+    orders = spark.createDataFrame([(1, "2024-01-01")], "id long, date string")
+    write_bronze_json(orders, source, day)
+    load_available(spark, source, target, schemas.BRONZE["orders"], str(tmp_path / "c1"))
+    for file in (tmp_path / "in").rglob("*.json"):
+        file.unlink()
+    write_bronze_json(orders.withColumn("id", F.lit(2)), source, day)
+    load_available(spark, source, target, schemas.BRONZE["orders"], str(tmp_path / "c2"))
+    found = rows(spark.read.parquet(target), "id", "date", F.col("ingest_date").cast("string"))
+    assert found == [(1, "2024-01-01", "2024-05-02"), (2, "2024-01-01", "2024-05-02")]

@@ -4,9 +4,10 @@ import oracle
 import pytest
 
 import __spark_entry__ as contract
+from shopgrain import registry
 
-QUERIES = contract.queries()
-SQL = contract.oracle_sql()
+QUERIES = registry.queries()
+SQL = registry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,7 @@ def test_query_matches_sql(spark, folder, connection, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shopgrain.operators import (
@@ -12,7 +13,6 @@ from shopgrain.operators import (
     histogram,
     running_total,
     share_of_total,
-    small_dense_rank,
     value_counts,
 )
 
@@ -35,7 +35,9 @@ def skewed(spark):
 def test_dense_rank_equals_window(skewed, ranges, groups, descending):
     _, df = skewed
     spread = dense_rank(df, "v", "rank", groups, descending, ranges)
-    plain = small_dense_rank(df, "v", "rank", groups, descending)
+    order = F.desc("v") if descending else F.asc("v")
+    window = Window.partitionBy(*groups).orderBy(order)
+    plain = df.withColumn("rank", F.dense_rank().over(window).cast("bigint"))
     assert rows(spread, "g", "v", "rank") == rows(plain, "g", "v", "rank")
 
 

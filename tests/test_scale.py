@@ -7,7 +7,7 @@ from shopgrain import scratch
 from shopgrain.operators import nest_items
 from shopgrain.plans import gold, silver
 from shopgrain.registry.common import LOAD_TIME, lake
-from shopgrain.session import fit_shuffles
+from shopgrain.session import fitted_shuffles
 from shopgrain.sinks import write_table
 from shopgrain.sources import warehouse
 
@@ -124,9 +124,31 @@ def test_nesting_without_big_keys_takes_one_shuffle(spark):
 
 def test_shuffles_are_fitted_to_the_input(spark, folder, settings):
     settings(spark__sql__shuffle__partitions="8")
-    assert fit_shuffles(spark, folder) == 8
-    assert fit_shuffles(spark, folder, bytes_per_partition=10_000, most=50) == 50
-    assert fit_shuffles(spark, folder) == 50
+    key = "spark.sql.shuffle.partitions"
+    with fitted_shuffles(spark, [folder]) as n:
+        assert n == 8
+    with fitted_shuffles(spark, [folder, folder + "/none"], bytes_per_partition=1_000) as n:
+        assert n > 500 and spark.conf.get(key) == str(n)
+    assert spark.conf.get(key) == "8"
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError):
+        scratch._root(Session)
+
+
+def test_ranking_runs_no_job_before_it_is_asked(spark, house):
+    status = spark.sparkContext.statusTracker()
+    before = len(status.getJobIdsForGroup(None))
+    gold.product_performance(house.table("fact_orders"), house.table("dim_products"), LOAD_TIME)
+    assert len(status.getJobIdsForGroup(None)) == before
 
 
 def test_scratch_uses_the_shared_folder(spark):

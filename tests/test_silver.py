@@ -130,7 +130,7 @@ def test_order_items(spark, products, customers):
         ("7", before, "5", 3, Decimal("30.03"), Decimal("18.02"), Decimal("12.01")),
         ("7", before, "5", 3, Decimal("30.03"), Decimal("18.02"), Decimal("12.01")),
     ]
-    once = silver.order_items(orders, products, customers, AS_OF, dedup=True, keep_status=True)
+    once = silver.order_items(orders, products, customers, AS_OF, dedup=True)
     assert rows(once.filter("order_id in (1, 7)"), "order_id", "status") == [
         ("1", "shipped"), ("1", "shipped"), ("7", None),
     ]
@@ -176,8 +176,7 @@ def test_latest_per_key_with_many_copies(spark):
     assert kept.filter("k = 1").first().at == 2499
 
 
-@pytest.mark.parametrize("max_items", [1, 7, 1000])
-def test_nest_and_explode_keep_all_items(spark, max_items):
+def test_nest_and_explode_keep_all_items(spark):
     # One order holds half of all items, a third of them equal.
     items = spark.range(600).select(
         F.when(F.col("id") < 300, 1).otherwise(F.col("id")).alias("order"),
@@ -185,23 +184,12 @@ def test_nest_and_explode_keep_all_items(spark, max_items):
         F.lit(2).alias("quantity"),
     )
     fields = {"productId": F.col("productId"), "quantity": F.col("quantity")}
-    nested = nest_items(items, ["order"], fields, "items", max_items)
-    assert nested.columns == ["order", "items"]
+    nested = nest_items(items, ["order"], fields, "items")
+    assert nested.columns == ["order", "items"] and nested.count() == 301
     back = explode_items(nested, "items", {"productId": "productId", "quantity": "quantity"})
     assert rows(back) == rows(items)
-    if max_items == 1000:
-        assert nested.count() == 301
-    else:
-        assert nested.filter("order = 1").count() > 1
 
 
-@pytest.mark.parametrize("how", ["left", "inner"])
-def test_salted_lookup(spark, how):
-    facts = spark.range(500).select(
-        "id", F.when(F.col("id") % 3 == 0, None).when(F.col("id") < 300, 1).otherwise(F.col("id")).alias("k")
-    )
-    dim = spark.range(320).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    salted = lookup(facts, dim, "k", how, salts=4)
-    assert rows(salted) == rows(lookup(facts, dim, "k", how))
+def test_lookup_takes_left_and_inner(spark):
     with pytest.raises(ValueError):
-        lookup(facts, dim, "k", "right")
+        lookup(spark.range(1), spark.range(1), "id", "right")
