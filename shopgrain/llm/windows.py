@@ -40,7 +40,9 @@ _PLACES = np.uint64((1 << _PLACE) - 1)
 class Shape:
     """window, gram: lengths in elements. sampled: grams are counted if their hash
     is in the lowest 1 / 2**sampled part. share: a gram is frequent if it has more
-    than this part of all positions. chunk: elements handled at once."""
+    than this part of all positions. chunk: elements handled at once. The bytes are
+    those of a bucket on average, of fragments held before they are sent, and of
+    fragments whose windows are settled at once."""
 
     words: bool
     window: int
@@ -51,6 +53,7 @@ class Shape:
     at_least: int = 8
     bucket_bytes: int = 6 << 20
     flush_bytes: int = 24 << 20
+    settle_bytes: int = 3 << 19
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -341,9 +344,29 @@ def _settle(shape: Shape, repeated: Callable) -> Callable:
                         known[3].append(len(places))
                         places.append((i, tie, first))
         whole: list[tuple[int, int]] = []  # place, bytes or words covered
+        rows: list[tuple[int, int, int, int]] = []
         asked: list[bytes] = []
         asked_for: list[list] = []
+
+        def ask() -> None:
+            weights = np.array([min(k[0], 2) for k in asked_for])
+            for known, flags in zip(asked_for, repeated(asked, weights)):
+                if known[0] > 1 or not flags.any():
+                    continue
+                i, tie, first = places[known[2]]
+                edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
+                for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
+                    rows.append((i, tie, first + int(s), first + int(e) - 1 + shape.window))
+            asked.clear()
+            asked_for.clear()
+
+        size = 0
         for group in keys.values():
+            # Fragments of different minimisers have no window in common, so they
+            # can be settled one group after another.
+            if size > shape.settle_bytes:
+                ask()
+                size = 0
             alone = len(group) == 1
             open_ones = any(v[0] == 1 for v in group.values())
             for fragment, known in group.items():
@@ -354,16 +377,10 @@ def _settle(shape: Shape, repeated: Callable) -> Callable:
                 if open_ones and (not alone or known[1]):
                     asked.append(fragment)
                     asked_for.append(known)
-        rows = [(*places[p], places[p][2] + n) for p, n in whole]
+                    size += len(fragment)
         if asked:
-            weights = np.array([min(k[0], 2) for k in asked_for])
-            for known, flags in zip(asked_for, repeated(asked, weights)):
-                if known[0] > 1 or not flags.any():
-                    continue
-                i, tie, first = places[known[2]]
-                edge = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-                for s, e in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-                    rows.append((i, tie, first + int(s), first + int(e) - 1 + shape.window))
+            ask()
+        rows += [(*places[p], places[p][2] + n) for p, n in whole]
         if rows:
             found.append(np.array(rows, np.int64))
         if not found:

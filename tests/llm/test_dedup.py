@@ -12,6 +12,7 @@ from shopgrain.llm.components import components
 from shopgrain.llm.exact_dedup import exact_groups
 from shopgrain.llm.simhash import near_duplicates, one_per_group
 from shopgrain.llm.substring_dedup import repeated_passages, repeated_windows
+from shopgrain.llm.windows import Shape, repeated_spans
 from shopgrain.llm.suffix_dedup import repeated_bytes, repeated_strings
 
 
@@ -87,6 +88,23 @@ def test_windows_of_fragments(seed):
     assert [x.tolist() for x in repeated_windows(spelled, weights, 6)] == expected
 
 
+@pytest.mark.parametrize("words", [True, False])
+def test_windows_over_many_chunks_flushes_and_buckets(spark, words):
+    """Texts cut into chunks, fragments sent in several parts, groups settled one by one,
+    and frequent grams set aside: the same windows are found."""
+    rows = [(k, t) for k, (_, t) in enumerate(ODD) if len(t or "") < 2000] + [(90, plain.LONG[:9000]), (91, plain.LONG[50:8000])]
+    shape = Shape(
+        words=words, window=9, gram=4, sampled=1, share=1e-3, chunk=40, at_least=2,
+        bucket_bytes=400, flush_bytes=500, settle_bytes=1,
+    )
+    settle = repeated_windows if words else repeated_strings
+    found = repeated_spans(odd_docs(spark, rows), shape, lambda f, w: settle(f, w, 9), "doc_id", "text")
+    got = {r.id: {p for s in r.spans for p in range(s.start, s.end)} for r in found.collect()}
+    split = plain.words if words else lambda t: (t or "").encode()
+    for (i, _), (_, gone) in zip(rows, plain.repeated(rows, 9, split)):
+        assert got.get(i, set()) == {p for p, g in enumerate(gone) if g}
+
+
 def check_components(result, rows):
     prints = [plain.fingerprint(t) for _, t in rows]
     roots = plain.components(prints)
