@@ -21,6 +21,7 @@ from ..sinks import (
 from ..sources import (
     current_lookup,
     discover,
+    discover_all,
     evolve,
     query,
     read_bronze,
@@ -225,6 +226,26 @@ def discover_evolve(spark, folder):
     return evolve(found)
 
 
+def discover_root(spark, folder):
+    """All bronze tables below one root, in three layouts, with their folder keys:
+    rows by table and folder."""
+    root = scratch.new_path(spark, "root")
+    month = F.last_day(F.to_date("date"))
+    write_bronze_json(warehouse.orders(spark, folder), f"{root}/orders", month)
+    products = warehouse.products(spark, folder).select("*", _on(AS_OF))
+    write_documents(products, f"{root}/products", "day")
+    write_events(warehouse.events(spark, folder), f"{root}/events", F.to_date(F.to_timestamp("timestamp")))
+    tables = discover_all(spark, root)
+    keys = {"events": ("year", "month", "day"), "orders": ("ingest_date",), "products": ("date",)}
+    parts = [
+        tables[name].groupBy(F.concat_ws("-", *keys[name]).alias("folder")).agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("rows")
+        )
+        for name in tables
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def catalog_sql(spark, folder):
     tables = {name: warehouse.table(spark, folder, name) for name in ("orders", "lineitem")}
     register(spark, {f"catalog_{name}": df for name, df in tables.items()})
@@ -382,6 +403,13 @@ QUERIES = {
         """select * replace (null::bigint as p_size) from part
            union all select * replace (p_size::bigint as p_size) from part""",
     ),
+    "cat_discover_root": (
+        discover_root,
+        f"""select strftime(last_day(o_orderdate::date), '%Y-%m-%d') as folder, 'orders' as table_name,
+                   count(*) as rows from orders group by 1
+            union all select '{AS_OF}', 'products', count(*) from part
+            union all select strftime(ts, '%Y-%m-%d'), 'events', count(*) from events group by 1""",
+    ),
     "cat_sql": (
         catalog_sql,
         """select o_orderstatus, count(*) as items,

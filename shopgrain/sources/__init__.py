@@ -1,13 +1,24 @@
 """Readers: bronze JSON documents, Parquet tables, catalog views."""
 
 from .bronze import read_bronze, read_day, read_documents, skipped_documents, with_ingest_day
-from .catalog import attach, discover, evolve, query, register, schema_changes
+from .catalog import (
+    attach,
+    column_list,
+    discover,
+    discover_all,
+    evolve,
+    query,
+    register,
+    schema_changes,
+)
 from .tables import current_lookup, read_table
 
 __all__ = [
     "attach",
+    "column_list",
     "current_lookup",
     "discover",
+    "discover_all",
     "evolve",
     "query",
     "read_bronze",

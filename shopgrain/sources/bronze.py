@@ -19,14 +19,14 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..schemas import BRONZE
 
-_BROKEN = "_corrupt_record"
+BROKEN = "_corrupt_record"
 _FILE = "source_file"
 # What files of documents are called: the JSON and the text writer's endings.
 DOCUMENTS = "*.{json,txt}"
 _DAY = r"/(?:ingest_)?date=(\d{4}-\d{2}-\d{2})(?:/|$)"
 _YMD = r"/year=(\d+)/month=(\d+)/day=(\d+)(?:/|$)"
 # The first line of a document that goes on over more lines, or of any array.
-_OPENS = r"^\s*(\[|\{\s*$)"
+OPENS = r"^\s*(\[|\{\s*$)"
 
 
 def ingest_day(file: Column) -> Column:
@@ -42,13 +42,13 @@ def with_ingest_day(df: DataFrame) -> DataFrame:
     return df.select("*", ingest_day(file).alias("ingest_date"), file.alias(_FILE))
 
 
-def _unreadable(schema: StructType) -> Column:
+def unreadable(schema: StructType) -> Column:
     # A record with one bad field keeps its other fields; only a document that
     # could not be parsed at all has nothing but the raw text.
     # Written so that the parser does not get it as a filter: it would drop a row at
     # its first field, before it comes to the broken one.
     read = [F.when(F.col(f"`{f.name}`").isNotNull(), True) for f in schema]
-    return F.col(_BROKEN).isNotNull() & F.coalesce(*read).isNull()
+    return F.col(BROKEN).isNotNull() & F.coalesce(*read).isNull()
 
 
 def _records(
@@ -62,10 +62,10 @@ def _records(
 
     def read(whole: bool) -> DataFrame:
         reader = (
-            spark.read.schema(StructType([*schema, StructField(_BROKEN, StringType())]))
+            spark.read.schema(StructType([*schema, StructField(BROKEN, StringType())]))
             .option("multiLine", whole)
             .option("recursiveFileLookup", True)
-            .option("columnNameOfCorruptRecord", _BROKEN)
+            .option("columnNameOfCorruptRecord", BROKEN)
         )
         if pattern:
             reader = reader.option("pathGlobFilter", pattern)
@@ -76,7 +76,7 @@ def _records(
     lines = read(False)
     # A line that opens a document and cannot be read on its own gives away a file
     # that has to be read as a whole. One row per such file.
-    whole = lines.filter(_unreadable(schema) & F.col(_BROKEN).rlike(_OPENS)).select(_FILE).distinct()
+    whole = lines.filter(unreadable(schema) & F.col(BROKEN).rlike(OPENS)).select(_FILE).distinct()
     return lines.join(whole, _FILE, "left_anti").unionByName(read(True).join(whole, _FILE, "left_semi"))
 
 
@@ -90,12 +90,12 @@ def read_bronze(
     added as ``ingest_date`` and ``source_file`` instead.
     """
     found = _records(spark, path, BRONZE[table], None, multi_line)
-    return found.filter(~_unreadable(BRONZE[table])).select(
+    return found.filter(~unreadable(BRONZE[table])).select(
         *BRONZE[table].names, ingest_day(F.col(_FILE)).alias("ingest_date"), _FILE
     )
 
 
-def _subfolders(spark: SparkSession, path: str) -> list[str] | None:
+def subfolders(spark: SparkSession, path: str) -> list[str] | None:
     """Names of the folders in a folder; None if there is no such folder."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
@@ -122,7 +122,7 @@ def read_day(
         raise ValueError(f"unknown scope: {scope}")
     day = dt.date.fromisoformat(str(day))
     root = f"{bronze_path.rstrip('/')}/{table}"
-    names = _subfolders(spark, root)
+    names = subfolders(spark, root)
     known = [n for n in names or () if n.partition("=")[0] in ("date", "ingest_date", "year")]
     if names is not None and not known:
         raise ValueError(f"no day folders (date=, ingest_date= or year=/month=/day=) in {root}")
@@ -130,7 +130,7 @@ def read_day(
     months = {f"{day.month:02d}", str(day.month)}
     days = {f"{day.day:02d}", str(day.day)}
     folders += [f"year={day.year}/month={m}/day={d}" for m in sorted(months) for d in sorted(days)]
-    paths = [f"{root}/{f}" for f in folders if _subfolders(spark, f"{root}/{f}") is not None]
+    paths = [f"{root}/{f}" for f in folders if subfolders(spark, f"{root}/{f}") is not None]
     schema = BRONZE[table]
     if not paths:
         return spark.createDataFrame([], schema)
@@ -138,7 +138,7 @@ def read_day(
         files = spark.read.option("recursiveFileLookup", True).text(paths).inputFiles()
         paths = [min(files)] if files else paths
     found = _records(spark, paths, schema, None, multi_line)
-    return found.filter(~_unreadable(schema)).select(*schema.names)
+    return found.filter(~unreadable(schema)).select(*schema.names)
 
 
 def _documents(
@@ -167,7 +167,7 @@ def read_documents(
     frame = _documents(spark, path, schema, pattern, multi_line)
     if frame is None:
         return spark.createDataFrame([], schema)
-    return frame.filter(~_unreadable(schema)).select([f"`{name}`" for name in schema.names])
+    return frame.filter(~unreadable(schema)).select([f"`{name}`" for name in schema.names])
 
 
 def skipped_documents(
@@ -183,7 +183,7 @@ def skipped_documents(
     if frame is None:
         return spark.createDataFrame([], "file string, skipped bigint")
     return (
-        frame.filter(_unreadable(schema))
+        frame.filter(unreadable(schema))
         .groupBy(F.col(_FILE).alias("file"))
         .agg(F.count("*").alias("skipped"))
     )

@@ -18,7 +18,9 @@ from shopgrain.sinks import (
 from shopgrain.sources import (
     attach,
     current_lookup,
+    column_list,
     discover,
+    discover_all,
     evolve,
     query,
     read_bronze,
@@ -203,6 +205,14 @@ def test_discovery(spark, tmp_path):
         "added": [], "missing": ["new"], "retyped": ["id", "old"],
     }
     assert rows(evolve([found, third]), "id", "old") == [("1", "x"), ("2", None), ("3", "1.5")]
+    put(tmp_path / "all/orders/date=2024-03-01/a.json", [{"id": 1, "date": "2024-02-01"}])
+    put(tmp_path / "all/orders/date=2024-03-02/b.json", '{"id": 2}\n{"id": 3, "x": 1}\n{"id": 4, "x', raw=True)
+    put(tmp_path / "all/people/c.json", {"name": "n"})
+    tables = discover_all(spark, str(tmp_path / "all"))
+    assert rows(tables["orders"], "id", "date", "folder_date", "x") == [
+        (1, "2024-02-01", "2024-03-01", None), (2, None, "2024-03-02", None), (3, None, "2024-03-02", 1),
+    ]
+    assert rows(column_list(spark, {"people": tables["people"]})) == [("people", 0, "name", "string")]
     listed = spark.createDataFrame([(4, [1])], "id long, new array<int>")
     assert rows(evolve([found, listed]), "id", "new") == [(1, None), (2, '{"deep":true}'), (4, "[1]")]
     register(spark, {"found": found})
