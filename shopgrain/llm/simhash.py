@@ -238,5 +238,7 @@ def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     rows = store(rows.withColumn("number", F.monotonically_increasing_id()), "fingerprints")
     prints = rows.select("id", "fp", "number", F.xxhash64(f"row.{text_column}").alias("tie"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "tie", "number")
-    best = prints.join(_linked(prints), "fp").groupBy("root").agg(F.min(order).alias("best"))
+    # The best of each fingerprint first, so that copies do not meet in the join.
+    first = prints.groupBy("fp").agg(F.min(order).alias("best"))
+    best = first.join(_linked(prints), "fp").groupBy("root").agg(F.min("best").alias("best"))
     return rows.join(best.select("best.number"), "number", "left_semi").select("row.*")
