@@ -97,7 +97,7 @@ QUERIES = {
 
 _WORD_LISTS = r"""
 d as (select doc_id, source,
-             list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w
+             list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
       from documents)
 """
 
