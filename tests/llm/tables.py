@@ -1,16 +1,13 @@
-import sys
-from pathlib import Path
+"""Fixtures over the documents of the test folder."""
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def documents(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture(scope="module")
 def texts(documents):
     return [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]

@@ -8,6 +8,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 from plain import ODD, odd_docs
+from tables import documents, texts  # noqa: F401
 
 import corpus_pipeline
 from shopgrain.llm import queries

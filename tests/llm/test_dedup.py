@@ -6,6 +6,7 @@ import numpy as np
 import plain
 import pytest
 from plain import ODD, odd_docs, sha
+from tables import documents, texts  # noqa: F401
 
 from shopgrain.llm import queries, simhash
 from shopgrain.llm.components import components
