@@ -175,3 +175,41 @@ def test_large_variants_are_passed_on(monkeypatch):
     rows = [x for b in simhash._link(iter(out)) for x in zip(*(c.to_pylist() for c in b.columns))]
     assert sorted(a for a, b in rows if b is None) == list(range(10))
     assert [(a, b) for a, b in rows if b is not None] == [(10, 11)]
+
+
+FAR = {"bits": 11, "segments": 6, "words": 5}
+
+
+def test_one_per_group_by_similarity(spark, documents):
+    import random
+
+    rng = random.Random(3)
+    base = [f"v{rng.randrange(5000)}" for _ in range(200)]
+    rows = [(0, " ".join(base))]
+    for k in range(1, 300):  # more pairs than the budget; each has other words in the middle or at the end
+        words = list(base)
+        words[(k * 7) % 195] = f"u{k}"
+        rows.append((k, " ".join(words)))
+    rows += [(400 + k, " ".join(f"x{rng.randrange(5000)}" for _ in range(80))) for k in range(20)]
+    half = [w if k < 100 else f"y{k}" for k, w in enumerate(base)]
+    rows += [(500, " ".join(half)), (501, None), (502, "  "), (None, rows[0][1])]
+    got = {r.doc_id for r in one_per_group(odd_docs(spark, rows), **FAR, budget=1).collect()}
+    assert got == {0, *range(400, 420), 500, 501}
+    # Against all pairs of the given documents.
+    texts = {r.doc_id: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+             for r in documents.collect() for w in [plain.words((r.text or "").lower())]}
+    root = {i: i for i in texts}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in texts:
+        for j in texts:
+            if i < j and len(texts[i] & texts[j]) >= 0.8 * len(texts[i] | texts[j]):
+                low, high = sorted((top(i), top(j)))
+                root[high] = low
+    assert {r.doc_id for r in one_per_group(documents, **FAR).collect()} == {i for i in texts if root[i] == i}
+    with pytest.raises(ValueError):
+        one_per_group(documents, **FAR | {"bits": 12})
