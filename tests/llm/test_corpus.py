@@ -310,3 +310,21 @@ def test_stages_take_odd_rows(spark, folder, name, stage):
     out = stage(spark, odd, folder)
     assert out.columns[: len(odd.columns)] == odd.columns and out.count() > 0
     assert stage(spark, odd_docs(spark, ODD[:0]), folder).count() == 0
+
+
+def test_gibberish_and_unlearned_languages_are_rejected(spark):
+    import random
+
+    rng = random.Random(4)
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang")
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    planted = [(10**6 + k, " ".join("".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(40)), None)
+               for k in range(50)]
+    polish = "szczęście dziękuję książka wszystko przyjaciel źródło łódź jest nie się która wiosna dzień".split()
+    planted += [(2 * 10**6 + k, " ".join(rng.choices(polish, k=30)), None) for k in range(50)]
+    both = docs.union(spark.createDataFrame(planted, docs.schema))
+    kept = {r.doc_id for r in dict(corpus_pipeline.STAGES)["language"](spark, both, folder).collect()}
+    assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
+    named = {r.doc_id: (r.lang_pred, r.score) for r in identify(both).collect()}
+    assert all(named[i] == ("und", 0.0) for i, _, _ in planted)
