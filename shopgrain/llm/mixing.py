@@ -23,7 +23,9 @@ def _targets(sizes: DataFrame, weights: Sequence[float], most_epochs: float) ->
 
     Sources over their limit stay at it, and what they leave is shared out again
     by weight. With sources sorted by limit / weight, those at their limit come
-    first, so the level of the rest follows from running sums, in one pass.
+    first, so the level of the rest follows from running sums, in one pass. One task
+    holds a row of a few numbers for each source: sources are kinds of data, up to some
+    hundred thousand. For hosts or users as sources, group them before.
     """
     by_name = Window.orderBy(F.col("source").isNull(), F.col("source").cast("binary"))
     weight = F.element_at(
