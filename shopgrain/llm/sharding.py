@@ -1,6 +1,6 @@
 """Sharding of near-equal bytes by histogram sort.
 
-Documents are ordered by a key of hashed text and hashed id. Candidate boundaries
+Documents are ordered by a key of hashed text, hashed id and hashed row number. Candidate boundaries
 are equally spaced keys; the exact bytes and rows between them are counted over
 all partitions. Where a shard's splitter falls inside an interval that is too
 large, the interval alone gets new candidates, until every splitter is within
@@ -22,10 +22,12 @@ _KEY_BITS = 64
 
 
 def _key(id_column: str, text_column: str) -> Column:
-    """Equal texts have neighbouring keys; ids spread them within 32 further bits."""
+    """Equal texts have neighbouring keys; ids spread them within 16 further bits, and
+    rows that share both by their ``number`` within the last 16."""
     text = F.expr(f"shiftrightunsigned(xxhash64(coalesce(`{text_column}`, '')), 32)")
-    row = F.shiftrightunsigned(F.xxhash64(F.col(id_column), F.lit(1)), 32)
-    return F.shiftleft(text, 32).bitwiseOR(row)
+    row = F.shiftleft(F.shiftrightunsigned(F.xxhash64(F.col(id_column), F.lit(1)), 48), 16)
+    number = F.shiftrightunsigned(F.xxhash64("number", F.lit(2)), 48)
+    return F.shiftleft(text, 32).bitwiseOR(row).bitwiseOR(number)
 
 
 def _prefix(level: int, bits: int) -> Column:
@@ -67,8 +69,9 @@ def byte_shards(
     and a group of them is divided only where a splitter would miss its tolerance
     otherwise. Slots count the rows of a shard from 0 without gaps. A null text
     counts as empty, a null id as an id of its own; rows that share id and text
-    have one key, so they share a shard. Other columns are ignored, but with ``carry``
-    they all come along in a struct ``row``; an empty table gives an empty result.
+    are told apart by a number they get when they are stored, so they can be divided
+    too. Other columns are ignored, but with ``carry`` they all come along, stored once,
+    in a struct ``row``; an empty table gives an empty result.
 
     The driver sees candidate intervals only: 2**bits at first, and 2**bits for
     each interval refined, which are those around a splitter and those with more
@@ -79,11 +82,13 @@ def byte_shards(
         F.col(id_column).alias("id"),
         (F.octet_length(text) + F.lit(overhead)).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        _key(id_column, text_column).alias("key"),
     ]
-    rows = store(docs.select(columns), "shard-rows")  # narrow, so that texts are read once
-    if carry:
-        whole = docs.select(*columns, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    extra = ["row"] if carry else []
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []
+    # The key depends on the number, so both are computed and stored once.
+    numbered = docs.select(*columns, text.alias("text"), F.monotonically_increasing_id().alias("number"), *row)
+    whole = store(numbered.withColumn("key", _key("id", "text")).drop("text"), "shard-rows")
+    rows = whole.drop(*extra)  # narrow: texts are read once, and rows that come along at the end
 
     def count(frame: DataFrame, level: int) -> dict[tuple[int, int], tuple[int, int]]:
         counted = frame.groupBy(_prefix(level, bits).alias("prefix")).agg(
@@ -127,16 +132,16 @@ def byte_shards(
     places = docs.sparkSession.createDataFrame(
         placed, "level int, prefix long, shard int, first long"
     )
-    extra = ["row"] if carry else []
-    at = (whole if carry else rows).withColumn("at", _interval(refined, bits)).select(
-        "id", "size", "text_crc32", "key", "at.level", "at.prefix", *extra
+    at = whole.withColumn("at", _interval(refined, bits)).select(
+        "id", "size", "text_crc32", "key", "number", "at.level", "at.prefix", *extra
     )
     numbered = at.join(places, ["level", "prefix"]).selectExpr(
         "id",
         "size",
         "text_crc32",
         "shard",
-        "first + row_number() over (partition by level, prefix order by key, id, text_crc32) - 1 as slot",
+        "first + row_number() over (partition by level, prefix "
+        "order by shiftright(key, 16), id, text_crc32, key, number) - 1 as slot",
         *extra,
     )
     return numbered.withColumnRenamed("id", id_column)

@@ -328,3 +328,12 @@ def test_gibberish_and_unlearned_languages_are_rejected(spark):
     assert kept == {r.doc_id for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
     named = {r.doc_id: (r.lang_pred, r.score) for r in identify(both).collect()}
     assert all(named[i] == ("und", 0.0) for i, _, _ in planted)
+
+
+@pytest.mark.parametrize("one", [None, 5])
+def test_rows_that_share_id_and_text_are_divided(spark, one):
+    rows = [(one if k % 3 else k, "hot " * 20 if k % 3 else f"text {k} " * 20) for k in range(6000)]
+    check_shards(byte_shards(odd_docs(spark, rows), 10, bits=6).collect(), rows, 10, 800)
+    carried = byte_shards(odd_docs(spark, rows).withColumn("number", F.lit(1)), 10, bits=6, carry=True).collect()
+    check_shards(carried, rows, 10, 800)
+    assert Counter((r.row.doc_id, r.row.text) for r in carried) == Counter(rows)
