@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from .decontamination import contaminated
 from .exact_dedup import exact_groups
+from .hard_negatives import hard_negatives
 from .language_id import identify
 from .mixing import mix
+from .periodic_runs import periodic_runs
 from .sharding import byte_shards
 from .simhash import near_duplicates
 from .substring_dedup import repeated_passages
 from .suffix_dedup import repeated_bytes
+from .tables import WORDS
 from .token_counts import token_counts
+from .toxicity import toxicity
 from .url_filter import SOFT, STRICT, Rule, judge_urls
 
 
@@ -82,6 +86,29 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every tenth document, by the checksum h of its id, go round from one on."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    sums = docs.withColumn("h", F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    words = F.regexp_extract_all("text", F.lit(f"({WORDS})"), F.lit(1))
+    split = sums.withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.size("w"))
+    start = split.withColumn("a", F.expr("case when n > 0 then (h div 10) % n end"))
+    period = start.withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    turned = "array_join(transform(sequence(0L, n - 1L), i -> w[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')"
+    return periodic_runs(period.select("doc_id", F.expr(f"case when p is null then text else {turned} end").alias("text")))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Anchors are every 50th vector; labels of every seventh are moved on by one."""
+    vectors, number = _table(spark, folder, "embeddings"), F.col("vec_id")
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), number % 50 == 0)
+
+
+def op13_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_substring_dedup": op2_substring_dedup,
@@ -93,6 +120,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_language_id": op9_language_id,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_toxicity": op13_toxicity,
 }
 
 _WORD_LISTS = r"""
@@ -107,6 +137,15 @@ def _term_hits(terms: tuple[str, ...]) -> str:
     return "(" + " + ".join(tests) + ")"
 
 
+def _crc32(text: str) -> str:
+    """The checksum of a text of ASCII characters, bit by bit."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::bigint, {steps}), "
+        "lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, (c & 1) * 3988292384) end), 4294967295::bigint)"
+    )
+
+
 def _rule_cases(value) -> str:
     ordered = sorted(PAGE_RULES, key=lambda r: -len(r.name))
     return "case " + " ".join(
@@ -178,5 +217,48 @@ select page_id, host, path, {_rule_cases(lambda r: r.name)} as rule,
                 case when strict_hits > 0 or soft_hits >= 2 then 'block' else 'allow' end) as verdict,
        strict_hits, soft_hits
 from parts
+""",
+    "op11_periodic_runs": f"""
+with {_WORD_LISTS},
+sums as (select doc_id, w, len(w)::bigint as n, {_crc32("doc_id::varchar")} as h from d),
+planted as (select doc_id, n, w, h // 10 % greatest(n, 1) as a,
+                   1 + (n - h // 10 % greatest(n, 1)) // (3 + h // 10 % 8) as p, h % 10 = 0 and n > 0 as turned
+            from sums),
+words as (select doc_id, i, case when turned and i >= a then w[a + (i - a) % p + 1] else w[i + 1] end as word
+          from (select *, unnest(range(0, n)) as i from planted)),
+same as (select x.doc_id, x.i, y.i - x.i as q from words x join words y
+         on x.doc_id = y.doc_id and x.word = y.word and x.i < y.i),
+stretch as (select doc_id, q, min(i) as start, count(*) + q as length
+            from (select *, i - row_number() over (partition by doc_id, q order by i) as island from same)
+            group by doc_id, q, island having count(*) + q >= greatest(6, 4 * q)),
+runs as (select doc_id, start, length, min(q) as period from stretch group by doc_id, start, length),
+lines as (select doc_id, count(*) as n_runs,
+                 string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as s
+          from runs group by doc_id),
+best as (select * from runs qualify row_number() over (partition by doc_id
+                order by length::double / period desc, start, period) = 1),
+gone as (select distinct doc_id, unnest(range(start + period, start + length)) as i from runs),
+kept as (select doc_id, string_agg(word, ' ' order by i) as t from words anti join gone using (doc_id, i) group by doc_id)
+select sums.doc_id, coalesce(n_runs, 0)::bigint as n_runs, start::bigint as start, length::bigint as length,
+       period::bigint as period, (1000 * length // period)::bigint as exponent_milli,
+       sha256(coalesce(s, '')) as runs_sha256, sha256(coalesce(t, '')) as collapsed_sha256
+from sums left join lines using (doc_id) left join best using (doc_id) left join kept using (doc_id)
+""",
+    "op12_hard_negatives": """
+with v as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as e
+           from embeddings
+           where label is not null and embedding is not null
+             and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scores as (select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same, list_inner_product(a.e, r.e)::bigint as score
+           from v a join v r on a.vec_id % 50 = 0 and a.vec_id <> r.vec_id),
+positives as (select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+              qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select anchor_id, positive_id,
+       (row_number() over (partition by anchor_id, positive_id order by score desc, vec_id))::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scores using (anchor_id)
+where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+qualify rank <= 3
 """,
 }
