@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .windows import Shape, merged, repeated_spans, with_spans
+from .windows import Shape, cut_in_parts, merged, repeated_spans, with_spans
 
 
 def repeated_windows(fragments: list[bytes], weights: np.ndarray, window: int) -> Iterator[np.ndarray]:
@@ -61,17 +61,22 @@ def repeated_windows(fragments: list[bytes], weights: np.ndarray, window: int) -
 
 
 def repeated_passages(
-    docs: DataFrame, window: int = 35, gram: int = 6, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    window: int = 35,
+    gram: int = 6,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_text: bool = False,
 ) -> DataFrame:
-    """One row per document: id, n_words, n_removed, kept_sha256, kept_text and spans.
+    """One row per document: id, n_words, n_removed and kept_sha256.
 
     A word goes if a window of ``window`` words that covers it also starts anywhere
     else, in the same document too; windows are judged on the input. Words are kept
-    as they are and joined by one space. ``spans`` are the word ranges that go.
-    Null and wordless texts have no words; texts with fewer words than a window
-    lose none. A null id stays null. Rows that share id and text are copies of each
-    other like any. Ids are integers. Other columns are ignored; an empty table
-    gives an empty result.
+    as they are and joined by one space. ``with_text`` adds ``kept_text`` and ``spans``, the
+    word ranges that go. Null and wordless texts have no words; texts with fewer words than
+    a window lose none. Ids are only carried and may be null. Rows that share id and text are
+    copies of each other like any. Other columns are ignored; an empty table gives an
+    empty result.
     """
     shape = Shape(words=True, window=window, gram=gram, sampled=1, share=1e-4, chunk=400_000)
 
@@ -81,37 +86,32 @@ def repeated_passages(
     spans = repeated_spans(docs, shape, repeated, id_column, text_column)
     joined = with_spans(docs, spans, id_column, text_column)
     id_type = docs.schema[id_column].dataType.simpleString()
-    schema = (
-        f"`{id_column}` {id_type}, n_words long, n_removed long, kept_sha256 string, "
-        "kept_text string, spans array<struct<start: long, end: long>>"
-    )
+    schema = f"`{id_column}` {id_type}, n_words long, n_removed long, kept_sha256 string"
+    names = [id_column, "n_words", "n_removed", "kept_sha256"]
+    if with_text:
+        schema += ", kept_text string, spans array<struct<start: long, end: long>>"
+        names += ["kept_text", "spans"]
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, spans in zip(batch.column(1), batch.column(2)):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
-                gone = merged(spans)
-                kept, at = [], 0
-                for start, end in gone:
-                    kept += words[at:start]
-                    at = end
-                left = b" ".join(kept + words[at:] if gone else words)
-                rows.append(
-                    (
-                        len(words),
-                        sum(e - s for s, e in gone),
-                        hashlib.sha256(left).hexdigest(),
-                        left.decode("utf-8", "surrogatepass"),
-                        [{"start": s, "end": e} for s, e in gone],
-                    )
-                )
-            n, removed, sha, left, gone = zip(*rows) if rows else ((),) * 5
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(sha, pa.string()), pa.array(left, pa.string()), pa.array(gone, span)],
-                [id_column, "n_words", "n_removed", "kept_sha256", "kept_text", "spans"],
-            )
+    def cut(ids: pa.Array, texts: pa.Array, spans: pa.Array) -> pa.RecordBatch:
+        n, removed, sha, left, ranges = [], [], [], [], []
+        for text, found in zip(texts, spans):
+            words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+            gone = merged(found)
+            kept, at = [], 0
+            for start, end in gone:
+                kept += words[at:start]
+                at = end
+            whole = b" ".join(kept + words[at:] if gone else words)
+            n.append(len(words))
+            removed.append(sum(e - s for s, e in gone))
+            sha.append(hashlib.sha256(whole).hexdigest())
+            if with_text:
+                left.append(whole.decode("utf-8", "surrogatepass"))
+                ranges.append([{"start": s, "end": e} for s, e in gone])
+        arrays = [ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())]
+        if with_text:
+            arrays += [pa.array(left, pa.string()), pa.array(ranges, span)]
+        return pa.RecordBatch.from_arrays(arrays, names)
 
-    return joined.mapInArrow(cut, schema)
+    return joined.mapInArrow(lambda batches: cut_in_parts(batches, cut), schema)

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .windows import Shape, merged, repeated_spans, with_spans
+from .windows import Shape, cut_in_parts, merged, repeated_spans, with_spans
 
 _FIRST = 7  # symbols of nine bits that fit one key
 
@@ -128,17 +128,22 @@ def repeated_strings(fragments: list[bytes], weights: np.ndarray, window: int) -
 
 
 def repeated_bytes(
-    docs: DataFrame, window: int = 200, gram: int = 24, id_column: str = "doc_id", text_column: str = "text"
+    docs: DataFrame,
+    window: int = 200,
+    gram: int = 24,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    with_text: bool = False,
 ) -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept and spans.
+    """One row per document: id, n_bytes, n_removed, n_spans and kept_sha256.
 
     A byte of the UTF-8 text goes if a string of ``window`` bytes that covers it also
     starts anywhere else, in the same document too; strings never cross documents
-    and are judged on the input. ``spans`` are the maximal byte ranges that go,
-    ``kept`` is what is left. A null text counts as empty; texts shorter than the
-    window lose nothing. A null id stays null. Rows that share id and text are
-    copies of each other like any. Ids are integers. Other columns are ignored; an
-    empty table gives an empty result.
+    and are judged on the input. ``with_text`` adds ``kept``, what is left, and ``spans``, the
+    maximal byte ranges that go. A null text counts as empty; texts shorter than the
+    window lose nothing. Ids are only carried and may be null. Rows that share id and text
+    are copies of each other like any. Other columns are ignored; an empty table gives an
+    empty result.
     """
     shape = Shape(words=False, window=window, gram=gram, sampled=4, share=2e-5, chunk=1_000_000)
 
@@ -148,38 +153,33 @@ def repeated_bytes(
     spans = repeated_spans(docs, shape, repeated, id_column, text_column)
     joined = with_spans(docs, spans, id_column, text_column)
     id_type = docs.schema[id_column].dataType.simpleString()
-    schema = (
-        f"`{id_column}` {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
-        "kept binary, spans array<struct<start: long, end: long>>"
-    )
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text, spans in zip(batch.column(1), batch.column(2)):
-                raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
-                gone = merged(spans)
-                kept, at = [], 0
-                for start, end in gone:
-                    kept.append(raw[at:start])
-                    at = end
-                left = b"".join([*kept, raw[at:]])
-                rows.append(
-                    (
-                        len(raw),
-                        sum(e - s for s, e in gone),
-                        len(gone),
-                        hashlib.sha256(left).hexdigest(),
-                        left,
-                        [{"start": s, "end": e} for s, e in gone],
-                    )
-                )
-            n, removed, parts, sha, left, gone = zip(*rows) if rows else ((),) * 6
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(parts, pa.int64()),
-                 pa.array(sha, pa.string()), pa.array(left, pa.binary()), pa.array(gone, span)],
-                [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "spans"],
-            )
-
-    return joined.mapInArrow(cut, schema)
+    schema = f"`{id_column}` {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    names = [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    if with_text:
+        schema += ", kept binary, spans array<struct<start: long, end: long>>"
+        names += ["kept", "spans"]
+    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+    def cut(ids: pa.Array, texts: pa.Array, spans: pa.Array) -> pa.RecordBatch:
+        n, removed, parts, sha, left, ranges = [], [], [], [], [], []
+        for text, found in zip(texts, spans):
+            raw = (text.as_py() or "").encode("utf-8", "surrogatepass")
+            gone = merged(found)
+            kept, at = [], 0
+            for start, end in gone:
+                kept.append(raw[at:start])
+                at = end
+            whole = b"".join([*kept, raw[at:]])
+            n.append(len(raw))
+            removed.append(sum(e - s for s, e in gone))
+            parts.append(len(gone))
+            sha.append(hashlib.sha256(whole).hexdigest())
+            if with_text:
+                left.append(whole)
+                ranges.append([{"start": s, "end": e} for s, e in gone])
+        arrays = [ids, *(pa.array(x, pa.int64()) for x in (n, removed, parts)), pa.array(sha, pa.string())]
+        if with_text:
+            arrays += [pa.array(left, pa.binary()), pa.array(ranges, span)]
+        return pa.RecordBatch.from_arrays(arrays, names)
+
+    return joined.mapInArrow(lambda batches: cut_in_parts(batches, cut), schema)

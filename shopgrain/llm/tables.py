@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import scratch
@@ -22,6 +22,16 @@ def store(df: DataFrame, label: str, *folders: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def smaller_batches(spark: SparkSession, most: int = 16 << 20) -> None:
+    """Batches that go to Python hold at most about this many bytes from now on in this
+    session, unless it says less already. Records alone do not bound them: texts differ
+    in length by orders of magnitude."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    said = spark.conf.get(key, "64m")
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(said) > most:
+        spark.conf.set(key, str(most))
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
@@ -31,6 +41,8 @@ def word_count(column: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(column), F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def tie(id_column: str, text_column: str) -> Column:
-    """32 bits of id and text: tells rows apart that share an id but not their text."""
-    return F.hash(F.col(id_column), F.col(text_column))
+def row_keys(id_column: str, text_column: str) -> list[Column]:
+    """``key`` and ``tie``, 96 bits of hash over id and text: what is true of a text is
+    found again under them for every row that has the same, whatever the type of ids."""
+    both = (F.col(id_column), F.col(text_column))
+    return [F.xxhash64(*both, F.lit(3)).alias("key"), F.hash(*both).alias("tie")]

@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import store, tie
+from .tables import row_keys, store
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = np.uint64(0xD6E8FEB86659FD93)  # odd, so it has an inverse modulo 2**64
@@ -216,8 +217,8 @@ def _pack(kind: int, arrays: list[np.ndarray], text: bytes = b"") -> bytes:
     return zstandard.ZstdCompressor(**_ZSTD).compress(raw)
 
 
-_FRAGMENTS = ("<u8", "<u4", "u1", "<i8", "<i4", "<i8")  # key, bytes, flags, id, tie, first
-_FOUND = ("<i8", "<i4", "<i8", "<i8")  # id, tie, start, end
+_FRAGMENTS = ("<u8", "<u4", "u1", "<i8", "<i4", "<i8")  # minimiser, bytes, flags, key, tie, first
+_FOUND = ("<i8", "<i4", "<i8", "<i8")  # key, tie, start, end
 
 
 def _unpack(blob: bytes) -> tuple[int, list[np.ndarray], bytes]:
@@ -234,7 +235,7 @@ _MANY, _AGAIN = 1, 2
 
 
 def _fragments(shape: Shape, buckets: int, frequent) -> Callable:
-    """Batches of (id, tie, text) to packed fragments by bucket.
+    """Batches of (key, tie, text) to packed fragments by bucket.
 
     Equal fragments that meet here are sent once, marked as occurring more than
     once; their windows are known to repeat, so their places are passed on as found.
@@ -308,7 +309,7 @@ def _fragments(shape: Shape, buckets: int, frequent) -> Callable:
 
 
 def _settle(shape: Shape, repeated: Callable) -> Callable:
-    """Rows sorted by bucket to found spans (id, tie, start, end).
+    """Rows sorted by bucket to found spans (key, tie, start, end).
 
     ``repeated(fragments, weights)`` gives, for each fragment, which of its windows
     occur more than once, counting a fragment of weight two as two copies.
@@ -393,7 +394,7 @@ def _settle(shape: Shape, repeated: Callable) -> Callable:
                 pa.array(both[:, 2].copy()),
                 pa.array(both[:, 3].copy()),
             ],
-            ["id", "tie", "start", "end"],
+            ["key", "tie", "start", "end"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -449,15 +450,11 @@ def _frequent(texts: DataFrame, shape: Shape) -> tuple[np.ndarray, int]:
 def repeated_spans(
     docs: DataFrame, shape: Shape, repeated: Callable, id_column: str, text_column: str
 ) -> DataFrame:
-    """(id, tie, spans) of texts with repeated windows: spans of elements covered by
-    a window that also starts elsewhere. Spans may overlap or touch. ``id`` is zero for
-    a null id; ``tie`` tells texts with one id apart."""
+    """(key, tie, spans) of texts with repeated windows: spans of elements covered by
+    a window that also starts elsewhere. Spans may overlap or touch. Rows that share
+    id and text share their key."""
     spark = docs.sparkSession
-    texts = docs.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("id"),
-        tie(id_column, text_column).alias("tie"),
-        F.col(text_column).alias("text"),
-    )
+    texts = docs.select(*row_keys(id_column, text_column), F.col(text_column).alias("text"))
     frequent, size = _frequent(texts, shape)
     overlap = 2 * shape.window / (shape.window - shape.gram) + 1
     buckets = max(1, int(size * overlap / shape.bucket_bytes))
@@ -465,8 +462,8 @@ def repeated_spans(
     known = spark.sparkContext.broadcast(frequent)  # at most 1 / share numbers
     packed = texts.mapInArrow(_fragments(shape, buckets, known), "bucket long, blob binary")
     dealt = packed.repartition(parts, "bucket").sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(_settle(shape, repeated), "id long, tie int, start long, end long")
-    return found.groupBy("id", "tie").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    found = dealt.mapInArrow(_settle(shape, repeated), "key long, tie int, start long, end long")
+    return found.groupBy("key", "tie").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
 def with_spans(
@@ -474,12 +471,23 @@ def with_spans(
 ) -> DataFrame:
     """Every document as (row_id, text, spans); spans is null where nothing repeats."""
     left = docs.select(
-        F.col(id_column).alias("row_id"),
-        F.col(text_column).alias("text"),
-        F.coalesce(F.col(id_column).cast("long"), F.lit(0)).alias("id"),
-        tie(id_column, text_column).alias("tie"),
+        F.col(id_column).alias("row_id"), F.col(text_column).alias("text"), *row_keys(id_column, text_column)
     )
-    return left.join(spans, ["id", "tie"], "left").select("row_id", "text", "spans")
+    return left.join(spans, ["key", "tie"], "left").select("row_id", "text", "spans")
+
+
+def cut_in_parts(batches: Iterator[pa.RecordBatch], cut: Callable, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """``cut(ids, texts, spans)`` over parts of the batches of ``with_spans`` that hold
+    about this many bytes of text, or one longer text."""
+    for batch in batches:
+        ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(1)), 0), np.int64) + 64)
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + most, "right")))
+            part = batch.slice(at, stop - at)
+            yield cut(part.column(0), part.column(1), part.column(2))
+            at = stop
 
 
 def merged(spans: pa.Scalar) -> list[tuple[int, int]]:
