@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import store
+from .tables import smaller_batches, store
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 # Shingles hashed at once, members compared at once, members of a variant that one
@@ -31,8 +31,10 @@ _SHINGLES = 1 << 16
 _COMPARED = 2048
 _IN_TASK = 1 << 16
 _BITS = 2
-# Members of a variant compared with all others at once.
+# Members of a variant compared with their neighbours at once, and the neighbours on each
+# side for each pair that may be taken.
 _ROWS = 256
+_NEIGHBOURS = 64
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -105,7 +107,7 @@ def fingerprints(
 
 def _variants(nodes: DataFrame, segments: int = 2) -> DataFrame:
     """The rows under 64 values of ``key``, each a segment of ``fp`` with one bit cleared."""
-    starts = [64 * k // segments for k in range(segments + 1)]
+    starts = _starts(segments)
     of = [k for k in range(segments) for _ in range(starts[k], starts[k + 1])]
     start = f"array({','.join(str(starts[k]) for k in of)})[v]"
     mask = f"array({','.join(f'{(1 << (starts[k + 1] - starts[k])) - 1}L' for k in of)})[v]"
@@ -259,49 +261,70 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
+def _starts(segments: int) -> list[int]:
+    """Where the segments of a fingerprint begin, and the end."""
+    return [64 * k // segments for k in range(segments + 1)]
+
+
+def _first_variant(differing: np.ndarray, segments: int) -> np.ndarray:
+    """The first variant that two fingerprints share, by the bits in which they differ."""
+    first = np.full(differing.shape, 64, np.int64)
+    starts = _starts(segments)
+    for k in range(segments - 1, -1, -1):
+        width = starts[k + 1] - starts[k]
+        part = (differing >> np.uint64(starts[k])) & np.uint64((1 << width) - 1)
+        bit = np.bitwise_count(np.maximum(part, 1) - np.uint64(1))  # of a single bit, its place
+        first = np.where(np.bitwise_count(part) <= 1, starts[k] + bit.astype(np.int64), first)
+    return first
+
+
 def _meeting(
-    fp: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray,
-    bits: int, similarity: float, budget: int,
+    variant: int, fp: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray,
+    bits: int, similarity: float, budget: int, segments: int,
 ) -> tuple[np.ndarray, bool]:
     """Pairs of a variant's members, sorted by size of their sets, that may be similar.
 
-    They differ in at most ``bits`` bits and in root, and their sizes allow the
-    similarity. If there are more than ``budget`` for each member, a part of them
-    chosen by hash and True.
+    They differ in at most ``bits`` bits and in root, their sizes allow the similarity,
+    and this is the first variant that they share. Members of the most frequent root
+    are looked at from the others' side. Each of these looks at its neighbours by size, and
+    takes the ``budget`` that differ least; True if it may have more.
     """
     names, sizes = np.unique(root, return_counts=True)
     giant = root == names[sizes.argmax()] if sizes.max() > 1 else np.zeros(len(root), bool)
     rows = np.flatnonzero(~giant)
-    found, held, part, most = [], 0, 0, budget * len(fp)
-    for at in range(0, len(rows), _ROWS):
-        some = rows[at : at + _ROWS]
-        # Whether the others' sizes allow it is decided exactly below.
-        low = np.searchsorted(n, int(n[some[0]] * similarity)) if giant.any() else some[0]
-        high = np.searchsorted(n, int(n[some[-1]] / similarity) + 1, "right")
+    reach = _NEIGHBOURS * budget
+    step = max(1, min(_ROWS, (1 << 21) // (2 * reach + _ROWS)))
+    found, partly = [], False
+    # Whether the others' sizes allow it is decided exactly below.
+    lows = np.searchsorted(n, (n[rows] * similarity * (1 - 1e-9)).astype(np.int64))
+    highs = np.searchsorted(n, (n[rows] / similarity * (1 + 1e-9)).astype(np.int64) + 1, "right")
+    if (rows - lows > reach).any() or (highs - 1 - rows > reach).any():
+        partly = True
+    for at in range(0, len(rows), step):
+        some = rows[at : at + step]
+        low = max(int(some[0]) - reach, int(lows[at]), 0)
+        high = min(int(some[-1]) + reach + 1, int(highs[at + len(some) - 1]))
         close = np.bitwise_count(fp[some, None] ^ fp[None, low:high]) <= bits
         i, j = np.nonzero(close)
         i, j = some[i], j + low
         small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        fits = (root[i] != root[j]) & (giant[j] | (j > i)) & (small >= similarity * large * (1 - 1e-9))
+        fits = (root[i] != root[j]) & (giant[j] | (j > i)) & (np.abs(i - j) <= reach)
+        fits &= small >= similarity * large * (1 - 1e-9)
         i, j = i[fits], j[fits]
-        pairs = np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])])
-        found.append(pairs[:, _part(pairs, part)])
-        held += found[-1].shape[1]
-        while held > most:
-            part += 1
-            found = [x[:, _part(x, part)] for x in found]
-            held = sum(x.shape[1] for x in found)
-    return np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64), part > 0
-
-
-def _part(pairs: np.ndarray, part: int) -> np.ndarray:
-    """Which pairs belong to one in 2**part, by hash."""
-    mixed = pairs[0].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ pairs[1].view(np.uint64)
-    mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return (mixed >> np.uint64(32)) & np.uint64((1 << part) - 1) == 0
-
-
-def _candidates(met: DataFrame, bits: int, similarity: float, budget: int) -> DataFrame:
+        differing = fp[i] ^ fp[j]
+        mine = _first_variant(differing, segments) == variant
+        i, j, differing = i[mine], j[mine], differing[mine]
+        order = np.lexsort((np.abs(i - j), np.bitwise_count(differing), i))
+        i, j = i[order], j[order]
+        opens = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.empty(0, np.int64)
+        rank = np.arange(len(i)) - np.repeat(opens, np.diff([*opens, len(i)]))
+        partly |= bool((rank >= budget).any())
+        i, j = i[rank < budget], j[rank < budget]
+        found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
+    return np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64), partly
+
+
+def _candidates(met: DataFrame, bits: int, similarity: float, budget: int, segments: int) -> DataFrame:
     """(a, b) of (key, fp, node, n, root): pairs that may be similar. A key of which
     only a part of the pairs is given is in a row of its own, where b is null."""
 
@@ -315,7 +338,8 @@ def _candidates(met: DataFrame, bits: int, similarity: float, budget: int) -> Da
                 _, fp, node, n, root = (c[cuts[k] : cuts[k + 1]] for c in columns)
                 if (root == root[0]).all():
                     continue
-                pairs, partly = _meeting(fp.view(np.uint64), node, n, root, bits, similarity, budget)
+                variant = int(keys[cuts[k]]) >> 32
+                pairs, partly = _meeting(variant, fp.view(np.uint64), node, n, root, bits, similarity, budget, segments)
                 a, b = pa.array(pairs[0]), pa.array(pairs[1])
                 if partly:
                     a = pa.concat_arrays([a, pa.array(keys[cuts[k] : cuts[k] + 1])])
@@ -367,7 +391,7 @@ def one_per_group(
     segments: int = 2,
     words: int | None = None,
     similarity: float = 0.8,
-    budget: int = 32,
+    budget: int = 2,
 ) -> DataFrame:
     """The documents, with all their columns, less all but one of each linked group.
 
@@ -378,15 +402,19 @@ def one_per_group(
     words, differ in at most ``bits`` bits; s segments find up to 2s - 1. Null and
     wordless texts have the empty set.
 
-    With ``words`` texts are reduced to different sets first. Where more than ``budget`` pairs for each
-    member meet under a variant, a part is verified first; then, in rounds with eight
-    times the budget, what is not yet in one group, until all are settled. A task holds
+    With ``words`` texts are reduced to different sets first. Links are kept as a forest,
+    not as all pairs of a group: under a variant each member is compared with its
+    neighbours by size of the set and gives at most ``budget`` pairs, those that differ
+    least, to be verified. Then, in rounds with eight times the budget and the neighbours,
+    members compare with those that are not yet in their group, until nothing is left out
+    under any variant. A pair is given under the first variant that it shares. A task holds
     the members of a variant as five numbers each.
     """
     if bits > 2 * segments - 1 or segments < 2:
         raise ValueError(f"{segments} segments do not find all pairs at {bits} bits")
     if words is None and bits != 2:
         raise ValueError("links at other than two bits are verified: give words")
+    smaller_batches(docs.sparkSession)
     rows = fingerprints(docs, id_column, text_column, carry=True, width=width, words=words)
     rows = store(rows.withColumn("number", F.monotonically_increasing_id()), "fingerprints")
     tie = F.xxhash64(f"row.{text_column}")
@@ -401,7 +429,7 @@ def one_per_group(
     members = nodes.select("fp", "node", "n", F.col("node").alias("root"))
     met, edges, roots = _variants(members, segments), None, None
     while True:
-        found = store(_candidates(met, bits, similarity, budget), "pairs")
+        found = store(_candidates(met, bits, similarity, budget, segments), "pairs")
         pairs = found.where("b is not null").distinct()
         verified = store(_similar(pairs, rows, nodes, text_column, words, similarity), "edges")
         edges = verified if edges is None else edges.union(verified)
