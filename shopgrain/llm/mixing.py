@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import WORDS, store, word_count
@@ -53,44 +53,21 @@ def _targets(sizes: DataFrame, weights: Sequence[float], most_epochs: float) ->
     )
 
 
-def mix(
-    docs: DataFrame,
-    weights: Sequence[float] = (1, 2, 3),
-    most_epochs: int = 3,
-    seed: int = 7,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    source_column: str = "source",
-    carry: bool = False,
+def _placed(
+    rows: DataFrame,
+    weights: Sequence[float],
+    most_epochs: int,
+    columns: Sequence[str],
 ) -> DataFrame:
-    """One row per document: id, source, size, source_size, target and taken.
-
-    Size is the number of words (null text: none). Sources in code point order,
-    null last, weigh ``weights`` in turn and share the words of all of them;
-    targets stop at ``most_epochs`` times their source's size. ``taken`` is the
-    number of the document's words in the mix, repeats counted: whole epochs, and
-    in the last one the documents that come first in random order, of which the
-    one at the cut is taken in part, so a source's taken words are its target
-    rounded down. Reruns give the same rows. Rows that share id and text follow
-    one another in the order. Other columns are ignored, but with ``carry`` they all
-    come along in a struct ``row``; an empty table gives an empty result.
-    """
-    sized = docs.select(
-        F.col(id_column).alias("id"),
-        F.col(source_column).cast("string").alias("source"),
-        word_count(text_column).alias("size"),
-        F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(str(seed)))).alias("key"),
-        F.xxhash64(text_column).alias("tie"),  # for texts that share an id
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
-    )
-    if not carry:
-        sized = store(sized, "mix-sizes")  # narrow, so that texts are read once
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    """Rows of (source, size, ``columns``) with their source's size, target and budget in
+    whole words, whole epochs, words that are left for the last epoch, and the words of the
+    source before them in the order of ``columns``."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = store(_targets(sizes, weights, most_epochs), "mix-targets")
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["none", "source", "key", "tie"]
-    ordered = sized.withColumn("none", F.col("source").isNull()).repartitionByRange(partitions, *order)
-    ordered = ordered.sortWithinPartitions(*order).drop("none", "key", "tie").withColumn("part", F.spark_partition_id())
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["none", "source", *columns]
+    ordered = rows.withColumn("none", F.col("source").isNull()).repartitionByRange(partitions, *order)
+    ordered = ordered.sortWithinPartitions(*order).drop("none").withColumn("part", F.spark_partition_id())
     schema = type(ordered.schema)([*ordered.schema]).add("upto", "long")
 
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,25 +99,96 @@ def mix(
     placed = placed.join(targets.alias("t"), F.expr("r.source <=> t.source"))
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.col("source_size"))).otherwise(F.lit(0))
-    rest = budget - epochs * F.col("source_size")
-    earlier_words = F.col("upto") + F.col("before") - F.col("size")
-    part = F.greatest(F.lit(0), F.least(F.col("size"), rest - earlier_words))
+    return placed.select(
+        "r.source", "size", *columns, "source_size", "target",
+        epochs.alias("epochs"),
+        (budget - epochs * F.col("source_size")).alias("rest"),
+        (F.col("upto") + F.col("before") - F.col("size")).alias("earlier"),
+    )
+
+
+def _sized(docs: DataFrame, seed: int, id_column: str, text_column: str, source_column: str) -> list[Column]:
+    """Source, size and random order of documents."""
+    return [
+        F.col(source_column).cast("string").alias("source"),
+        word_count(text_column).alias("size"),
+        F.md5(F.concat_ws(":", F.col(id_column).cast("string"), F.lit(str(seed)))).alias("key"),
+        F.xxhash64(text_column).alias("tie"),  # for texts that share an id
+    ]
+
+
+def mix(
+    docs: DataFrame,
+    weights: Sequence[float] = (1, 2, 3),
+    most_epochs: int = 3,
+    seed: int = 7,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+) -> DataFrame:
+    """One row per document: id, source, size, source_size, target and taken.
+
+    Size is the number of words (null text: none). Sources in code point order,
+    null last, weigh ``weights`` in turn and share the words of all of them;
+    targets stop at ``most_epochs`` times their source's size. ``taken`` is the
+    number of the document's words in the mix, repeats counted: whole epochs, and
+    in the last one the documents that come first in random order, of which the
+    one at the cut is taken in part, so a source's taken words are its target
+    rounded down. Reruns give the same rows. Rows that share id and text follow
+    one another in the order. Other columns are ignored; an empty table gives an
+    empty result.
+    """
+    sized = docs.select(F.col(id_column).alias("id"), *_sized(docs, seed, id_column, text_column, source_column))
+    sized = store(sized, "mix-sizes")  # narrow, so that texts are read once
+    placed = _placed(sized, weights, most_epochs, ["key", "tie", "id"])
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("earlier")))
     return placed.select(
         F.col("id").alias(id_column),
-        F.col("r.source").alias(source_column),
+        F.col("source").alias(source_column),
         "size",
         "source_size",
         "target",
-        (epochs * F.col("size") + part).cast("long").alias("taken"),
-        *(["row"] if carry else []),
+        (F.col("epochs") * F.col("size") + part).cast("long").alias("taken"),
     )
 
 
-def mixed_rows(docs: DataFrame, text_column: str = "text", length_column: str = "n_chars", **options) -> DataFrame:
+def mixed_rows(
+    docs: DataFrame,
+    weights: Sequence[float] = (1, 2, 3),
+    most_epochs: int = 3,
+    seed: int = 7,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    source_column: str = "source",
+    length_column: str = "n_chars",
+) -> DataFrame:
     """The mix as documents, with the columns of ``docs``: a row for each whole copy, and
     one with the first words only, joined by single spaces, where a source is cut.
-    Documents without words take no part."""
-    mixed = mix(docs, text_column=text_column, carry=True, **options).where("taken > 0")
+    Documents without words take no part.
+
+    Only sizes and keys are sorted. What they give is one row for each source, its epochs
+    and the place of its cut in the random order, and with that every document says itself
+    how often it is taken: whole documents meet a small table and are not shuffled.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    numbered = docs.select(row, *_sized(docs, seed, id_column, text_column, source_column))
+    # Numbers tell rows apart that share id and text, so they must not change any more.
+    numbered = store(numbered.withColumn("number", F.monotonically_increasing_id()), "mix-rows")
+    order = ["key", "tie", "number"]
+    placed = _placed(numbered.select("source", "size", *order), weights, most_epochs, order)
+    at_cut = (F.col("earlier") < F.col("rest")) & (F.col("rest") <= F.col("earlier") + F.col("size"))
+    cuts = placed.groupBy("source").agg(
+        F.first("epochs").alias("epochs"),
+        F.max(F.when(at_cut, F.struct(*order))).alias("cut"),
+        F.max(F.when(at_cut, F.col("rest") - F.col("earlier"))).alias("part"),
+    )
+    cuts = store(cuts, "mix-cuts")
+    here = F.struct(*order)
+    # Without a cut nothing is left for the last epoch.
+    part = F.when(here < F.col("cut"), F.col("size")).when(here == F.col("cut"), F.col("part")).otherwise(0)
+    taken = F.col("epochs") * F.col("size") + part
+    mixed = numbered.alias("r").join(cuts.alias("c"), F.expr("r.source <=> c.source"))
+    mixed = mixed.select("row", "size", taken.alias("taken")).where("taken > 0")
     copies = F.ceil(F.col("taken") / F.col("size")).cast("int")
     each = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), copies)))
     left = (F.col("taken") - (F.col("copy") - 1) * F.col("size")).cast("int")
