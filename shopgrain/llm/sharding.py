@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from .tables import store, text_or_empty
 
 _KEY_BITS = 64
+# Rows of an interval that one task puts in order, at most about this many.
+_ROWS = 100_000
 
 
 def _key(id_column: str, text_column: str) -> Column:
@@ -58,7 +60,7 @@ def byte_shards(
     text_column: str = "text",
     overhead: int = 16,
     tolerance: float = 0.002,
-    bits: int = 12,
+    bits: int | None = None,
     carry: bool = False,
 ) -> DataFrame:
     """One row per document: id, size, text_crc32, shard and slot.
@@ -76,6 +78,10 @@ def byte_shards(
     The driver sees candidate intervals only: 2**bits at first, and 2**bits for
     each interval refined, which are those around a splitter and those with more
     than a 2**(1-bits) part of all rows, fewer than shards + 2**(bits-1) a round.
+    Rows are numbered interval by interval, so a task has to hold one interval's rows in
+    order. ``bits`` follows the number of rows, so that an interval has some hundred
+    thousand at most: 12 up to about 200 million rows, one more for each doubling, and 20
+    from 50 billion on.
     """
     text = text_or_empty(text_column)
     columns = [
@@ -90,6 +96,9 @@ def byte_shards(
     whole = store(numbered.withColumn("key", _key("id", "text")).drop("text"), "shard-rows")
     rows = whole.drop(*extra)  # narrow: texts are read once, and rows that come along at the end
 
+    if bits is None:
+        bits = min(20, max(12, (2 * rows.count() // _ROWS).bit_length()))
+
     def count(frame: DataFrame, level: int) -> dict[tuple[int, int], tuple[int, int]]:
         counted = frame.groupBy(_prefix(level, bits).alias("prefix")).agg(
             F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("rows")
