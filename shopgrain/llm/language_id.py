@@ -2,7 +2,7 @@
 
 Known words are scored by their log frequency in each language. A word that was not
 learned is scored by the longest known character gram at each of its places, from
-long grams down to single characters. A text is rejected if too little of it is
+long grams down to single characters. A filter can reject texts of which too little is
 known to the best language: words, and of other words grams of three or four.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,10 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import smaller_batches
+
 _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 4
-# Scores that a task remembers; forgotten as a whole when full.
-_REMEMBERED = 200_000
+# Scores that a task remembers, one for each word and language; forgotten as a whole when full.
+_REMEMBERED = 1_000_000
 _CERTAIN = 20.0
 UNKNOWN = "und"
 # Grams shorter than this occur in any text and show nothing.
@@ -70,33 +73,46 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+@dataclass(frozen=True)
+class Model:
+    """Log frequencies of items by language, where an item was seen; ``items`` are numbered
+    by length (0: whole words) and ``starts`` says where the entries of a number begin.
+    ``floors`` are those of items that a language does not have, by length."""
+
+    langs: tuple[str, ...]
+    items: dict[int, dict[str, int]]
+    starts: np.ndarray
+    lang: np.ndarray
+    gain: np.ndarray  # over the floor
+    length: np.ndarray  # of each numbered item
+    floors: np.ndarray
+
+
 def learn(
     labelled: DataFrame,
     rows_per_language: int = 2_000,
     words_per_language: int = 20_000,
     grams_per_length: int = 5_000,
-    most_languages: int = 256,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
-) -> dict[str, tuple]:
+) -> Model | None:
     """Counts of words (length 0) and of grams by language, from a bounded sample.
 
-    The sample is about ``rows_per_language`` whole documents of each of the
-    ``most_languages`` most frequent languages, chosen by hash; rows without text or
-    language teach nothing. Of each language the most frequent words, and of each
-    length the most frequent grams, are kept, so the model is bounded.
+    The sample is about ``rows_per_language`` whole documents of each language, chosen by
+    hash; rows without text or language teach nothing. Of each language the most frequent
+    words, and of each length the most frequent grams, are kept, so the model is bounded
+    for each language, and every language is learned. None if there is nothing to learn.
     """
     rows = labelled.select(
         F.col(id_column).cast("string").alias("id"), F.col(lang_column).cast("string").alias("lang"),
         F.col(text_column).alias("text"),
     ).where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()
+    sizes = rows.groupBy("lang").count().collect()  # one row for each language
     shares = [(r["lang"], min(1.0, rows_per_language / r["count"])) for r in sizes]
     if not shares:
-        return {}
-    spark = labelled.sparkSession
-    share = F.broadcast(spark.createDataFrame(shares, "lang string, share double"))  # most_languages rows
+        return None
+    share = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
     drawn = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) < F.col("share") * 1_000_000
     sample = rows.join(share, "lang").where(drawn).select("lang", "text")
     words = sample.mapInArrow(_count_words, "lang string, word string, n long")
@@ -108,43 +124,43 @@ def learn(
     most = F.when(F.col("length") == 0, words_per_language).otherwise(grams_per_length)
     kept = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
     found = kept.select("lang", "length", "item", "n").toPandas()
-    langs = sorted(s[0] for s in shares)
-    return _model(langs, found)
+    return _model(sorted(s[0] for s in shares), found)
 
 
-def _model(langs: list[str], found) -> dict[str, tuple]:
-    """Log frequencies by length: {item: one number per language}."""
+def _model(langs: list[str], found: pd.DataFrame) -> Model:
+    """Every count is half an occurrence higher, so an item that a language does not have
+    has half of one there."""
+    found = found.sort_values(["length", "item", "lang"], ignore_index=True)
     place = {lang: k for k, lang in enumerate(langs)}
-    tables: dict[int, dict[str, np.ndarray]] = {}
-    unseen: dict[int, np.ndarray] = {}
+    items: dict[int, dict[str, int]] = {}
+    floors = np.zeros((_LONGEST + 1, len(langs)))
+    first = (found["length"].ne(found["length"].shift()) | found["item"].ne(found["item"].shift())).to_numpy()
+    number = np.cumsum(first) - 1
     for length, rows in found.groupby("length"):
-        items = {item: k for k, item in enumerate(rows["item"].unique())}
-        counts = np.full((len(items), len(langs)), 0.5)
-        np.add.at(counts, (rows["item"].map(items).to_numpy(), rows["lang"].map(place).to_numpy()), rows["n"].to_numpy())
-        logs = np.log(counts / counts.sum(axis=0))
-        tables[int(length)] = dict(zip(items, logs))
-        unseen[int(length)] = np.log(0.75 / counts.sum(axis=0))  # between none and once
-    return {"langs": tuple(langs), "tables": (tables,), "unseen": (unseen,)}
+        known = rows.loc[first[rows.index], "item"]
+        items[int(length)] = dict(zip(known, number[known.index].tolist()))
+        totals = np.full(len(langs), 0.5 * len(known))
+        np.add.at(totals, rows["lang"].map(place).to_numpy(), rows["n"].to_numpy())
+        floors[int(length)] = np.log(0.5 / totals)
+    return Model(
+        tuple(langs), items,
+        starts=np.append(np.flatnonzero(first), len(found)),
+        lang=found["lang"].map(place).to_numpy(np.int64),
+        gain=np.log1p(2.0 * found["n"].to_numpy(np.float64)),
+        length=found["length"].to_numpy(np.int64)[first],
+        floors=floors,
+    )
 
 
 class Scorer:
     """Scores texts with a learned model; remembers words in bounded memory."""
 
-    def __init__(self, model: dict[str, tuple], least: float = 0.0) -> None:
-        self.langs, self.least = model.get("langs", ()), least
-        tables = model["tables"][0] if model else {}
-        # One array of log frequencies: an unknown word's zeros, known words, grams.
+    def __init__(self, model: Model | None, least: float = 0.0) -> None:
+        self.model, self.least = model, least
+        self.langs = model.langs if model else ()
+        self.words = model.items.get(0, {}) if model else {}
         # Grams differ in length, so one dictionary holds them all.
-        rows, self.words, self.grams = [np.zeros(len(self.langs))], {}, {}
-        seen = [np.zeros(len(self.langs), bool)]
-        for length, table in tables.items():
-            known = self.grams if length else self.words
-            known.update(zip(table, range(len(rows), len(rows) + len(table))))
-            rows.extend(table.values())
-            telling = length == 0 or length >= _TELLING
-            floor = model["unseen"][0][length]
-            seen.extend((x > floor) & telling for x in table.values())
-        self.logs, self.seen = np.array(rows), np.array(seen, np.float32)
+        self.grams = {g: k for n, known in model.items.items() if n for g, k in known.items()} if model else {}
         self._forget()
 
     def _forget(self) -> None:
@@ -153,7 +169,7 @@ class Scorer:
         self.known = np.empty((1024, len(self.langs)), np.float32)
 
     def _parts(self, word: str) -> list[int]:
-        """Rows of the log frequencies that a word is scored by."""
+        """Numbers of the items that a word is scored by."""
         known = self.words.get(word)
         if known is not None:
             return [known]
@@ -164,30 +180,42 @@ class Scorer:
                 if k is not None:
                     found.append(k)
                     break
-        return found or [0]
+        return found
 
     def _remember(self, words: list[str]) -> None:
         """Score words that are the last in ``place``."""
-        parts, starts = [], []
+        model, width = self.model, len(self.langs)
+        parts, counts = [], []
         for word in words:
-            starts.append(len(parts))
-            parts += self._parts(word)
-        totals = np.add.reduceat(self.logs[parts], starts, axis=0)
-        known = np.add.reduceat(self.seen[parts], starts, axis=0)
-        counts = np.diff([*starts, len(parts)])
+            found = self._parts(word)
+            parts += found
+            counts.append(len(found))
+        part, each = np.array(parts, np.int64), np.array(counts)
+        owner = np.repeat(np.arange(len(words)), each)
+        # How many parts of each length a word has gives its floor, and the entries of the
+        # parts what languages have beyond it.
+        levels = np.bincount(owner * len(model.floors) + model.length[part], minlength=len(words) * len(model.floors))
+        totals = levels.reshape(len(words), -1) @ model.floors
+        begin, sizes = model.starts[part], model.starts[part + 1] - model.starts[part]
+        entry = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes - begin, sizes)
+        cell = np.repeat(owner, sizes) * width + model.lang[entry]
+        totals += np.bincount(cell, weights=model.gain[entry], minlength=totals.size).reshape(totals.shape)
+        telling = (model.length[part] == 0) | (model.length[part] >= _TELLING)
+        known = np.bincount(cell, weights=np.repeat(telling, sizes), minlength=totals.size).reshape(totals.shape)
         n = len(self.place)
         while n > len(self.scores):
             self.scores = np.concatenate([self.scores, np.empty_like(self.scores)])
             self.known = np.concatenate([self.known, np.empty_like(self.known)])
-        self.scores[n - len(words) : n] = totals / counts[:, None]
-        self.known[n - len(words) : n] = known / counts[:, None]
+        divided = np.maximum(each, 1)[:, None]
+        self.scores[n - len(words) : n] = totals / divided
+        self.known[n - len(words) : n] = known / divided
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
         """Language, score, and how much of the text the language knows."""
         words = words_of(text)
         if not words or not self.langs:
             return UNKNOWN, 0.0, 0.0
-        if len(self.place) > _REMEMBERED:
+        if len(self.place) * max(1, len(self.langs)) > _REMEMBERED:
             self._forget()
         place, at, new = self.place, [], []
         for word in words:
@@ -207,20 +235,24 @@ class Scorer:
         return self.langs[best], float(1 / odds.sum()), known
 
 
-def predicted(
-    docs: DataFrame, model: dict[str, tuple], text_column: str = "text", least: float = 0.0
-) -> DataFrame:
+def predicted(docs: DataFrame, model: Model | None, text_column: str = "text", least: float = 0.0) -> DataFrame:
     """The documents with a column ``language``, a struct of lang, score and known.
 
-    Texts of which less than ``least`` is known to their best language are ``und``.
+    Texts of which less than ``least`` is known to their best language are ``und``. Texts
+    are taken from their batch one by one, and batches are bounded in bytes.
     """
+    smaller_batches(docs.sparkSession)
     known = docs.sparkSession.sparkContext.broadcast(model)  # bounded by learn()
+    fields = [("lang", pa.string()), ("score", pa.float64()), ("known", pa.float64())]
 
-    @F.pandas_udf("lang string, score double, known double")
-    def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang string, score double, known double")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(known.value, least)
         for texts in batches:
-            yield pd.DataFrame([scorer.predict(t) for t in texts], columns=["lang", "score", "known"])
+            found = [scorer.predict(t.as_py()) for t in texts]
+            columns = zip(*found) if found else [()] * len(fields)
+            arrays = [pa.array(c, kind) for c, (_, kind) in zip(columns, fields)]
+            yield pa.StructArray.from_arrays(arrays, names=[name for name, _ in fields])
 
     return docs.withColumn("language", predict(F.col(text_column)))
 
@@ -241,24 +273,23 @@ def learn_with_limit(
     lang_column: str = "lang",
     fit_rows: int = 20_000,
     **bounds: int,
-) -> tuple[dict[str, tuple], float]:
+) -> tuple[Model | None, float]:
     """A model, and how much of a text must be known for its language to be named.
 
     Both come from labelled documents that are not held out: one in eight of all is
     kept from ``learn``, and half of what is known of the hundredth of those that is
-    known least is the limit. They are a sample of about ``fit_rows``, chosen by hash;
-    with fewer than 20 of them nothing is rejected (limit zero).
+    known least is the limit. They are a sample of about ``fit_rows``, chosen by hash. With
+    none of them nothing is rejected (limit zero).
     """
     fitting = _checksum(id_column) % 8 == 3
     taught = docs.where(~held_out(id_column))
     labelled = taught.where(fitting & F.col(lang_column).isNotNull() & (F.trim(text_column) != ""))
-    count = labelled.count()
-    few = count < 20
-    taught = taught if few else taught.where(~fitting)
-    model = learn(taught, id_column=id_column, text_column=text_column, lang_column=lang_column, **bounds)
-    if few or not model:
-        return model, 0.0
-    drawn = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(13)), F.lit(count)) < fit_rows
+    bounds |= {"id_column": id_column, "text_column": text_column, "lang_column": lang_column}
+    model = learn(taught.where(~fitting), **bounds)
+    if model is None:
+        return None, 0.0
+    count = F.lit(max(1, labelled.count()))
+    drawn = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(13)), count) < fit_rows
     rows = predicted(labelled.where(drawn).select(F.col(text_column).alias("text")), model)
     rows = rows.where(F.col("language.lang") != UNKNOWN)
     low = rows.agg(F.percentile_approx("language.known", 0.01, F.lit(10_000))).first()[0]
@@ -276,16 +307,17 @@ def identify(
 
     Learns from documents that are not held out and have text and language, within
     the bounds of ``learn``; predicts every whole text, from the text alone.
-    ``lang_pred`` is ``und`` with score zero if the text is null or has no letter, if
-    nothing could be learned, or if less of the text is known to the best language than
-    ``learn_with_limit`` finds that clean documents have. Ties go to the language that sorts first. The score
+    ``lang_pred`` is ``und`` with score zero if the text is null or has no letter, or if
+    nothing could be learned. Ties go to the language that sorts first. The score
     compares the mean log frequencies of a text's words, counted at most 20 times.
     Repeated rows get equal rows; other columns are ignored; an empty table gives an
-    empty result.
+    empty result. A limit on what must be known of a text, as in ``learn_with_limit``, is
+    for filters.
     """
-    model, least = learn_with_limit(docs, id_column, text_column, lang_column, **bounds)
+    taught = docs.where(~held_out(id_column))
+    model = learn(taught, id_column=id_column, text_column=text_column, lang_column=lang_column, **bounds)
     rows = docs.select(F.col(id_column), F.col(text_column).alias("text"))
-    return predicted(rows, model, least=least).select(
+    return predicted(rows, model).select(
         id_column,
         held_out(id_column).alias("held_out"),
         F.col("language.lang").alias("lang_pred"),
