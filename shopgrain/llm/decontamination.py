@@ -13,16 +13,16 @@ first, which turns most chance hits away at the price of a few characters.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+
+from .tables import smaller_batches, store
 
 # Items are sent to the tasks in blocks of about this many characters.
 _BLOCK = 16 << 20
@@ -158,17 +158,45 @@ class Matcher:
                 yield name, distance, start, end
 
 
-def _blocks(items: DataFrame, id_column: str, text_column: str) -> list[list[tuple]]:
-    """The test items in blocks of bounded size; each is collected on its own."""
-    named = items.select(F.col(id_column).alias("item"), F.col(text_column).alias("text")).where(
-        "text is not null"
-    )
-    size = named.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = 1 + size // _BLOCK
-    if n == 1:
-        return [[tuple(r) for r in named.collect()]]
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [[tuple(r) for r in named.where(block == k).collect()] for k in range(n)]
+def _stored_items(items: DataFrame, text_column: str) -> tuple[DataFrame, int]:
+    """Different item texts with a number, and how many blocks they make."""
+    texts = items.select(F.col(text_column).alias("text")).where("text is not null").distinct()
+    texts = store(texts.withColumn("number", F.monotonically_increasing_id()), "items")
+    size = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    return texts, 1 + size // _BLOCK
+
+
+def _block(texts: DataFrame, k: int, blocks: int) -> Broadcast:
+    """A block of item texts: about _BLOCK characters, or one longer item."""
+    rows = texts.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k).select("number", "text").collect()
+    return texts.sparkSession.sparkContext.broadcast([tuple(r) for r in rows])
+
+
+def _scan(known: Broadcast, rate: float) -> Callable:
+    """Batches of (id, text) to the hits of a block's items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(known.value, rate)
+        names = ["doc", "number", "distance", "start", "end"]
+        for batch in batches:
+            found = [(k, *hit) for k, text in enumerate(batch.column(1)) for hit in matcher.hits(text.as_py())]
+            where, *numbers = zip(*found) if found else ((),) * 5
+            ids = batch.column(0).take(pa.array(where, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(n, pa.int64()) for n in numbers)], names)
+
+    return run
+
+
+def _free_of(known: Broadcast, rate: float) -> Callable:
+    """A function of texts: whether none of a block's items occurs."""
+
+    @F.arrow_udf("boolean")
+    def free(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        matcher = Matcher(known.value, rate)
+        for texts in batches:
+            yield pa.array([next(matcher.hits(t.as_py()), None) is None for t in texts], pa.bool_())
+
+    return free
 
 
 def contaminated(
@@ -187,54 +215,45 @@ def contaminated(
     characters occurs if some part of the text is within ``int(rate * n)`` edits of all
     of it. Null and empty items match nothing, null and empty texts contain nothing.
     A row that is repeated is reported as often; repeated items too. Other columns
-    are ignored; an empty table gives an empty result. Items go to the tasks in
-    blocks of bounded size, one pass over the documents for each block.
+    are ignored; an empty table gives an empty result.
+
+    Items are reduced to different texts. These go to the tasks in blocks of about 16
+    million characters, one after another: a block is collected, scanned for in one pass
+    over the documents, its hits are stored, and it is dropped.
     """
-    types = {
-        "doc": docs.schema[id_column].dataType.simpleString(),
-        "item": items.schema[item_id_column].dataType.simpleString(),
-    }
-    schema = (
-        f"`{id_column}` {types['doc']}, `{item_id_column}` {types['item']}, distance long, start long, end long"
+    smaller_batches(docs.sparkSession)
+    id_type = docs.schema[id_column].dataType.simpleString()
+    schema = f"doc {id_type}, number long, distance long, start long, end long"
+    rows = docs.select(F.col(id_column).alias("doc"), F.col(text_column))
+    texts, blocks = _stored_items(items, item_text_column)
+    hits = []
+    for k in range(blocks):
+        known = _block(texts, k, blocks)
+        hits.append(store(rows.mapInArrow(_scan(known, rate), schema), "hits"))
+        known.unpersist()
+    named = items.select(F.col(item_id_column).alias("item"), F.col(item_text_column).alias("text"))
+    numbered = texts.join(named, "text").select("number", "item")
+    found = reduce(DataFrame.unionByName, hits).join(numbered, "number")
+    return found.select(
+        F.col("doc").alias(id_column), F.col("item").alias(item_id_column), "distance", "start", "end"
     )
-    rows = docs.select(F.col(id_column), F.col(text_column))
-    context = docs.sparkSession.sparkContext
-
-    def scan(block: list[tuple]) -> DataFrame:
-        known = context.broadcast(block)  # at most _BLOCK characters, or one item
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(known.value, rate)
-            names = [id_column, item_id_column, "distance", "start", "end"]
-            for batch in batches:
-                found = [(k, *hit) for k, text in enumerate(batch.column(1)) for hit in matcher.hits(text.as_py())]
-                where, item, *numbers = zip(*found) if found else ((),) * 5
-                ids = batch.column(0).take(pa.array(where, pa.int64()))
-                item = pa.array(item, item_type)
-                yield pa.RecordBatch.from_arrays([ids, item, *(pa.array(n, pa.int64()) for n in numbers)], names)
-
-        return rows.mapInArrow(run, schema)
-
-    item_type = to_arrow_type(items.schema[item_id_column].dataType)
-    return reduce(DataFrame.unionByName, map(scan, _blocks(items, item_id_column, item_text_column)))
-
-
-def is_clean(
-    items: DataFrame, text: Column, rate: float = 0.1, item_id_column: str = "item_id", item_text_column: str = "text"
-) -> Column:
-    """Whether a text contains none of the items; for filters, by the same rules."""
-    context = items.sparkSession.sparkContext
-
-    def free_of(known: Broadcast):
-        @F.pandas_udf("boolean")
-        def free(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            matcher = Matcher(known.value, rate)
-            for texts in batches:
-                yield pd.Series([next(matcher.hits(t), None) is None for t in texts], dtype=bool)
-
-        return free
-
-    clean = F.lit(True)
-    for block in _blocks(items, item_id_column, item_text_column):
-        clean = clean & free_of(context.broadcast(block))(text)
-    return clean
+
+
+def clean_documents(
+    docs: DataFrame,
+    items: DataFrame,
+    rate: float = 0.1,
+    text_column: str = "text",
+    item_text_column: str = "text",
+) -> DataFrame:
+    """The documents, with all their columns, that contain none of the items, by the rules
+    of ``contaminated``. What a block of items leaves is stored before the next one."""
+    smaller_batches(docs.sparkSession)
+    texts, blocks = _stored_items(items, item_text_column)
+    for k in range(blocks):
+        known = _block(texts, k, blocks)
+        docs = docs.where(_free_of(known, rate)(F.col(text_column)))
+        if k + 1 < blocks:
+            docs = store(docs, "clean")
+            known.unpersist()
+    return docs
