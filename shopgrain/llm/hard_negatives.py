@@ -166,6 +166,14 @@ def _foremost(found: DataFrame, most: int) -> DataFrame:
     return ranked.groupBy("anchor", "slot").agg(best.alias("best"))
 
 
+def _part(score: Column, percent: int, up: bool) -> Column:
+    """A percentage of a long, rounded down or up, by hundreds and rest so as not to overflow."""
+    rest = F.pmod(score, F.lit(100))
+    hundreds = F.floor((score - rest).cast("decimal(20,0)") / 100).cast("long")
+    small = F.ceil(rest * percent / 100) if up else F.floor(rest * percent / 100)
+    return hundreds * percent + small.cast("long")
+
+
 def _numbered_labels(rows: DataFrame) -> DataFrame:
     """Labels as long numbers; which does not matter, they are compared only."""
     if isinstance(rows.schema["label"].dataType, IntegralType):
@@ -240,7 +248,7 @@ def hard_negatives(
     best = store(_foremost(found, positives).select(F.col("anchor").alias("number"), "best"), "positives")
 
     # The highest score a hard negative can have, for each positive from the first on.
-    limits = F.expr(f"transform(best, p -> (p.score * {high_percent} - pmod(p.score * {high_percent}, 100)) div 100)")
+    limits = F.transform("best", lambda p: _part(p["score"], high_percent, up=False))
     limited = asked.drop("upper").join(best.select("number", limits.alias("upper")), "number")
 
     def other(slab, scores, number, some):
@@ -271,7 +279,7 @@ def hard_negatives(
     # Slots from the positive's own downwards, each sorted: all scores up to its limit.
     lower = F.array_sort(F.filter("slots", lambda s: s["slot"] >= F.col("slot")))
     first = F.slice(F.flatten(F.transform(lower, lambda s: s["best"])), 1, negatives)
-    hard = F.filter(first, lambda n: n["score"] * 100 >= F.col("positive.score") * low_percent)
+    hard = F.filter(first, lambda n: n["score"] >= _part(F.col("positive.score"), low_percent, up=True))
     answered = pairs.select("number", "positive", F.posexplode(hard).alias("at", "negative"))
     ids = asked.select("number", F.col("id").alias("anchor_id"))
     return answered.join(ids, "number").select(

@@ -17,12 +17,12 @@ from dataclasses import dataclass
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import held_out
+from .tables import smaller_batches
 
 _WORD = re.compile(r"[^\W\d_]+")
 _PREFIXES, _SUFFIXES = (3, 4, 5, 6, 7), (3, 4, 5)
@@ -463,20 +463,21 @@ def toxicity(
     next to zero. Repeated rows get equal rows; null ids are held out or not like the
     empty id; other columns are ignored; an empty table gives an empty result.
     """
+    smaller_batches(docs.sparkSession)
     field = learn(docs, labels, id_column=id_column, text_column=text_column, toxic_column=toxic_column, **options)
     known = docs.sparkSession.sparkContext.broadcast(field)  # bounded by the sample
-    span = "array<struct<start: long, end: long, probability: double>>"
+    names = ("start", "end", "probability")
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64()), ("probability", pa.float64())])
+    result = "score double, spans array<struct<start: long, end: long, probability: double>>"
 
-    @F.pandas_udf(f"score double, spans {span}" if with_spans else "score double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(result)
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tagger = Tagger(known.value)
-        names = ("start", "end", "probability")
         for texts in batches:
-            if with_spans:
-                rows = [tagger.spans(t, least) for t in texts]
-                yield pd.DataFrame({"score": [s for s, _ in rows], "spans": [[dict(zip(names, x)) for x in f] for _, f in rows]})
-            else:
-                yield pd.DataFrame({"score": [tagger.score(t) for t in texts]})
+            rows = [tagger.spans(t.as_py(), least) if with_spans else (tagger.score(t.as_py()), ()) for t in texts]
+            scores = pa.array([s for s, _ in rows], pa.float64())
+            spans = pa.array([[dict(zip(names, x)) for x in found] for _, found in rows], pa.list_(span))
+            yield pa.StructArray.from_arrays([scores, spans], names=["score", "spans"])
 
     judged = docs.select(
         F.col(id_column).alias("id"), held_out(id_column).alias("held_out"), judge(F.col(text_column)).alias("judged")

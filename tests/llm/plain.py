@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -114,6 +115,85 @@ def components(prints, most=2):
     return {n: top(n) for n in nodes}
 
 
+def language_model(rows, words_most=20_000, grams_most=5_000):
+    """Log frequencies by length and item for each language, of (lang, text); length 0 is words."""
+    counts = defaultdict(Counter)
+    for lang, text in rows:
+        counts[lang, 0].update(letters(text))
+    for (lang, _), words_of in list(counts.items()):
+        for word, n in words_of.items():
+            for length in range(1, 5):
+                for at in range(len(word) + 3 - length):
+                    counts[lang, length][f" {word} "[at : at + length]] += n
+    langs = sorted({lang for lang, _ in counts})
+    kept = {
+        key: dict(sorted(c.items(), key=lambda x: (-x[1], x[0]))[: grams_most if key[1] else words_most])
+        for key, c in counts.items()
+    }
+    items = [set().union(*(kept.get((lang, n), ()) for lang in langs)) for n in range(5)]
+    return langs, kept, items
+
+
+def letters(text):
+    found = re.findall(r"[^\W\d_]+", (text or "").lower())
+    return [w for w in found if any(c.isalpha() for c in w)]
+
+
+def language_of(text, model):
+    """(language, score, part that is known), as the scorer should say."""
+    langs, kept, items = model
+    words_in = letters(text)
+    if not words_in or not langs:
+        return "und", 0.0, 0.0
+    totals = {k: 0.5 * len(items[k[1]]) + sum(c.values()) for k, c in kept.items()}
+    parts_of = {}
+    for word in set(words_in):
+        padded, parts = f" {word} ", [(0, word)]
+        if word not in items[0]:
+            parts = []
+            for at in range(len(padded) - 1):
+                longest = next((n for n in (4, 3, 2, 1) if padded[at : at + n] in items[min(n, len(padded) - at)]), None)
+                if longest:
+                    part = padded[at : at + longest]
+                    parts.append((len(part), part))
+        parts_of[word] = parts
+    means, known = [], []
+    for lang in langs:
+        score = share = 0.0
+        for word in words_in:
+            parts = parts_of[word]
+            counts = [kept.get((lang, n), {}).get(item, 0) for n, item in parts]
+            logs = [math.log((c + 0.5) / totals[lang, n]) for c, (n, _) in zip(counts, parts)]
+            score += sum(logs) / max(1, len(parts))
+            share += sum(c > 0 and n in (0, 3, 4) for c, (n, _) in zip(counts, parts)) / max(1, len(parts))
+        means.append(score / len(words_in))
+        known.append(share / len(words_in))
+    best = max(range(len(langs)), key=lambda k: (means[k], -k))
+    odds = sum(math.exp((m - means[best]) * min(len(words_in), 20)) for m in means)
+    return langs[best], 1 / odds, known[best]
+
+
+def similar_groups(texts, words_in=5, least=0.8):
+    """Smallest id of the group of each (id, text) by Jaccard similarity of word shingles."""
+    sets = {}
+    for i, text in texts:
+        w = words(lowered(text))
+        sets[i] = {tuple(w[k : k + words_in]) for k in range(max(1, len(w) - words_in + 1))} if w else set()
+    root = {i: i for i in sets}
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
+                low, high = sorted((top(i), top(j)))
+                root[high] = low
+    return {i: top(i) for i in sets}
+
+
 def edit_distance(item, text):
     """Least edit distance of the item to any part of the text."""
     row = [0] * (len(text) + 1)

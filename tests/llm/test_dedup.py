@@ -6,6 +6,7 @@ import numpy as np
 import plain
 import pytest
 from plain import ODD, odd_docs, sha
+from pyspark.sql import functions as F
 from tables import documents, texts  # noqa: F401
 
 from shopgrain.llm import queries, simhash
@@ -13,7 +14,7 @@ from shopgrain.llm.components import components
 from shopgrain.llm.exact_dedup import exact_groups
 from shopgrain.llm.simhash import near_duplicates, one_per_group
 from shopgrain.llm.substring_dedup import repeated_passages, repeated_windows
-from shopgrain.llm.windows import Shape, repeated_spans
+from shopgrain.llm.windows import Shape, cut_in_parts, repeated_spans, with_spans
 from shopgrain.llm.suffix_dedup import repeated_bytes, repeated_strings
 
 
@@ -72,6 +73,36 @@ def test_repeated_bytes(spark, folder, texts):
     assert repeated_bytes(odd_docs(spark, ODD[:0])).count() == 0
 
 
+def test_ids_of_any_type(spark):
+    rows = [(i, t) for i, t in ODD if len(t or "") < 2000]
+    named = [(None if i is None else f"doc {i}", t) for i, t in rows]
+    docs = odd_docs(spark, rows).withColumn("doc_id", F.concat(F.lit("doc "), "doc_id"))
+    check_passages(repeated_passages(docs, window=5, gram=2), named, 5)
+    check_bytes(repeated_bytes(docs, window=12, gram=5), named, 12)
+    # Texts without an id that repeat nowhere lose nothing, next to others that do.
+    alone = [(None, " ".join(f"{k}n{j}" for j in range(40))) for k in range(300)]
+    shared = [(None, f"{k} {plain.PASSAGE}") for k in range(300)]
+    check_passages(repeated_passages(odd_docs(spark, alone + shared)), alone + shared, 35)
+
+
+def test_what_is_left_and_what_went(spark):
+    rows = [(i, t) for i, t in ODD if len(t or "") < 2000]
+    for r in repeated_passages(odd_docs(spark, rows), window=5, gram=2, with_text=True).collect():
+        assert sha(r.kept_text) == r.kept_sha256 and sum(s.end - s.start for s in r.spans) == r.n_removed
+    for r in repeated_bytes(odd_docs(spark, rows), window=12, gram=5, with_text=True).collect():
+        assert sha(bytes(r.kept)) == r.kept_sha256 and len(r.spans) == r.n_spans
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    texts = ["x" * 50, None, "y" * 5000, "", "z" * 10] * 40
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200)), pa.array(texts), pa.nulls(200)], ["a", "b", "c"])
+    parts = list(cut_in_parts(iter([batch, batch.slice(0, 0)]), lambda *columns: columns, most=1000))
+    assert [t for _, part, _ in parts for t in part.to_pylist()] == texts
+    assert max(sum(len(t or "") + 64 for t in part.to_pylist()) for _, part, _ in parts if len(part) > 1) <= 1000
+
+
 @pytest.mark.parametrize("seed", range(40))
 def test_windows_of_fragments(seed):
     """Random fragments over few symbols, so that everything repeats somewhere."""
@@ -99,8 +130,10 @@ def test_windows_over_many_chunks_flushes_and_buckets(spark, words):
         bucket_bytes=400, flush_bytes=500, settle_bytes=1,
     )
     settle = repeated_windows if words else repeated_strings
-    found = repeated_spans(odd_docs(spark, rows), shape, lambda f, w: settle(f, w, 9), "doc_id", "text")
-    got = {r.id: {p for s in r.spans for p in range(s.start, s.end)} for r in found.collect()}
+    docs = odd_docs(spark, rows)
+    found = repeated_spans(docs, shape, lambda f, w: settle(f, w, 9), "doc_id", "text")
+    joined = with_spans(docs, found, "doc_id", "text").collect()
+    got = {r.row_id: {p for s in r.spans or () for p in range(s.start, s.end)} for r in joined}
     split = plain.words if words else lambda t: (t or "").encode()
     for (i, _), (_, gone) in zip(rows, plain.repeated(rows, 9, split)):
         assert got.get(i, set()) == {p for p, g in enumerate(gone) if g}
@@ -196,20 +229,37 @@ def test_one_per_group_by_similarity(spark, documents):
     got = {r.doc_id for r in one_per_group(odd_docs(spark, rows), **FAR, budget=1).collect()}
     assert got == {0, *range(400, 420), 500, 501}
     # Against all pairs of the given documents.
-    texts = {r.doc_id: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
-             for r in documents.collect() for w in [plain.words((r.text or "").lower())]}
-    root = {i: i for i in texts}
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in texts:
-        for j in texts:
-            if i < j and len(texts[i] & texts[j]) >= 0.8 * len(texts[i] | texts[j]):
-                low, high = sorted((top(i), top(j)))
-                root[high] = low
-    assert {r.doc_id for r in one_per_group(documents, **FAR).collect()} == {i for i in texts if root[i] == i}
+    groups = plain.similar_groups([(r.doc_id, r.text) for r in documents.collect()])
+    assert {r.doc_id for r in one_per_group(documents, **FAR).collect()} == set(groups.values())
     with pytest.raises(ValueError):
         one_per_group(documents, **FAR | {"bits": 12})
+
+
+def test_first_variant_that_two_prints_share():
+    rng = np.random.default_rng(4)
+    for segments in (2, 6):
+        starts = [64 * k // segments for k in range(segments + 1)]
+        differing = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (500, 6)).astype(np.uint64), axis=1)
+        differing[:64] = np.uint64(1) << np.arange(64, dtype=np.uint64)
+        differing[64] = 0
+        got = simhash._first_variant(differing, segments)
+        for x, v in zip(differing.tolist(), got.tolist()):
+            shared = [
+                bit
+                for low, high in zip(starts, starts[1:])
+                for bit in range(low, high)
+                if not x & ((1 << high) - (1 << low)) & ~(1 << bit)
+            ]
+            assert v == (shared[0] if shared else 64)
+
+
+def test_pairs_stay_a_forest_however_large_a_group(spark):
+    """Members of a group give a few pairs each, not one for each other member."""
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**62, 1)[0]
+    for size in (200, 800):
+        prints = np.unique(base ^ (np.int64(1) << rng.integers(0, 62, size)) ^ (np.int64(1) << rng.integers(0, 62, size)))
+        rows = [(int(p), k, 100 + k % 7, k) for k, p in enumerate(prints)]
+        met = simhash._variants(spark.createDataFrame(rows, "fp long, node long, n int, root long"), 6)
+        found = simhash._candidates(met, 11, 0.8, 2, 6).where("b is not null")
+        assert len(prints) - 1 <= found.distinct().count() <= found.count() <= 20 * len(prints)
