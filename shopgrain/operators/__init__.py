@@ -4,8 +4,9 @@ from .arrays import explode_items, nest_items
 from .counting import histogram, share_of_total, table_counts, value_counts
 from .dedup import latest_per_key
 from .grouping import group_totals
-from .history import merge_history, open_versions, surrogate_key
+from .history import merge_history, open_versions, surrogate_key, valid_on
 from .joins import lookup, match, unmatched
+from .keys import assign_keys, numbered
 from .quality import (
     NotNull,
     Range,
@@ -17,7 +18,7 @@ from .quality import (
     summarize,
     verdict,
 )
-from .ranking import dense_rank, exact_quantiles, running_total
+from .ranking import dense_rank, dense_ranks, exact_quantiles, running_total
 
 __all__ = [
     "NotNull",
@@ -26,8 +27,10 @@ __all__ = [
     "Unique",
     "ValueSet",
     "alert_report",
+    "assign_keys",
     "check",
     "dense_rank",
+    "dense_ranks",
     "exact_quantiles",
     "explode_items",
     "group_totals",
@@ -37,6 +40,7 @@ __all__ = [
     "match",
     "merge_history",
     "nest_items",
+    "numbered",
     "open_versions",
     "running_total",
     "share_of_total",
@@ -44,6 +48,7 @@ __all__ = [
     "surrogate_key",
     "table_counts",
     "unmatched",
+    "valid_on",
     "value_counts",
     "verdict",
 ]

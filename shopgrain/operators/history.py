@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import match
@@ -35,6 +35,34 @@ def open_versions(
     )
 
 
+def valid_on(
+    facts: DataFrame,
+    history: DataFrame,
+    key: str,
+    day: str | Column,
+    *columns: str,
+    first_before: bool = True,
+) -> DataFrame:
+    """Facts with columns of the version of their key that was valid on their day.
+
+    A version is valid from its effective date up to the day before its expiration
+    date. With ``first_before`` the first version of a key is valid before its effective
+    date too, as a history begins only with the first load. Facts without a valid version
+    have nulls. An equi-join on the key, with the interval as a condition on the pairs that
+    it finds: every fact meets its key's few versions, and a hot key's partition is split.
+    """
+    on = F.col(day) if isinstance(day, str) else day
+    first = F.min("effective_date").over(Window.partitionBy(key))
+    begins = F.col("effective_date")
+    if first_before:
+        begins = F.when(begins == first, F.lit("0001-01-01").cast("date")).otherwise(begins)
+    versions = history.select(
+        F.col(key).alias("_key"), begins.alias("_from"), F.col("expiration_date").alias("_until"), *columns
+    )
+    valid = (F.col(key) == F.col("_key")) & (F.col("_from") <= on) & (on < F.col("_until"))
+    return facts.join(versions, valid, "left").drop("_key", "_from", "_until")
+
+
 def merge_history(
     history: DataFrame,
     snapshot: DataFrame,

@@ -9,7 +9,7 @@ row per range carries the totals forward.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -114,6 +114,43 @@ def dense_rank(
     return match(df, ranks.select(*groups, value, name), [*groups, value])
 
 
+def dense_ranks(
+    df: DataFrame,
+    value: str,
+    names: Mapping[str, Sequence[str]],
+    descending: bool = True,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Several dense ranks of one value: each name is the rank within its groups.
+
+    The distinct values of all groups are cut into ranges and shuffled by range once;
+    every rank is a window in a range, carried forward by the numbers of values that the
+    ranges before have. ``df`` is read twice, so give a stored table.
+    """
+    groups = list(dict.fromkeys(g for wanted in names.values() for g in wanted))
+    if ranges is None:
+        ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    points = df.select(*groups, value).distinct().withColumn("_one", F.lit(1).cast("bigint"))
+    placed = _range_number(points, value, "_one", max(ranges, 2)).drop("_one").repartition("_range")
+
+    def direction(column: str) -> Column:
+        return F.desc(column) if descending else F.asc(column)
+
+    for name, wanted in names.items():
+        within = Window.partitionBy("_range", *wanted).orderBy(direction(value))
+        placed = placed.withColumn(name, F.dense_rank().over(within).cast("bigint"))
+    ranked = placed
+    for name, wanted in names.items():
+        # One row for each range and group.
+        counts = placed.groupBy(*wanted, "_range").agg(F.max(name).alias("_in_range"))
+        earlier = Window.partitionBy(*wanted).orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
+        before = F.coalesce(F.sum("_in_range").over(earlier), F.lit(0).cast("bigint"))
+        offsets = counts.select(*wanted, "_range", before.alias("_before"))
+        ranked = match(ranked, offsets, [*wanted, "_range"])
+        ranked = ranked.withColumn(name, F.col(name) + F.col("_before")).drop("_before")
+    return match(df, ranked.drop("_range"), [*groups, value])
+
+
 def exact_quantiles(
     df: DataFrame,
     value: str,

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import schemas
+from .. import schemas, scratch
 from ..functions import (
     RfmThresholds,
     percent,
@@ -22,7 +22,7 @@ from ..functions import (
     run_time,
     threshold_score,
 )
-from ..operators import dense_rank, group_totals, lookup, match
+from ..operators import dense_ranks, group_totals, lookup, match
 
 When = dt.datetime | str | None
 
@@ -93,15 +93,21 @@ def product_performance(
     products: DataFrame,
     as_of: When = None,
 ) -> DataFrame:
-    """``product_performance``: totals, ratios and revenue ranks per product.
+    """``product_performance``: totals, ratios and revenue ranks per product."""
+    with scratch.kept(product_totals(fact), "product-totals") as totals:
+        return performance_of(totals, products, as_of)
 
-    Ranks need the revenue only, so they are found on a narrow aggregation of
-    their own and looked up by product.
-    """
-    revenue = product_revenue(fact)
-    ranks = dense_rank(revenue, "total_revenue", "revenue_rank_overall")
-    ranks = dense_rank(ranks, "total_revenue", "revenue_rank_in_category", ["category"])
-    ranked = match(product_totals(fact), ranks.drop("total_revenue"), ["product_id", "category"])
+
+def ranked_products(totals: DataFrame) -> DataFrame:
+    """Products with their revenue ranks, over all and in their category."""
+    return dense_ranks(
+        totals, "total_revenue", {"revenue_rank_overall": [], "revenue_rank_in_category": ["category"]}
+    )
+
+
+def performance_of(totals: DataFrame, products: DataFrame, as_of: When = None) -> DataFrame:
+    """``product_performance`` from stored ``product_totals``, which are read twice."""
+    ranked = ranked_products(totals)
     goods = products.filter("is_current").select("product_id", "product_name", "price", "rating")
     named = lookup(ranked, goods, "product_id").withColumns(
         {
@@ -179,14 +185,25 @@ def customer_360(
     thresholds: RfmThresholds = RfmThresholds(),
     today: dt.date | None = None,
 ) -> DataFrame:
-    """``customer_360``: every current customer with lifetime measures and RFM.
+    """``customer_360``: every current customer with lifetime measures and RFM."""
+    return profiles_of(customer_totals(fact), customers, as_of, thresholds, today)
+
+
+def profiles_of(
+    totals: DataFrame,
+    customers: DataFrame,
+    as_of: When = None,
+    thresholds: RfmThresholds = RfmThresholds(),
+    today: dt.date | None = None,
+) -> DataFrame:
+    """``customer_360`` from ``customer_totals``.
 
     Days are counted up to ``today``, by default the customer row's load time.
     """
     profiles = customers.filter("is_current").select(
         "customer_key", "customer_id", "full_name", "email", "country", "segment", "load_timestamp"
     )
-    joined = lookup(profiles, customer_totals(fact), "customer_id")
+    joined = lookup(profiles, totals, "customer_id")
     measured = joined.na.fill(
         0,
         [
@@ -249,6 +266,12 @@ def cohort_analysis(fact: DataFrame, as_of: When = None) -> DataFrame:
         F.sum("revenue").alias("revenue"),
         F.count("revenue").alias("priced_items"),
     )
+    return cohorts_of(monthly, as_of)
+
+
+def cohorts_of(monthly: DataFrame, as_of: When = None) -> DataFrame:
+    """``cohort_analysis`` from a row for each customer and month, with the first day of
+    the customer in it, revenue and number of priced items."""
     first = F.min("first_date").over(Window.partitionBy("customer_id"))
     dated = monthly.filter(F.col("customer_id").isNotNull()).withColumn("first_purchase", first)
     cohorts = dated.select(

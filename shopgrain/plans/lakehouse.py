@@ -14,8 +14,7 @@ from ..functions import RfmThresholds
 from ..operators import merge_history
 from ..session import fitted_shuffles
 from ..sinks import write_table
-from ..sources import read_bronze, read_day, read_table
-from ..streaming import last_run, record_run, upsert_orders
+from ..sources import read_bronze, read_table
 from . import gold, silver
 
 SILVER = ("dim_products", "dim_customers", "dim_date", "fact_orders", "events")
@@ -47,32 +46,36 @@ class Lakehouse:
     root: str
 
     def path(self, name: str) -> str:
-        return f"{self.root}/{'silver' if name in SILVER else 'gold'}/{name}"
+        layer = "silver" if name in (*SILVER, "rejected_orders") else "gold"
+        return f"{self.root}/{layer}/{name}"
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.path(name).rpartition("/")[0], name)
 
-    def _exists(self, name: str) -> bool:
-        context = self.spark.sparkContext
-        folder = context._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+    def exists(self, name: str) -> bool:
+        return scratch.exists(self.spark, self.path(name))
 
     def _store(self, name: str, df: DataFrame) -> None:
         write_table(df, self.path(name), schemas.PARTITIONING[name])
 
     def _store_dimension(self, name: str, snapshot: DataFrame, as_of: dt.date | None) -> None:
-        """Overwrite, or merge into the stored history if there is one."""
-        if as_of is not None and self._exists(name):
+        """Overwrite, or merge into the stored history if there is one. Two rows under one
+        surrogate key are an error, found before the table is replaced."""
+        key_name, _ = _DIMENSIONS[name]
+        with scratch.materialized(self._versions(name, snapshot, as_of), name) as stored:
+            twice = stored.groupBy(key_name).count().filter("count > 1")
+            if not twice.isEmpty():
+                raise ValueError(f"{name}: one {key_name} for several rows, such as {twice.first()[0]}")
+            self._store(name, stored)
+
+    def _versions(self, name: str, snapshot: DataFrame, as_of: dt.date | None) -> DataFrame:
+        if as_of is not None and self.exists(name):
             key_name, identity = _DIMENSIONS[name]
             tracked = [c for c in snapshot.columns if c not in (key_name, *_STAMPS)]
-            merged = merge_history(
+            return merge_history(
                 self.table(name), snapshot, key_name, F.coalesce(*identity), tracked, as_of
             )
-            # A table cannot be read and replaced in the same step.
-            with scratch.materialized(merged, name) as stored:
-                self._store(name, stored)
-        else:
-            self._store(name, snapshot)
+        return snapshot
 
     def build_dimensions(
         self,
@@ -81,11 +84,22 @@ class Lakehouse:
         history: bool = False,
     ) -> None:
         """Products and customers; ``history`` keeps their earlier versions."""
+        for table in ("products", "customers"):
+            self.build_dimension(table, bronze[table], as_of, history)
+
+    def build_dimension(
+        self,
+        table: str,
+        documents: DataFrame,
+        as_of: dt.datetime | str | None = None,
+        history: bool = False,
+    ) -> None:
+        """One dimension from all documents of ``products`` or ``customers``."""
         day = None
         if history:
             day = dt.date.fromisoformat(str(as_of)[:10]) if as_of else dt.date.today()
-        self._store_dimension("dim_products", silver.clean_products(bronze["products"], as_of), day)
-        self._store_dimension("dim_customers", silver.clean_customers(bronze["customers"], as_of), day)
+        clean = {"products": silver.clean_products, "customers": silver.clean_customers}[table]
+        self._store_dimension(f"dim_{table}", clean(documents, as_of), day)
 
     def build_silver(
         self,
@@ -119,6 +133,15 @@ class Lakehouse:
             if "events" in bronze:
                 self._store("events", silver.clean_events(bronze["events"]))
 
+    def extend_calendar(self, start: dt.date, end: dt.date) -> None:
+        """Make the stored calendar cover these days too."""
+        if self.exists("dim_date"):
+            known = self.table("dim_date").agg(F.min("date"), F.max("date")).first()
+            if known[0] is not None and known[0] <= start and known[1] >= end:
+                return
+            start, end = min(start, known[0] or start), max(end, known[1] or end)
+        self._store("dim_date", silver.date_dimension(self.spark, start, end))
+
     def build_gold(
         self,
         as_of: dt.datetime | str | None = None,
@@ -136,35 +159,6 @@ class Lakehouse:
             self._store("category_analysis", gold.category_analysis(fact, as_of))
             self._store("cohort_analysis", gold.cohort_analysis(fact, as_of))
 
-    def load_day(
-        self,
-        bronze_path: str,
-        day: dt.date | str,
-        log: str,
-        pipeline: str = "orders",
-        as_of: dt.datetime | str | None = None,
-    ) -> bool:
-        """Bring the stored fact up to date with one ingest day, unless the run log
-        says it was loaded; true if it was loaded now.
-
-        Days are loaded in order. Orders delivered again replace their items, so
-        a run that broke before it was recorded can be repeated.
-        """
-        before = last_run(self.spark, log, pipeline)
-        if before is not None and before >= dt.date.fromisoformat(str(day)):
-            return False
-        orders = read_day(self.spark, bronze_path, "orders", day)
-        items = silver.order_items(
-            orders, self.table("dim_products"), self.table("dim_customers"), as_of, dedup=True
-        )
-        with fitted_shuffles(self.spark, [self.path("fact_orders")]):
-            if self._exists("fact_orders"):
-                upsert_orders(self.spark, self.path("fact_orders"), items)
-            else:
-                self._store("fact_orders", items)
-        record_run(self.spark, log, pipeline, day, as_of)
-        return True
-
 
 def build_from_folder(
     spark: SparkSession,

@@ -30,11 +30,16 @@ def _delivery(df: DataFrame) -> list[str]:
     return [c for c in _DELIVERY if c in df.columns]
 
 
+def one_per_product(bronze: DataFrame) -> DataFrame:
+    """The last valid delivery of each product."""
+    valid = bronze.filter(F.col("id").isNotNull() & (number_or_null("price", "double") > 0))
+    return latest_per_key(valid, ["id"], _delivery(valid))
+
+
 def clean_products(bronze: DataFrame, as_of: When = None) -> DataFrame:
     """``dim_products``: the last valid delivery of each product."""
     price = number_or_null("price", "decimal(10,2)")
-    valid = bronze.filter(F.col("id").isNotNull() & (number_or_null("price", "double") > 0))
-    one_each = latest_per_key(valid, ["id"], _delivery(valid))
+    one_each = one_per_product(bronze)
     cleaned = one_each.select(
         F.col("id").cast("string").alias("product_id"),
         clean_text("title").alias("product_name"),
@@ -121,11 +126,12 @@ def number_or_null(column: str | Column, data_type: str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).try_cast(data_type)
 
 
-def _ordered_items(orders: DataFrame, dedup: bool) -> DataFrame:
+def _ordered_items(orders: DataFrame, dedup: bool, *more: str) -> DataFrame:
     known = orders.filter(F.col("id").isNotNull())
     if dedup:
         known = latest_per_key(known, ["id"], _delivery(known))
     return known.select(
+        *more,
         F.col("id").cast("string").alias("order_id"),
         F.col("userId").cast("string").alias("customer_id"),
         to_day("date").alias("order_date"),
@@ -177,6 +183,56 @@ def order_items(
     return stamped.select(schemas.FACT_ORDERS.names)
 
 
+def delivered_orders(orders: DataFrame) -> DataFrame:
+    """The last delivery of each order, with the day and the file it came in."""
+    return _ordered_items(orders, True, *_DELIVERY)
+
+
+def tagged_items(
+    orders: DataFrame, products: DataFrame, customers: DataFrame, as_of: When = None
+) -> DataFrame:
+    """Every item of ``delivered_orders``: columns of the fact, and as ``reason`` why an item
+    is none of it, null if it is. Items of unknown products have no price."""
+    buyers = customers.filter("is_current").select("customer_id", "customer_key")
+    goods = products.filter("is_current").select("product_id", "product_key", "price", "category")
+    items = lookup(_exploded(lookup(orders, buyers, "customer_id")), goods, "product_id")
+    revenue, cost, profit = line_metrics(F.col("quantity"), F.col("price"))
+    reason = F.when(F.col("product_key").isNull(), "unknown product").when(
+        F.col("customer_key").isNull(), "unknown customer"
+    )
+    tagged = items.withColumns(
+        {
+            "revenue": revenue,
+            "cost": cost,
+            "profit": profit,
+            "discount": F.lit(0).cast("decimal(10,2)"),
+            "year": F.year("order_date"),
+            "month": F.month("order_date"),
+            "day": F.dayofmonth("order_date"),
+            "load_timestamp": run_time(as_of),
+            "reason": reason,
+        }
+    )
+    return tagged.select(schemas.REJECTED_ORDERS.names)
+
+
+def orders_again(rejected: DataFrame, products: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders kept because of a rejected item that the dimensions now know better, as
+    ``delivered_orders`` gave them."""
+    open_items = rejected.filter("reason is not null")
+    goods = products.filter("is_current").select("product_id")
+    buyers = customers.filter("is_current").select("customer_id")
+    known = open_items.filter("reason = 'unknown product'").join(goods, "product_id", "left_semi").select("order_id")
+    known = known.union(
+        open_items.filter("reason = 'unknown customer'").join(buyers, "customer_id", "left_semi").select("order_id")
+    )
+    whole = rejected.join(known, "order_id", "left_semi")
+    item = F.struct(F.col("product_id").cast("long").alias("productId"), F.col("quantity").cast("long").alias("quantity"))
+    return whole.groupBy("order_id", "customer_id", "order_date", "status", *_DELIVERY).agg(
+        F.collect_list(item).alias("products")
+    )
+
+
 def rejected_items(
     orders: DataFrame, products: DataFrame, customers: DataFrame, dedup: bool = False
 ) -> DataFrame:
@@ -194,8 +250,8 @@ def rejected_items(
     )
 
 
-def clean_events(bronze: DataFrame) -> DataFrame:
-    """Typed events, one row per event id."""
+def clean_events(bronze: DataFrame, with_delivery: bool = False) -> DataFrame:
+    """Typed events, one row per event id; ``with_delivery`` adds where they came from."""
     known = bronze.filter(F.col("event_id").isNotNull())
     one_each = latest_per_key(known, ["event_id"], _delivery(known))
     at = F.try_to_timestamp("timestamp")
@@ -210,6 +266,7 @@ def clean_events(bronze: DataFrame) -> DataFrame:
         "page_url",
         "referrer",
         "device",
+        *(_DELIVERY if with_delivery else ()),
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import scratch
+from ..plans.ingest import Ingest
 from ..plans.lakehouse import Lakehouse
 from ..schemas import BRONZE, PARTITIONING
 from ..sinks import write_bronze_json, write_table
@@ -17,7 +18,7 @@ from ..streaming import (
     record_run,
     upsert_orders,
 )
-from .common import LOAD_TIME, lake, plain
+from .common import ITEMS_CTE, LOAD_TIME, lake, plain
 from .files import FACT_SQL
 
 
@@ -100,15 +101,15 @@ def daily_run(spark, folder):
     """The fact brought up to date day by day: everything on the first day, on the
     second the orders of 2001 again with another status; both days asked for twice."""
     root, lake_root = scratch.new_path(spark, "daily-bronze"), scratch.new_path(spark, "daily-lake")
-    log = scratch.new_path(spark, "daily-log")
     orders = warehouse.orders(spark, folder)
     write_bronze_json(orders, f"{root}/orders", F.lit("2001-08-01").cast("date"))
     again = orders.filter("date >= '2001-01-01'").withColumn("status", F.lit("again"))
     write_bronze_json(again, f"{root}/orders", F.lit("2001-08-02").cast("date"))
     house = Lakehouse(spark, lake_root)
     house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
+    loads = Ingest(house, root)
     for day in ("2001-08-01", "2001-08-01", "2001-08-02", "2001-08-02"):
-        house.load_day(root, day, log, as_of=LOAD_TIME)
+        loads.load("orders", LOAD_TIME, day)
     return plain(house.table("fact_orders"), "product_key", "customer_key", "load_timestamp", "discount")
 
 
@@ -118,7 +119,135 @@ from ({FACT_SQL})
 """
 
 
+def _deliver(df, root, table, day, part=""):
+    """Documents of a table in the folder of a day, or of a part of it that sorts later."""
+    path = f"{root}/{table}/ingest_date={day}{part}"
+    df.repartition(2).write.mode("append").json(path)
+
+
+def _delivered(spark, folder, root):
+    """What has arrived when loads are run for the first, second and third time.
+
+    Late are: the parts of one brand, the day of the orders before 1998, with outdated
+    copies of those since 2000, and a file with the orders of 2001 under another status in
+    the folder of a day that is loaded by then. A third of the events comes twice."""
+    bronze = warehouse.bronze(spark, folder)
+    products, customers, orders, events = (bronze[n] for n in ("products", "customers", "orders", "events"))
+    brand = F.col("description") == "Brand#2"
+    _deliver(products.filter(~brand), root, "products", "2001-08-01")
+    _deliver(customers, root, "customers", "2001-08-01")
+    _deliver(orders.filter("date >= '1998-01-01'"), root, "orders", "2001-08-02")
+    half = F.col("event_id").cast("long") % 3
+    _deliver(events.filter(half != 0), root, "events", "2001-08-02")
+    yield
+    _deliver(products.filter(brand), root, "products", "2001-08-03")
+    old = orders.filter("date >= '2000-01-01'").withColumn("status", F.lit("outdated"))
+    _deliver(orders.filter("date < '1998-01-01'").unionByName(old), root, "orders", "2001-08-01")
+    again = orders.filter("date >= '2001-01-01'").withColumn("status", F.lit("again"))
+    _deliver(again, root, "orders", "2001-08-02", "/zz-added")
+    _deliver(events.filter(half != 1), root, "events", "2001-08-01")
+    yield
+    yield
+
+
+def _all_tables(house):
+    """Items, events and both dimensions as rows of one shape."""
+    item = house.table("fact_orders").select(
+        F.lit("item").alias("kind"), F.col("order_id").alias("id"), F.col("product_id").alias("about"),
+        F.col("status").alias("value"), F.col("revenue").cast("double").alias("amount"), F.col("order_date").alias("day"),
+    )
+    event = house.table("events").select(
+        F.lit("event"), "event_id", "customer_id", "event_type", F.lit(None).cast("double"), "event_date"
+    )
+    product = house.table("dim_products").select(
+        F.lit("product"), "product_id", "category", "product_name", F.col("price").cast("double"), F.lit(None).cast("date")
+    )
+    person = house.table("dim_customers").select(
+        F.lit("customer"), "customer_id", "country", "full_name", F.lit(None).cast("double"), F.lit(None).cast("date")
+    )
+    return item.unionAll(event).unionAll(product).unionAll(person)
+
+
+def all_pipelines(spark, folder):
+    """All four pipelines loaded three times, with days and files that come late."""
+    root = scratch.new_path(spark, "loads-bronze")
+    house = Lakehouse(spark, scratch.new_path(spark, "loads-lake"))
+    loads = Ingest(house, root)
+    for _ in _delivered(spark, folder, root):
+        files = loads.load_all(LOAD_TIME)
+    if any(files.values()):
+        raise AssertionError(f"loaded again: {files}")
+    return _all_tables(house)
+
+
+_ALL_TABLES_SQL = f"""
+with {ITEMS_CTE}
+select 'item' as kind, order_id as id, product_id as about,
+       case when order_date >= date '2001-01-01' then 'again' else status end as value,
+       revenue::double as amount, order_date as day
+from fact
+union all
+select 'event', event_id::varchar, user_id::varchar, event_type, null, ts::date from events
+union all
+select 'product', p_partkey::varchar, p_type, p_name, p_retailprice::decimal(10,2)::double, null from part
+union all
+select 'customer', c_custkey::varchar, coalesce(r_name, 'US'), replace(c_name, '#', ' '), null, null
+from customer left join nation on n_nationkey = c_nationkey
+left join region on r_regionkey = n_regionkey
+"""
+
+
+def stream_fact(spark, folder):
+    """Orders and events merged by streams: a batch, then one that delivers much of it
+    again, then none; the dimensions are there before."""
+    root = scratch.new_path(spark, "stream-bronze")
+    house = Lakehouse(spark, scratch.new_path(spark, "stream-lake"))
+    loads = Ingest(house, root)
+    checks = {n: scratch.new_path(spark, f"{n}-check") for n in ("orders", "events")}
+    house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
+    for _ in _delivered(spark, folder, root):
+        for name, checkpoint in checks.items():
+            loads.stream(name, checkpoint, LOAD_TIME)
+    return _all_tables(house)
+
+
+def rejects_replayed(spark, folder):
+    """Orders loaded before the parts of two brands are known, and without the customers
+    in debt; then one brand comes. Every delivered item is either stored or kept with the
+    reason why it is not."""
+    root = scratch.new_path(spark, "rejects-bronze")
+    house = Lakehouse(spark, scratch.new_path(spark, "rejects-lake"))
+    loads = Ingest(house, root)
+    bronze = warehouse.bronze(spark, folder)
+    brand = F.col("description")
+    debtors = warehouse.table(spark, folder, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("id"))
+    _deliver(bronze["products"].filter(~brand.isin("Brand#2", "Brand#3")), root, "products", "2001-08-01")
+    _deliver(bronze["customers"].join(debtors, "id", "left_anti"), root, "customers", "2001-08-01")
+    _deliver(bronze["orders"], root, "orders", "2001-08-01")
+    loads.load_all(LOAD_TIME)
+    _deliver(bronze["products"].filter(brand == "Brand#2"), root, "products", "2001-08-02")
+    for _ in range(2):
+        loads.load_all(LOAD_TIME)
+    columns = ["order_id", "product_id", "quantity", "order_date"]
+    stored = house.table("fact_orders").select(*columns, F.lit(None).cast("string").alias("reason"))
+    kept = house.table("rejected_orders").filter("reason is not null").select(*columns, "reason")
+    return stored.unionAll(kept)
+
+
+_REJECTS_SQL = """
+select o_orderkey::varchar as order_id, l_partkey::varchar as product_id, l_quantity::int as quantity,
+       o_orderdate::date as order_date,
+       case when p_brand = 'Brand#3' then 'unknown product'
+            when c_acctbal < 0 then 'unknown customer' end as reason
+from orders join lineitem on l_orderkey = o_orderkey
+join part on p_partkey = l_partkey join customer on c_custkey = o_custkey
+"""
+
+
 QUERIES = {
+    "inc_all_pipelines": (all_pipelines, _ALL_TABLES_SQL),
+    "inc_stream_fact": (stream_fact, _ALL_TABLES_SQL),
+    "inc_rejects_replayed": (rejects_replayed, _REJECTS_SQL),
     "inc_fact_upsert": (fact_upsert, FACT_SQL),
     "inc_watermark_upsert": (watermark_upsert, _UPSERT_SQL),
     "inc_filter_by_watermark": (

@@ -8,7 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import scratch
-from ..plans import gold, silver
+from ..operators import assign_keys, valid_on
+from ..plans import behaviour, gold, silver
 from ..plans.lakehouse import Lakehouse
 from ..sources import warehouse
 from .common import AS_OF, ITEMS_CTE, LOAD_TIME, cents, half_up, lake, plain
@@ -167,7 +168,112 @@ def typed_events(spark, folder):
     )
 
 
+FUNNEL = ("view", "click", "purchase")
+# Test events of a customer are hours apart.
+_GAP = 600
+
+
+def sessions(spark, folder):
+    found = behaviour.event_sessions(lake(spark, folder).table("events"), _GAP)
+    return found.select(
+        "customer_id", F.unix_micros("start").alias("first_micros"), F.unix_micros("end").alias("last_micros"),
+        "events", "kinds", "device", "seconds",
+    )
+
+
+_SESSIONS_CTE = f"""
+known as (select *, user_id::varchar as customer_id from events where user_id is not null and ts is not null),
+gaps as (select *, epoch_us(ts) - epoch_us(lag(ts) over (partition by customer_id order by ts)) as gap from known),
+tagged as (select *, sum((gap is null or gap >= {_GAP * 60_000_000})::int) over (
+             partition by customer_id order by ts rows unbounded preceding) as session from gaps)
+"""
+
+_SESSIONS_SQL = f"""
+with {_SESSIONS_CTE}
+select customer_id, min(epoch_us(ts)) as first_micros, max(epoch_us(ts)) as last_micros, count(*) as events,
+       count(distinct event_type) as kinds,
+       max(list_extract(['desktop', 'mobile', 'tablet'], (props->>'$.k')::int % 3 + 1)) as device,
+       (max(epoch_us(ts)) - min(epoch_us(ts))) / 1000000 as seconds
+from tagged group by customer_id, session
+"""
+
+
+def funnel(spark, folder):
+    """Steps passed by each session, and what that makes over all."""
+    passed = behaviour.event_funnel(lake(spark, folder).table("events"), FUNNEL, _GAP)
+    passed = scratch.materialize(passed, "funnel")
+    each = passed.select(
+        F.lit("session").alias("kind"), F.concat_ws("@", "customer_id", F.unix_micros("session")).alias("id"),
+        "steps_passed", F.lit(None).cast("long").alias("passed"),
+    )
+    counts = behaviour.funnel_counts(passed, FUNNEL)
+    return each.unionAll(counts.select(F.lit("step"), "name", "step", "passed"))
+
+
+_FUNNEL_SQL = f"""
+with {_SESSIONS_CTE},
+viewed as (select customer_id, session, min(epoch_us(ts)) as started,
+                  min(ts) filter (event_type = 'view') as v from tagged group by all),
+clicked as (select f.*, (select min(ts) from tagged t where t.customer_id = f.customer_id and t.session = f.session
+                         and event_type = 'click' and ts > v) as c from viewed f),
+bought as (select f.*, (select min(ts) from tagged t where t.customer_id = f.customer_id and t.session = f.session
+                        and event_type = 'purchase' and ts > c) as p from clicked f),
+passed as (select customer_id, started, case when p is not null then 3 when c is not null then 2
+                  when v is not null then 1 else 0 end as steps_passed from bought)
+select 'session' as kind, customer_id || '@' || started as id, steps_passed, null::bigint as passed from passed
+union all
+select 'step', ['session', 'view', 'click', 'purchase'][step + 1], step::int, count(*) filter (steps_passed >= step)
+from passed, (select unnest([0, 1, 2, 3]) as step) group by step
+"""
+
+
+def fact_valid_at(spark, folder):
+    """Items with the price and name of the part on the day of their order: parts were
+    loaded at the end of 1996, and changed at the end of 1998 and of 1999."""
+    house = Lakehouse(spark, scratch.new_path(spark, "versions"))
+    products = warehouse.products(spark, folder)
+    price = F.col("price").cast("decimal(10,2)")
+    size = F.col("rating.count")
+    dear = products.withColumn("price", F.when(size < 150, price + 1).otherwise(price).cast("string"))
+    new = dear.withColumn("title", F.when(size >= 300, F.concat("title", F.lit(" II"))).otherwise(F.col("title")))
+    for day, documents in (("1996-12-31", products), ("1998-12-31", dear), ("1999-12-31", new)):
+        house.build_dimension("products", documents, f"{day} 00:00:00", history=True)
+    fact = lake(spark, folder).table("fact_orders").select("order_id", "product_id", "quantity", "order_date")
+    valid = valid_on(fact, house.table("dim_products"), "product_id", "order_date", "product_name", "price", "effective_date")
+    return plain(valid)
+
+
+_VALID_SQL = f"""
+with {ITEMS_CTE}
+select order_id, product_id, quantity, order_date,
+       case when p_size >= 30 and order_date >= date '1999-12-31' then p_name || ' II' else p_name end as product_name,
+       (p_retailprice::decimal(10,2) + (p_size < 15 and order_date >= date '1998-12-31')::int)::double as price,
+       case when p_size < 15 and order_date >= date '1998-12-31' then date '1998-12-31'
+            when p_size >= 30 and order_date >= date '1999-12-31' then date '1999-12-31'
+            else date '1996-12-31' end as effective_date
+from items join part on p_partkey::varchar = product_id
+"""
+
+
+def key_numbers(spark, folder):
+    """Numbers of products: all but one brand first, then all, twice."""
+    path = scratch.new_path(spark, "keys")
+    parts = warehouse.table(spark, folder, "part").select(F.col("p_partkey").cast("string").alias("product_id"), "p_brand")
+    assign_keys(spark, path, parts.filter("p_brand <> 'Brand#2'").select("product_id"))
+    assign_keys(spark, path, parts.select("product_id"))
+    return assign_keys(spark, path, parts.select("product_id").unionAll(parts.select("product_id")))
+
+
 QUERIES = {
+    "event_sessions": (sessions, _SESSIONS_SQL),
+    "event_funnel": (funnel, _FUNNEL_SQL),
+    "fact_valid_at": (fact_valid_at, _VALID_SQL),
+    "key_numbers": (
+        key_numbers,
+        """select p_partkey::varchar as product_id,
+                  row_number() over (order by p_brand = 'Brand#2', p_partkey::varchar) as number
+           from part""",
+    ),
     "scd2_merge": (scd2, _SCD2_SQL),
     "category_growth": (growth, _GROWTH_SQL),
     "product_growth": (product_growth, _PRODUCT_GROWTH_SQL),

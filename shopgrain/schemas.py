@@ -255,11 +255,98 @@ WATERMARKS = struct(
     status="string",
 )
 
+LOADED_FILES = struct(
+    pipeline="string",
+    file="string",
+    bytes="long",
+    modified="timestamp",
+    ingest_date="date",
+    loaded_at="timestamp",
+)
+
+# The delivery that the rows of a key come from, and the day they are stored under.
+DELIVERED = struct(
+    key="string",
+    day="date",
+    ingest_date="date",
+    source_file="string",
+)
+
+# All items of the orders of which some item is rejected; of the rejected ones the reason.
+REJECTED_ORDERS = StructType(
+    [*FACT_ORDERS, *struct(reason="string", ingest_date="date", source_file="string")]
+)
+
+LOADED_BATCHES = struct(
+    stream="string",
+    batch_id="long",
+    loaded_at="timestamp",
+)
+
+# What gold is kept up to date from: sums of each customer and product by month, and of
+# each customer by month; and totals over all months.
+PAIR_MONTHS = struct(
+    customer_id="string",
+    product_id="string",
+    category="string",
+    revenue="decimal(20,2)",
+    profit="decimal(20,2)",
+    quantity="long",
+    priced_items="long",
+    orders="long",
+    year="integer",
+    month="integer",
+)
+
+CUSTOMER_MONTHS = struct(
+    customer_id="string",
+    revenue="decimal(20,2)",
+    profit="decimal(20,2)",
+    quantity="long",
+    priced_items="long",
+    orders="long",
+    first_date="date",
+    last_date="date",
+    year="integer",
+    month="integer",
+)
+
+CUSTOMER_TOTALS = struct(
+    customer_id="string",
+    lifetime_revenue="decimal(20,2)",
+    lifetime_profit="decimal(20,2)",
+    total_items_purchased="long",
+    avg_order_value="decimal(14,6)",
+    last_order_date="date",
+    first_order_date="date",
+    total_orders="long",
+    unique_products_bought="long",
+)
+
+PRODUCT_TOTALS = struct(
+    product_id="string",
+    category="string",
+    total_revenue="decimal(20,2)",
+    total_profit="decimal(20,2)",
+    total_quantity_sold="long",
+    avg_revenue_per_order="decimal(14,6)",
+    total_orders="long",
+    unique_customers="long",
+)
+
+CHANGED_MONTHS = struct(
+    change="string",
+    year="integer",
+    month="integer",
+    refreshed="boolean",
+)
+
 # Silver and gold tables: name -> the columns their folders are split by.
 PARTITIONING = {
     "dim_products": ("category",),
     "dim_customers": ("country",),
     "fact_orders": ("year", "month"),
+    "rejected_orders": ("year", "month"),
     "dim_date": (),
     "events": ("event_date",),
     "daily_sales_summary": ("year", "month"),
@@ -267,4 +354,8 @@ PARTITIONING = {
     "customer_360": ("country",),
     "category_analysis": ("year", "month"),
     "cohort_analysis": (),
+    "pair_months": ("year", "month"),
+    "customer_months": ("year", "month"),
+    "customer_totals": (),
+    "product_totals": (),
 }

@@ -64,10 +64,23 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield df.sparkSession.read.schema(df.schema).parquet(path)
     finally:
-        _delete(df.sparkSession, path)
+        delete(df.sparkSession, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+@contextmanager
+def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """The same for a table that frames made in the block go on reading: it stays."""
+    yield materialize(df, label)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(context._jsc.hadoopConfiguration()).exists(folder)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if there is one."""
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
@@ -82,4 +95,4 @@ def _release_quietly(spark: SparkSession) -> None:
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application wrote to its scratch folder."""
-    _delete(spark, _app_folder(spark))
+    delete(spark, _app_folder(spark))

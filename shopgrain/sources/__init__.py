@@ -1,6 +1,13 @@
 """Readers: bronze JSON documents, Parquet tables, catalog views."""
 
-from .bronze import read_bronze, read_day, read_documents, skipped_documents, with_ingest_day
+from .bronze import (
+    read_bronze,
+    read_day,
+    read_documents,
+    read_files,
+    skipped_documents,
+    with_ingest_day,
+)
 from .catalog import (
     attach,
     column_list,
@@ -24,6 +31,7 @@ __all__ = [
     "read_bronze",
     "read_day",
     "read_documents",
+    "read_files",
     "read_table",
     "register",
     "schema_changes",

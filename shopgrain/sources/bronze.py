@@ -95,6 +95,16 @@ def read_bronze(
     )
 
 
+def read_files(
+    spark: SparkSession, files: list[str], table: str, multi_line: bool | None = None
+) -> DataFrame:
+    """The documents of some files of a bronze table, as ``read_bronze`` gives them."""
+    found = _records(spark, files, BRONZE[table], None, multi_line)
+    return found.filter(~unreadable(BRONZE[table])).select(
+        *BRONZE[table].names, ingest_day(F.col(_FILE)).alias("ingest_date"), _FILE
+    )
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str] | None:
     """Names of the folders in a folder; None if there is no such folder."""
     context = spark.sparkContext

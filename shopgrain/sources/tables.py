@@ -13,6 +13,7 @@ _DECLARED = {
     "dim_products": schemas.DIM_PRODUCTS,
     "dim_customers": schemas.DIM_CUSTOMERS,
     "fact_orders": schemas.FACT_ORDERS,
+    "rejected_orders": schemas.REJECTED_ORDERS,
     "dim_date": schemas.DIM_DATE,
     "events": schemas.EVENTS,
     "daily_sales_summary": schemas.DAILY_SALES,
@@ -20,6 +21,10 @@ _DECLARED = {
     "customer_360": schemas.CUSTOMER_360,
     "category_analysis": schemas.CATEGORY_ANALYSIS,
     "cohort_analysis": schemas.COHORT_ANALYSIS,
+    "pair_months": schemas.PAIR_MONTHS,
+    "customer_months": schemas.CUSTOMER_MONTHS,
+    "customer_totals": schemas.CUSTOMER_TOTALS,
+    "product_totals": schemas.PRODUCT_TOTALS,
 }
 
 
