@@ -17,7 +17,7 @@ GAP_MINUTES = 30
 
 
 def event_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
-    """A row for each session, events of a customer with less than the gap between one
+    """A row for each session, events of a customer with at most the gap between one
     and the next: start and end of its events, their number, kinds and devices."""
     known = events.filter("customer_id is not null and event_time is not null")
     window = F.session_window("event_time", f"{gap_minutes} minutes")
@@ -37,7 +37,7 @@ def in_sessions(events: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     known = events.filter("customer_id is not null and event_time is not null")
     order = Window.partitionBy("customer_id").orderBy("event_time")
     gap = F.unix_micros("event_time") - F.unix_micros(F.lag("event_time").over(order))
-    opens = F.when(gap.isNull() | (gap >= gap_minutes * 60 * 1_000_000), F.col("event_time"))
+    opens = F.when(gap.isNull() | (gap > gap_minutes * 60 * 1_000_000), F.col("event_time"))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = known.withColumn("_opens", opens)
     return marked.withColumn("session", F.last("_opens", ignorenulls=True).over(upto)).drop("_opens")

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import NotNull, Range, RowCount, Unique, ValueSet, alert_report, check, verdict
 from ..operators.quality import result_records
@@ -91,7 +92,7 @@ def check_day(
         "run_id"
     ).parquet(store)
     schema = records.schema
-    stored = spark.read.schema(schema).parquet(store).filter(f"run_id = '{run_id}'")
+    stored = spark.read.schema(schema).parquet(store).filter(F.col("run_id") == F.lit(run_id))
     summaries = stored.select("table_name", *_SUMMARY)
     return QualityRun(
         stored.select(schema.names), alert_report(summaries), verdict(summaries, run_id, day)

@@ -333,16 +333,25 @@ def dynamic_overwrite(spark, folder):
 
 
 def bronze_json(spark, folder):
-    """JSON lines by ingest day, read back with the default reader."""
+    """JSON lines by ingest day, read back with the default reader, with all items."""
     path = scratch.new_path(spark, "lines")
     write_bronze_json(warehouse.orders(spark, folder), path, F.last_day(F.to_date("date")))
     items = F.coalesce(F.size("products"), F.lit(0)).cast("bigint")
+    each = F.transform("products", lambda p: F.concat_ws(":", p["productId"], p["quantity"]))
     return read_bronze(spark, path, "orders").select(
-        "id", "userId", "date", "status", "ingest_date", items.alias("items")
+        "id", "userId", "date", "status", "ingest_date", items.alias("items"),
+        F.array_join(F.array_sort(each), ",").alias("products"),
     )
 
 
 def events_by_day(spark, folder):
+    """All events with the keys of the folder that each was written to."""
+    day = r"/year=(\d+)/month=(\d+)/day=(\d+)/"
+    keys = [F.regexp_extract("source_file", day, k + 1).alias(c) for k, c in enumerate(("year", "month", "day"))]
+    return read_bronze(spark, _events_by_day(spark, folder), "events").select("event_id", *keys)
+
+
+def event_day(spark, folder):
     """The events of the last day there is, read by day with the default reader."""
     path = scratch.new_path(spark, "bronze")
     events = warehouse.events(spark, folder)
@@ -353,6 +362,21 @@ def events_by_day(spark, folder):
     )
 
 
+def pretty_arrays(spark, folder):
+    """Arrays printed over many lines, one file a category, beside files of lines."""
+    path = scratch.new_path(spark, "pretty")
+    products = warehouse.products(spark, folder)
+    printed = products.filter("id % 3 <> 0").select("category", F.to_json(F.struct("*"), {"pretty": "true"}).alias("text"))
+    arrays = printed.groupBy("category").agg(F.array_join(F.collect_list("text"), ",\n").alias("text"))
+    arrays.select(F.concat(F.lit("[\n"), "text", F.lit("\n]")).alias("value")).repartition(8).write.option(
+        "maxRecordsPerFile", 1
+    ).text(f"{path}/date={AS_OF}")
+    write_bronze_json(products.filter("id % 3 = 0"), path, F.lit(AS_OF))
+    return read_bronze(spark, path, "products").select(
+        "id", "title", F.col("price").cast("double").alias("price"), "category", "rating.count", "ingest_date"
+    )
+
+
 def csv_export(spark, folder):
     path = scratch.new_path(spark, "csv")
     people = warehouse.table(spark, folder, "customer")
@@ -433,16 +457,28 @@ QUERIES = {
         bronze_json,
         """select o_orderkey as id, o_custkey as "userId",
                   strftime(o_orderdate, '%Y-%m-%d') as date, o_orderstatus as status,
-                  last_day(o_orderdate::date) as ingest_date, count(l_orderkey) as items
+                  last_day(o_orderdate::date) as ingest_date, count(l_orderkey) as items,
+                  string_agg(l_partkey || ':' || l_quantity::bigint, ','
+                             order by l_partkey || ':' || l_quantity::bigint) as products
            from orders left join lineitem on l_orderkey = o_orderkey
            group by o_orderkey, o_custkey, o_orderdate, o_orderstatus""",
     ),
     "sink_bronze_events": (
         events_by_day,
+        """select event_id::varchar as event_id, strftime(ts, '%Y') as year,
+                  strftime(ts, '%m') as month, strftime(ts, '%d') as day from events""",
+    ),
+    "src_event_day": (
+        event_day,
         f"""select event_id::varchar as event_id, event_type,
                    strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, user_id, {_DEVICE} as device
             from events where ts::date = (select max(ts)::date from events)""",
     ),
+    "src_pretty_arrays": (
+        pretty_arrays,
+        f"""select p_partkey as id, p_name as title, p_retailprice as price, p_type as category,
+                   (p_size * 10)::bigint as count, date '{AS_OF}' as ingest_date from part""",
+    ),
     "sink_csv_export": (csv_export, "select * from customer"),
     "run_summary": (
         rows_in_and_out,

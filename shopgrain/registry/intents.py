@@ -184,7 +184,7 @@ def sessions(spark, folder):
 _SESSIONS_CTE = f"""
 known as (select *, user_id::varchar as customer_id from events where user_id is not null and ts is not null),
 gaps as (select *, epoch_us(ts) - epoch_us(lag(ts) over (partition by customer_id order by ts)) as gap from known),
-tagged as (select *, sum((gap is null or gap >= {_GAP * 60_000_000})::int) over (
+tagged as (select *, sum((gap is null or gap > {_GAP * 60_000_000})::int) over (
              partition by customer_id order by ts rows unbounded preceding) as session from gaps)
 """
 

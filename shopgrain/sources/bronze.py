@@ -3,7 +3,8 @@
 Three layouts of day folders are known, and every sink of this package writes one
 of them: ``date=`` and ``ingest_date=`` folders, and ``year=/month=/day=`` for
 events. Files hold JSON lines, arrays or single objects, on one line or printed
-over several; by default each file is read as what it turns out to be.
+over several; by default each file is read as what it turns out to be, found by a first
+pass over the lines when the frame is made.
 ``multi_line=False`` (JSON lines and one-line arrays only, split between tasks) and
 ``multi_line=True`` (one document per file) skip the look at the files.
 """
@@ -11,6 +12,8 @@ over several; by default each file is read as what it turns out to be.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,7 +63,7 @@ def _records(
 ) -> DataFrame:
     """Records with their file and, if unreadable, their text."""
 
-    def read(whole: bool) -> DataFrame:
+    def read(whole: bool, files: str | list[str]) -> DataFrame:
         reader = (
             spark.read.schema(StructType([*schema, StructField(BROKEN, StringType())]))
             .option("multiLine", whole)
@@ -69,15 +72,20 @@ def _records(
         )
         if pattern:
             reader = reader.option("pathGlobFilter", pattern)
-        return reader.json(paths).select("*", F.col("_metadata.file_path").alias(_FILE))
+        return reader.json(files).select("*", F.col("_metadata.file_path").alias(_FILE))
 
     if multi_line is not None:
-        return read(multi_line)
-    lines = read(False)
+        return read(multi_line, paths)
+    lines = read(False, paths)
     # A line that opens a document and cannot be read on its own gives away a file
-    # that has to be read as a whole. One row per such file.
-    whole = lines.filter(unreadable(schema) & F.col(BROKEN).rlike(OPENS)).select(_FILE).distinct()
-    return lines.join(whole, _FILE, "left_anti").unionByName(read(True).join(whole, _FILE, "left_semi"))
+    # that has to be read as a whole. One row per such file; the driver lists files anyway.
+    opens = lines.filter(unreadable(schema) & F.col(BROKEN).rlike(OPENS)).select(_FILE).distinct()
+    whole = {r[_FILE] for r in opens.collect()}
+    if not whole:
+        return lines
+    split = [f for f in lines.inputFiles() if f not in whole]
+    parts = [read(kind, [unquote(f) for f in files]) for kind, files in ((False, split), (True, sorted(whole))) if files]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_bronze(
