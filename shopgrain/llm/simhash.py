@@ -1,13 +1,10 @@
 """SimHash near-duplicates by deletion-variant signatures.
 
-A 64-bit fingerprint is cut into segments. If two fingerprints differ in at most
-2s - 1 bits, one of s segments differs in at most one. Each segment is indexed
-under its variants with one bit made a wildcard, 64 in all; two segments that
-differ in at most one bit share a variant. Fingerprints that meet under a variant
-are verified by counting the bits in which they differ.
-
-``near_duplicates`` links at two bits, by two segments. ``one_per_group`` searches
-farther and verifies what it finds by the Jaccard similarity of the texts.
+A 64-bit fingerprint is cut into two segments of 32 bits. If two fingerprints differ in
+at most two bits, one of their segments differs in at most one. Each segment is indexed
+under its variants with one bit made a wildcard, 64 in all; two segments that differ in at
+most one bit share a variant. Fingerprints that meet under a variant are verified by
+counting the bits in which they differ.
 """
 
 from __future__ import annotations
@@ -31,10 +28,6 @@ _SHINGLES = 1 << 16
 _COMPARED = 2048
 _IN_TASK = 1 << 16
 _BITS = 2
-# Members of a variant compared with their neighbours at once, and the neighbours on each
-# side for each pair that may be taken.
-_ROWS = 256
-_NEIGHBOURS = 64
 
 
 def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
@@ -58,62 +51,36 @@ def fingerprint(text: str | None, width: int = 3, seed: int = 42) -> int:
     return int(chosen.view("<i8")[0])
 
 
-def shingles(text: str | None, words: int = 5) -> np.ndarray:
-    """The different hashes of a text's word shingles, sorted; the whole text if it
-    has fewer words, none if it has no word."""
-    found = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
-    digest = xxhash.xxh3_64_intdigest
-    runs = range(max(1, len(found) - words + 1) if found else 0)
-    return np.unique(np.array([digest(b" ".join(found[k : k + words])) for k in runs], np.uint64)).view(np.int64)
-
-
 def fingerprints(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    carry: bool = False,
-    width: int = 3,
-    words: int | None = None,
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", carry: bool = False
 ) -> DataFrame:
     """(id, fp) of every document; a null or wordless text has fingerprint zero.
-    With ``carry`` also a struct ``row`` of all columns. With ``words`` also the set
-    of shingles of so many words, as a 64-bit hash ``node`` and its size ``n``."""
+    With ``carry`` also a struct ``row`` of all columns."""
     rows = docs.select(
         F.col(id_column).alias("id"),
         F.col(text_column).alias("text"),
         *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if carry else []),
     )
     schema = rows.drop("text").schema.add("fp", "long")
-    if words:
-        schema = schema.add("node", "long").add("n", "integer")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1)
-            prints = np.fromiter((fingerprint(t.as_py(), width) for t in texts), np.int64, len(texts))
-            more = {"fp": pa.array(prints)}
-            if words:
-                sets = [shingles(t.as_py(), words) for t in texts]
-                hashes = np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in sets], np.uint64)
-                more |= {"node": pa.array(hashes.view(np.int64)), "n": pa.array(map(len, sets), pa.int32())}
+            prints = np.fromiter((fingerprint(t.as_py()) for t in texts), np.int64, len(texts))
             kept = [k for k in range(batch.num_columns) if k != 1]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in kept), *more.values()],
-                [*(batch.schema.names[k] for k in kept), *more],
+                [*(batch.column(k) for k in kept), pa.array(prints)],
+                [*(batch.schema.names[k] for k in kept), "fp"],
             )
 
     return rows.mapInArrow(run, schema)
 
 
-def _variants(nodes: DataFrame, segments: int = 2) -> DataFrame:
+def _variants(nodes: DataFrame) -> DataFrame:
     """The rows under 64 values of ``key``, each a segment of ``fp`` with one bit cleared."""
-    starts = _starts(segments)
-    of = [k for k in range(segments) for _ in range(starts[k], starts[k + 1])]
-    start = f"array({','.join(str(starts[k]) for k in of)})[v]"
-    mask = f"array({','.join(f'{(1 << (starts[k + 1] - starts[k])) - 1}L' for k in of)})[v]"
     variants = nodes.select("*", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("v"))
-    segment = f"(shiftrightunsigned(fp, {start}) & {mask})"
-    key = f"shiftleft(cast(v as bigint), 32) | ({segment} & ~shiftleft(1L, v - {start}))"
+    segment = "(shiftrightunsigned(fp, if(v < 32, 0, 32)) & 4294967295L)"
+    key = f"shiftleft(cast(v as bigint), 32) | ({segment} & ~shiftleft(1L, v % 32))"
     return variants.select(F.expr(key).alias("key"), *nodes.columns)
 
 
@@ -261,185 +228,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     )
 
 
-def _starts(segments: int) -> list[int]:
-    """Where the segments of a fingerprint begin, and the end."""
-    return [64 * k // segments for k in range(segments + 1)]
-
-
-def _first_variant(differing: np.ndarray, segments: int) -> np.ndarray:
-    """The first variant that two fingerprints share, by the bits in which they differ."""
-    first = np.full(differing.shape, 64, np.int64)
-    starts = _starts(segments)
-    for k in range(segments - 1, -1, -1):
-        width = starts[k + 1] - starts[k]
-        part = (differing >> np.uint64(starts[k])) & np.uint64((1 << width) - 1)
-        bit = np.bitwise_count(np.maximum(part, 1) - np.uint64(1))  # of a single bit, its place
-        first = np.where(np.bitwise_count(part) <= 1, starts[k] + bit.astype(np.int64), first)
-    return first
-
-
-def _meeting(
-    variant: int, fp: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray,
-    bits: int, similarity: float, budget: int, segments: int,
-) -> tuple[np.ndarray, bool]:
-    """Pairs of a variant's members, sorted by size of their sets, that may be similar.
-
-    They differ in at most ``bits`` bits and in root, their sizes allow the similarity,
-    and this is the first variant that they share. Members of the most frequent root
-    are looked at from the others' side. Each of these looks at its neighbours by size, and
-    takes the ``budget`` that differ least; True if it may have more.
-    """
-    names, sizes = np.unique(root, return_counts=True)
-    giant = root == names[sizes.argmax()] if sizes.max() > 1 else np.zeros(len(root), bool)
-    rows = np.flatnonzero(~giant)
-    reach = _NEIGHBOURS * budget
-    step = max(1, min(_ROWS, (1 << 21) // (2 * reach + _ROWS)))
-    found, partly = [], False
-    # Whether the others' sizes allow it is decided exactly below.
-    lows = np.searchsorted(n, (n[rows] * similarity * (1 - 1e-9)).astype(np.int64))
-    highs = np.searchsorted(n, (n[rows] / similarity * (1 + 1e-9)).astype(np.int64) + 1, "right")
-    if (rows - lows > reach).any() or (highs - 1 - rows > reach).any():
-        partly = True
-    for at in range(0, len(rows), step):
-        some = rows[at : at + step]
-        low = max(int(some[0]) - reach, int(lows[at]), 0)
-        high = min(int(some[-1]) + reach + 1, int(highs[at + len(some) - 1]))
-        close = np.bitwise_count(fp[some, None] ^ fp[None, low:high]) <= bits
-        i, j = np.nonzero(close)
-        i, j = some[i], j + low
-        small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        fits = (root[i] != root[j]) & (giant[j] | (j > i)) & (np.abs(i - j) <= reach)
-        fits &= small >= similarity * large * (1 - 1e-9)
-        i, j = i[fits], j[fits]
-        differing = fp[i] ^ fp[j]
-        mine = _first_variant(differing, segments) == variant
-        i, j, differing = i[mine], j[mine], differing[mine]
-        order = np.lexsort((np.abs(i - j), np.bitwise_count(differing), i))
-        i, j = i[order], j[order]
-        opens = np.flatnonzero(np.concatenate([[True], i[1:] != i[:-1]])) if len(i) else np.empty(0, np.int64)
-        rank = np.arange(len(i)) - np.repeat(opens, np.diff([*opens, len(i)]))
-        partly |= bool((rank >= budget).any())
-        i, j = i[rank < budget], j[rank < budget]
-        found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]))
-    return np.concatenate(found, axis=1) if found else np.empty((2, 0), np.int64), partly
-
-
-def _candidates(met: DataFrame, bits: int, similarity: float, budget: int, segments: int) -> DataFrame:
-    """(a, b) of (key, fp, node, n, root): pairs that may be similar. A key of which
-    only a part of the pairs is given is in a row of its own, where b is null."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-
-        def settle(columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            keys = columns[0]
-            cuts = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
-            for k in np.flatnonzero(np.diff(cuts) > 1):
-                _, fp, node, n, root = (c[cuts[k] : cuts[k + 1]] for c in columns)
-                if (root == root[0]).all():
-                    continue
-                variant = int(keys[cuts[k]]) >> 32
-                pairs, partly = _meeting(variant, fp.view(np.uint64), node, n, root, bits, similarity, budget, segments)
-                a, b = pa.array(pairs[0]), pa.array(pairs[1])
-                if partly:
-                    a = pa.concat_arrays([a, pa.array(keys[cuts[k] : cuts[k] + 1])])
-                    b = pa.concat_arrays([b, pa.nulls(1, pa.int64())])
-                if len(a):
-                    yield pa.RecordBatch.from_arrays([a, b], ["a", "b"])
-
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            columns = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-            if not len(columns[0]):
-                continue
-            last = int(np.searchsorted(columns[0], columns[0][-1]))  # it may go on in the next batch
-            yield from settle([c[:last] for c in columns])
-            held = [c[last:] for c in columns]
-        if held is not None:
-            yield from settle(held)
-
-    sorted_ = met.select("key", "fp", "node", "n", "root").repartition("key").sortWithinPartitions("key", "n")
-    return sorted_.mapInArrow(run, "a long, b long")
-
-
-def _similar(pairs: DataFrame, rows: DataFrame, nodes: DataFrame, text: str, words: int, least: float) -> DataFrame:
-    """The pairs whose sets of shingles have at least this Jaccard similarity."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    numbers = nodes.join(wanted, "node").select("node", "number")
-    texts = rows.join(numbers.withColumnRenamed("node", "of"), "number").select("of", F.col(f"row.{text}").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py(), words) for t in batch.column(1)]
-            hashes = pa.array(sets, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), hashes], ["of", "hashes"])
-
-    sets = store(texts.mapInArrow(run, "of long, hashes array<long>"), "shingles")
-    first = sets.select(F.col("of").alias("a"), F.col("hashes").alias("x"))
-    second = sets.select(F.col("of").alias("b"), F.col("hashes").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    jaccard = common / (F.size("x") + F.size("y") - common)
-    return pairs.join(first, "a").join(second, "b").where(jaccard >= least).select("a", "b")
-
-
-def one_per_group(
-    docs: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    width: int = 3,
-    bits: int = 2,
-    segments: int = 2,
-    words: int | None = None,
-    similarity: float = 0.8,
-    budget: int = 2,
-) -> DataFrame:
+def one_per_group(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents, with all their columns, less all but one of each linked group.
 
-    The row with the smallest id stays (null ids last, then by hash of the text);
-    of repeated rows one. Without ``words`` texts link as in ``near_duplicates``, at two
-    bits. With it they link if their sets of shingles of so many words are equal, or have
-    at least this Jaccard similarity and their fingerprints, of shingles of ``width``
-    words, differ in at most ``bits`` bits; s segments find up to 2s - 1. Null and
-    wordless texts have the empty set.
-
-    With ``words`` texts are reduced to different sets first. Links are kept as a forest,
-    not as all pairs of a group: under a variant each member is compared with its
-    neighbours by size of the set and gives at most ``budget`` pairs, those that differ
-    least, to be verified. Then, in rounds with eight times the budget and the neighbours,
-    members compare with those that are not yet in their group, until nothing is left out
-    under any variant. A pair is given under the first variant that it shares. A task holds
-    the members of a variant as five numbers each.
+    Texts link as in ``near_duplicates``. The row with the smallest id stays (null ids
+    last, then by hash of the text); of repeated rows one.
     """
-    if bits > 2 * segments - 1 or segments < 2:
-        raise ValueError(f"{segments} segments do not find all pairs at {bits} bits")
-    if words is None and bits != 2:
-        raise ValueError("links at other than two bits are verified: give words")
     smaller_batches(docs.sparkSession)
-    rows = fingerprints(docs, id_column, text_column, carry=True, width=width, words=words)
+    rows = fingerprints(docs, id_column, text_column, carry=True)
     rows = store(rows.withColumn("number", F.monotonically_increasing_id()), "fingerprints")
     tie = F.xxhash64(f"row.{text_column}")
     order = F.struct(F.col("id").isNull().alias("none"), "id", tie.alias("tie"), "number")
-    # The best of each fingerprint or set first, so that copies do not meet in the joins.
-    if words is None:
-        first = rows.groupBy("fp").agg(F.min(order).alias("best"))
-        best = first.join(_linked(rows), "fp").groupBy("root").agg(F.min("best").alias("best"))
-        return rows.join(best.select("best.number"), "number", "left_semi").select("row.*")
-    nodes = rows.groupBy("node").agg(F.min(order).alias("best"), F.min("fp").alias("fp"), F.min("n").alias("n"))
-    nodes = store(nodes.withColumn("number", F.col("best.number")), "nodes")
-    members = nodes.select("fp", "node", "n", F.col("node").alias("root"))
-    met, edges, roots = _variants(members, segments), None, None
-    while True:
-        found = store(_candidates(met, bits, similarity, budget, segments), "pairs")
-        pairs = found.where("b is not null").distinct()
-        verified = store(_similar(pairs, rows, nodes, text_column, words, similarity), "edges")
-        edges = verified if edges is None else edges.union(verified)
-        roots = store(components(edges), "roots")
-        partly = found.where("b is null").select(F.col("a").alias("key")).distinct()
-        if partly.isEmpty():
-            break
-        named = nodes.join(roots, "node", "left").select("fp", "node", "n", F.coalesce("root", "node").alias("root"))
-        met = _variants(named, segments).join(partly, "key", "left_semi")
-        budget *= 8
-    grouped = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node"))
-    best = grouped.agg(F.min("best").alias("best"))
+    # The best of each fingerprint first, so that copies do not meet in the joins.
+    first = rows.groupBy("fp").agg(F.min(order).alias("best"))
+    best = first.join(_linked(rows), "fp").groupBy("root").agg(F.min("best").alias("best"))
     return rows.join(best.select("best.number"), "number", "left_semi").select("row.*")

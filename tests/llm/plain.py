@@ -173,27 +173,6 @@ def language_of(text, model):
     return langs[best], 1 / odds, known[best]
 
 
-def similar_groups(texts, words_in=5, least=0.8):
-    """Smallest id of the group of each (id, text) by Jaccard similarity of word shingles."""
-    sets = {}
-    for i, text in texts:
-        w = words(lowered(text))
-        sets[i] = {tuple(w[k : k + words_in]) for k in range(max(1, len(w) - words_in + 1))} if w else set()
-    root = {i: i for i in sets}
-
-    def top(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    for i in sets:
-        for j in sets:
-            if i < j and len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]):
-                low, high = sorted((top(i), top(j)))
-                root[high] = low
-    return {i: top(i) for i in sets}
-
-
 def edit_distance(item, text):
     """Least edit distance of the item to any part of the text."""
     row = [0] * (len(text) + 1)

@@ -208,58 +208,3 @@ def test_large_variants_are_passed_on(monkeypatch):
     rows = [x for b in simhash._link(iter(out)) for x in zip(*(c.to_pylist() for c in b.columns))]
     assert sorted(a for a, b in rows if b is None) == list(range(10))
     assert [(a, b) for a, b in rows if b is not None] == [(10, 11)]
-
-
-FAR = {"bits": 11, "segments": 6, "words": 5}
-
-
-def test_one_per_group_by_similarity(spark, documents):
-    import random
-
-    rng = random.Random(3)
-    base = [f"v{rng.randrange(5000)}" for _ in range(200)]
-    rows = [(0, " ".join(base))]
-    for k in range(1, 300):  # more pairs than the budget; each has other words in the middle or at the end
-        words = list(base)
-        words[(k * 7) % 195] = f"u{k}"
-        rows.append((k, " ".join(words)))
-    rows += [(400 + k, " ".join(f"x{rng.randrange(5000)}" for _ in range(80))) for k in range(20)]
-    half = [w if k < 100 else f"y{k}" for k, w in enumerate(base)]
-    rows += [(500, " ".join(half)), (501, None), (502, "  "), (None, rows[0][1])]
-    got = {r.doc_id for r in one_per_group(odd_docs(spark, rows), **FAR, budget=1).collect()}
-    assert got == {0, *range(400, 420), 500, 501}
-    # Against all pairs of the given documents.
-    groups = plain.similar_groups([(r.doc_id, r.text) for r in documents.collect()])
-    assert {r.doc_id for r in one_per_group(documents, **FAR).collect()} == set(groups.values())
-    with pytest.raises(ValueError):
-        one_per_group(documents, **FAR | {"bits": 12})
-
-
-def test_first_variant_that_two_prints_share():
-    rng = np.random.default_rng(4)
-    for segments in (2, 6):
-        starts = [64 * k // segments for k in range(segments + 1)]
-        differing = np.bitwise_or.reduce(np.uint64(1) << rng.integers(0, 64, (500, 6)).astype(np.uint64), axis=1)
-        differing[:64] = np.uint64(1) << np.arange(64, dtype=np.uint64)
-        differing[64] = 0
-        got = simhash._first_variant(differing, segments)
-        for x, v in zip(differing.tolist(), got.tolist()):
-            shared = [
-                bit
-                for low, high in zip(starts, starts[1:])
-                for bit in range(low, high)
-                if not x & ((1 << high) - (1 << low)) & ~(1 << bit)
-            ]
-            assert v == (shared[0] if shared else 64)
-
-
-def test_pairs_stay_a_forest_however_large_a_group(spark):
-    """Members of a group give a few pairs each, not one for each other member."""
-    rng = np.random.default_rng(2)
-    base = rng.integers(0, 2**62, 1)[0]
-    for size in (200, 800):
-        prints = np.unique(base ^ (np.int64(1) << rng.integers(0, 62, size)) ^ (np.int64(1) << rng.integers(0, 62, size)))
-        rows = [(int(p), k, 100 + k % 7, k) for k, p in enumerate(prints)]
-        met = simhash._variants(spark.createDataFrame(rows, "fp long, node long, n int, root long"), 6)
-        found = simhash._candidates(met, 11, 0.8, 2, 6).where("b is not null")
-        assert len(prints) - 1 <= found.distinct().count() <= found.count() <= 20 * len(prints)
