@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from .. import scratch
 from ..plans import silver
-from ..schemas import BRONZE_PRODUCTS
+from ..plans.known_columns import remember_schema
+from ..schemas import BRONZE_PRODUCTS, KNOWN_COLUMNS
 from ..sinks import (
     export_csv,
     run_summary,
@@ -31,6 +33,7 @@ from ..sources import (
     register,
     warehouse,
 )
+from ..streaming import read_log
 from .cleaning import PRODUCTS_SQL
 from .common import AS_OF, ITEMS_CTE, LOAD_TIME, THRESHOLDS, lake, plain
 
@@ -246,6 +249,48 @@ def discover_root(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
+def remembered(spark, folder):
+    """Three deliveries of one table: the second lacks a column, has a new one and one of
+    another type, the third is like it. The log of changes, and what SQL reads of the rows."""
+    path, log = scratch.new_path(spark, "remembered"), scratch.new_path(spark, "known-columns")
+    name = f"remembered_{uuid.uuid4().hex[:12]}"
+    parts = warehouse.table(spark, folder, "part")
+    first = parts.drop("p_size")
+    second = parts.drop("p_brand").withColumn("p_retailprice", F.concat(F.lit("about "), "p_retailprice"))
+    for k, rows in enumerate((first, second, second)):
+        rows.write.json(f"{path}/{k}")
+        found = discover(spark, f"{path}/{k}", multi_line=False).schema
+        if not k:
+            spark.catalog.createTable(name, path=path, source="json", schema=found, recursiveFileLookup="true")
+        remember_schema(spark, log, "part", found, name, LOAD_TIME)
+    changes = read_log(spark, log, KNOWN_COLUMNS).filter("change <> 'kept'").select(
+        F.col("version").cast("bigint").alias("version"), "column_name", "change", "data_type", "found_type",
+        F.lit(None).cast("bigint").alias("rows"),
+    )
+    counts = query(
+        spark,
+        f"""select cast(null as bigint) as version, stack(4, 'p_partkey', count(p_partkey), 'p_brand', count(p_brand),
+                   'p_size', count(p_size), 'p_retailprice', count(p_retailprice)) as (column_name, rows) from {name}""",
+    )
+    empty = F.lit(None).cast("string")
+    counts = counts.select("version", "column_name", F.lit("read").alias("change"), empty.alias("data_type"), empty.alias("found_type"), "rows")
+    return changes.unionByName(counts)
+
+
+_REMEMBERED_SQL = """
+select 1::bigint as version, column_name, 'added' as change, data_type, data_type as found_type, null::bigint as rows
+from (values ('p_partkey', 'bigint'), ('p_name', 'string'), ('p_brand', 'string'), ('p_type', 'string'),
+             ('p_retailprice', 'double')) t(column_name, data_type)
+union all select 2, 'p_brand', 'missing', 'string', null, null
+union all select 2, 'p_size', 'added', 'bigint', 'bigint', null
+union all select 2, 'p_retailprice', 'retyped', 'double', 'string', null
+union all select null, 'p_partkey', 'read', null, null, 3 * count(*) from part
+union all select null, 'p_brand', 'read', null, null, count(*) from part
+union all select null, 'p_size', 'read', null, null, 2 * count(*) from part
+union all select null, 'p_retailprice', 'read', null, null, count(*) from part
+"""
+
+
 def catalog_sql(spark, folder):
     tables = {name: warehouse.table(spark, folder, name) for name in ("orders", "lineitem")}
     register(spark, {f"catalog_{name}": df for name, df in tables.items()})
@@ -434,6 +479,7 @@ QUERIES = {
             union all select '{AS_OF}', 'products', count(*) from part
             union all select strftime(ts, '%Y-%m-%d'), 'events', count(*) from events group by 1""",
     ),
+    "cat_remembered": (remembered, _REMEMBERED_SQL),
     "cat_sql": (
         catalog_sql,
         """select o_orderstatus, count(*) as items,

@@ -264,6 +264,18 @@ LOADED_FILES = struct(
     loaded_at="timestamp",
 )
 
+# A version of what is known of a table's columns; ``change`` is kept, added, missing or retyped.
+KNOWN_COLUMNS = struct(
+    table_name="string",
+    version="integer",
+    position="integer",
+    column_name="string",
+    data_type="string",
+    found_type="string",
+    change="string",
+    noted_at="timestamp",
+)
+
 # The delivery that the rows of a key come from, and the day they are stored under.
 DELIVERED = struct(
     key="string",

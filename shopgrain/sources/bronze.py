@@ -12,6 +12,7 @@ pass over the lines when the frame is made.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from functools import reduce
 from urllib.parse import unquote
 
@@ -80,14 +81,19 @@ def _records(
     # A line that opens a document and cannot be read on its own gives away a file
     # that has to be read as a whole. One row per such file; the driver lists files anyway.
     opens = lines.filter(unreadable(schema) & F.col(BROKEN).rlike(OPENS)).select(_FILE).distinct()
-    whole = {r[_FILE] for r in opens.collect()}
+    whole = {_path(r[_FILE]) for r in opens.collect()}
     if not whole:
         return lines
-    split = [f for f in lines.inputFiles() if f not in whole]
-    parts = [read(kind, [unquote(f) for f in files]) for kind, files in ((False, split), (True, sorted(whole))) if files]
+    split = sorted({_path(f) for f in lines.inputFiles()} - whole)
+    parts = [read(kind, files) for kind, files in ((False, split), (True, sorted(whole))) if files]
     return reduce(DataFrame.unionByName, parts)
 
 
+def _path(uri: str) -> str:
+    """The path behind a file's encoded name, in which an empty authority may be left out."""
+    return unquote(re.sub(r"^([\w+.-]+):///", r"\1:/", uri))
+
+
 def read_bronze(
     spark: SparkSession, path: str, table: str, multi_line: bool | None = None
 ) -> DataFrame:
