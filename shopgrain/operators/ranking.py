@@ -125,7 +125,7 @@ def dense_ranks(
 
     The distinct values of all groups are cut into ranges and shuffled by range once;
     every rank is a window in a range, carried forward by the numbers of values that the
-    ranges before have. ``df`` is read twice, so give a stored table.
+    ranges before have. ``df`` is read twice.
     """
     groups = list(dict.fromkeys(g for wanted in names.values() for g in wanted))
     if ranges is None:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .. import schemas, scratch
+from .. import schemas
 from ..functions import (
     RfmThresholds,
     percent,
@@ -93,9 +93,18 @@ def product_performance(
     products: DataFrame,
     as_of: When = None,
 ) -> DataFrame:
-    """``product_performance``: totals, ratios and revenue ranks per product."""
-    with scratch.kept(product_totals(fact), "product-totals") as totals:
-        return performance_of(totals, products, as_of)
+    """``product_performance``: totals, ratios and revenue ranks per product.
+
+    Ranks need the revenue only, so they are found on a narrow aggregation of
+    their own and looked up by product.
+    """
+    ranks = ranked_products(product_revenue(fact)).drop("total_revenue")
+    return _performance(match(product_totals(fact), ranks, ["product_id", "category"]), products, as_of)
+
+
+def performance_of(totals: DataFrame, products: DataFrame, as_of: When = None) -> DataFrame:
+    """``product_performance`` from stored ``product_totals``, which are read twice."""
+    return _performance(ranked_products(totals), products, as_of)
 
 
 def ranked_products(totals: DataFrame) -> DataFrame:
@@ -105,9 +114,7 @@ def ranked_products(totals: DataFrame) -> DataFrame:
     )
 
 
-def performance_of(totals: DataFrame, products: DataFrame, as_of: When = None) -> DataFrame:
-    """``product_performance`` from stored ``product_totals``, which are read twice."""
-    ranked = ranked_products(totals)
+def _performance(ranked: DataFrame, products: DataFrame, as_of: When) -> DataFrame:
     goods = products.filter("is_current").select("product_id", "product_name", "price", "rating")
     named = lookup(ranked, goods, "product_id").withColumns(
         {

@@ -67,12 +67,6 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
         delete(df.sparkSession, path)
 
 
-@contextmanager
-def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """The same for a table that frames made in the block go on reading: it stays."""
-    yield materialize(df, label)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
