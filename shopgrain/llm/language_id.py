@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import smaller_batches
+from .tables import smaller_batches, store
 
 _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 4
@@ -112,7 +112,8 @@ def learn(
     shares = [(r["lang"], min(1.0, rows_per_language / r["count"])) for r in sizes]
     if not shares:
         return None
-    share = labelled.sparkSession.createDataFrame(shares, "lang string, share double")
+    # Stored, so that its size is known and a small one is not worth a shuffle of texts.
+    share = store(labelled.sparkSession.createDataFrame(shares, "lang string, share double"), "shares")
     drawn = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) < F.col("share") * 1_000_000
     sample = rows.join(share, "lang").where(drawn).select("lang", "text")
     words = sample.mapInArrow(_count_words, "lang string, word string, n long")
