@@ -9,7 +9,7 @@ known to the best language: words, and of other words grams of three or four.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,6 +25,10 @@ _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 4
 # Scores that a task remembers, one for each word and language; forgotten as a whole when full.
 _REMEMBERED = 1_000_000
+# Different words that a task counts before it gives them on.
+_COUNTED = 100_000
+# Parts that the items of a language are ranked in before they are ranked together.
+_PARTS = 64
 _CERTAIN = 20.0
 UNKNOWN = "und"
 # Grams shorter than this occur in any text and show nothing.
@@ -46,17 +50,30 @@ def _grams(word: str) -> Iterator[tuple[str, int]]:
             yield padded[at : at + n], n
 
 
+def _word_counts(counts: dict[str, Counter]) -> pa.RecordBatch:
+    langs = [lang for lang, words in counts.items() for _ in range(len(words))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(langs, pa.string()), pa.array([w for words in counts.values() for w in words], pa.string()),
+         pa.array([n for words in counts.values() for n in words.values()], pa.int64())],
+        ["lang", "word", "n"],
+    )
+
+
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of many texts together; given on whenever a task holds very many words."""
+    counts: dict[str, Counter] = defaultdict(Counter)
+    held = 0
     for batch in batches:
-        counts: Counter = Counter()
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            counts.update((lang, w) for w in words_of(text.as_py()))
-        keys = list(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()),
-             pa.array(list(counts.values()), pa.int64())],
-            ["lang", "word", "n"],
-        )
+            words = counts[lang]
+            held -= len(words)
+            words.update(words_of(text.as_py()))
+            held += len(words)
+            if held > _COUNTED:
+                yield _word_counts(counts)
+                counts.clear()
+                held = 0
+    yield _word_counts(counts)
 
 
 def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,42 +107,37 @@ class Model:
 
 def learn(
     labelled: DataFrame,
-    rows_per_language: int = 2_000,
     words_per_language: int = 20_000,
     grams_per_length: int = 5_000,
-    id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
 ) -> Model | None:
-    """Counts of words (length 0) and of grams by language, from a bounded sample.
+    """Counts of words (length 0) and of grams by language, from every labelled text.
 
-    The sample is about ``rows_per_language`` whole documents of each language, chosen by
-    hash; rows without text or language teach nothing. Of each language the most frequent
-    words, and of each length the most frequent grams, are kept, so the model is bounded
-    for each language, and every language is learned. None if there is nothing to learn.
+    Rows without text or language teach nothing. Of each language the most frequent words,
+    and of each length the most frequent grams, are kept, so the model is bounded for each
+    language, and every language is learned. None if there is nothing to learn.
     """
     rows = labelled.select(
-        F.col(id_column).cast("string").alias("id"), F.col(lang_column).cast("string").alias("lang"),
-        F.col(text_column).alias("text"),
-    ).where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").count().collect()  # one row for each language
-    shares = [(r["lang"], min(1.0, rows_per_language / r["count"])) for r in sizes]
-    if not shares:
+        F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text")
+    ).where("lang is not null and text is not null")
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    if not langs:
         return None
-    # Stored, so that its size is known and a small one is not worth a shuffle of texts.
-    share = store(labelled.sparkSession.createDataFrame(shares, "lang string, share double"), "shares")
-    drawn = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1_000_000)) < F.col("share") * 1_000_000
-    sample = rows.join(share, "lang").where(drawn).select("lang", "text")
-    words = sample.mapInArrow(_count_words, "lang string, word string, n long")
-    words = words.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    smaller_batches(labelled.sparkSession)
+    words = rows.mapInArrow(_count_words, "lang string, word string, n long")
+    # Stored, because they are read twice and every text was read for them.
+    words = store(words.groupBy("lang", "word").agg(F.sum("n").alias("n")), "words")
     grams = words.mapInArrow(_count_grams, "lang string, length int, item string, n long")
     grams = grams.groupBy("lang", "length", "item").agg(F.sum("n").alias("n"))
     both = words.select("lang", F.lit(0).alias("length"), F.col("word").alias("item"), "n").union(grams)
-    order = Window.partitionBy("lang", "length").orderBy(F.desc("n"), "item")
     most = F.when(F.col("length") == 0, words_per_language).otherwise(grams_per_length)
-    kept = both.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-    found = kept.select("lang", "length", "item", "n").toPandas()
-    return _model(sorted(s[0] for s in shares), found)
+    kept = both.withColumn("part", F.pmod(F.xxhash64("item"), F.lit(_PARTS)))
+    # The most frequent of all are among the most frequent of their part.
+    for groups in (["lang", "length", "part"], ["lang", "length"]):
+        order = Window.partitionBy(*groups).orderBy(F.desc("n"), "item")
+        kept = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
+    return _model(langs, kept.select("lang", "length", "item", "n").toPandas())
 
 
 def _model(langs: list[str], found: pd.DataFrame) -> Model:
@@ -272,26 +284,22 @@ def learn_with_limit(
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
-    fit_rows: int = 20_000,
     **bounds: int,
 ) -> tuple[Model | None, float]:
     """A model, and how much of a text must be known for its language to be named.
 
     Both come from labelled documents that are not held out: one in eight of all is
     kept from ``learn``, and half of what is known of the hundredth of those that is
-    known least is the limit. They are a sample of about ``fit_rows``, chosen by hash. With
-    none of them nothing is rejected (limit zero).
+    known least is the limit. With none of them nothing is rejected (limit zero).
     """
     fitting = _checksum(id_column) % 8 == 3
     taught = docs.where(~held_out(id_column))
     labelled = taught.where(fitting & F.col(lang_column).isNotNull() & (F.trim(text_column) != ""))
-    bounds |= {"id_column": id_column, "text_column": text_column, "lang_column": lang_column}
+    bounds |= {"text_column": text_column, "lang_column": lang_column}
     model = learn(taught.where(~fitting), **bounds)
     if model is None:
         return None, 0.0
-    count = F.lit(max(1, labelled.count()))
-    drawn = F.pmod(F.xxhash64(F.col(id_column).cast("string"), F.lit(13)), count) < fit_rows
-    rows = predicted(labelled.where(drawn).select(F.col(text_column).alias("text")), model)
+    rows = predicted(labelled.select(F.col(text_column).alias("text")), model)
     rows = rows.where(F.col("language.lang") != UNKNOWN)
     low = rows.agg(F.percentile_approx("language.known", 0.01, F.lit(10_000))).first()[0]
     return model, (low or 0.0) / 2
@@ -316,7 +324,7 @@ def identify(
     for filters.
     """
     taught = docs.where(~held_out(id_column))
-    model = learn(taught, id_column=id_column, text_column=text_column, lang_column=lang_column, **bounds)
+    model = learn(taught, text_column=text_column, lang_column=lang_column, **bounds)
     rows = docs.select(F.col(id_column), F.col(text_column).alias("text"))
     return predicted(rows, model).select(
         id_column,

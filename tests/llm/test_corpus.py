@@ -270,6 +270,20 @@ def test_every_language_is_learned(spark):
     assert all(got[i] == lang for i, _, lang in rows)
 
 
+def test_every_text_teaches(spark):
+    """No text is left out, however many a language has, and the words kept are the most
+    frequent of all."""
+    rows = [(k, "aa", f"common w{chr(97 + k % 26)}{'x' * (k % 5)}") for k in range(5_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = learn(docs)
+    counts = Counter(w for _, _, text in rows for w in text.split())
+    for word, n in counts.items():
+        k = model.starts[model.items[0][word]]
+        assert model.gain[k] == pytest.approx(math.log1p(2 * n)), word
+    top = sorted(counts, key=lambda w: (-counts[w], w))[:10]
+    assert sorted(learn(docs, words_per_language=10).items[0]) == sorted(top)
+
+
 def test_one_more_row_changes_nothing_abruptly(spark):
     """The limit of the filter is fitted the same way with few labelled texts as with many."""
     rows = [(k, "the cat and the dog " * (1 + k % 3), "en") for k in range(200)]
