@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from shopgrain import scratch
 from shopgrain.operators import nest_items
-from shopgrain.plans import gold, silver
+from shopgrain.plans import gold, lakehouse, silver
 from shopgrain.registry.common import LOAD_TIME, lake
 from shopgrain.session import fitted_shuffles
 from shopgrain.sinks import write_table
@@ -132,6 +132,32 @@ def test_shuffles_are_fitted_to_the_input(spark, folder, settings):
     assert spark.conf.get(key) == "8"
 
 
+def test_partitions_are_merged_to_what_a_task_can_sort(spark, settings):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    for said, inside in (("256m", str(32 << 20)), ("16k", str(16 << 10))):
+        settings(spark__sql__adaptive__advisoryPartitionSizeInBytes=said)
+        with fitted_shuffles(spark, []):
+            assert spark.conf.get(key) == inside
+        assert spark.conf.get(key) == said
+
+
+def test_fact_is_gathered_by_month_before_it_is_wide(spark, folder, tmp_path, monkeypatch):
+    """One rebalance by month, of rows without measures and constants."""
+    written = {}
+    monkeypatch.setattr(lakehouse, "write_table", lambda df, path, *a, **k: (written.update({path: df}), write_table(df, path, *a, **k)))
+    house = lakehouse.Lakehouse(spark, str(tmp_path))
+    bronze = {n: f(spark, folder) for n, f in (("products", warehouse.products), ("customers", warehouse.customers), ("orders", warehouse.orders))}
+    house.build_silver(bronze, LOAD_TIME)
+    plan = written[house.path("fact_orders")]._jdf.queryExecution().optimizedPlan()
+    gathered = [plan]
+    while gathered[-1].nodeName() != "RebalancePartitions":
+        gathered.append(gathered[-1].children().head())
+    names = gathered[-1].output().mkString(",")
+    assert "order_date" in names and not any(n in names for n in ("revenue", "profit", "load_timestamp"))
+    wanted = silver.order_items(bronze["orders"], house.table("dim_products"), house.table("dim_customers"), LOAD_TIME)
+    assert house.table("fact_orders").exceptAll(wanted).isEmpty() and house.table("fact_orders").count() == wanted.count()
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Session:
         class conf:
