@@ -8,6 +8,7 @@ from .. import scratch
 from ..plans.ingest import Ingest
 from ..plans.lakehouse import Lakehouse
 from ..schemas import BRONZE, PARTITIONING
+from ..session import small_scans
 from ..sinks import write_bronze_json, write_table
 from ..sources import warehouse
 from ..streaming import (
@@ -65,8 +66,10 @@ def fact_upsert(spark, folder):
     house = lake(spark, folder)
     fact = house.table("fact_orders")
     path = scratch.new_path(spark, "fact")
-    write_table(fact.filter("order_date < '2000-01-01'"), path, PARTITIONING["fact_orders"])
-    upsert_orders(spark, path, fact.filter("order_date >= '1999-01-01'"))
+    # The silver fact is kept by month, so its rows come gathered.
+    with small_scans(spark):
+        write_table(fact.filter("order_date < '2000-01-01'"), path, PARTITIONING["fact_orders"], gathered=True)
+    upsert_orders(spark, path, fact.filter("order_date >= '1999-01-01'"), stored=True)
     stored = spark.read.schema(fact.schema).parquet(path).select(fact.columns)
     return plain(stored, "product_key", "customer_key", "load_timestamp", "discount")
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shopgrain import schemas
 from shopgrain.operators import merge_history, open_versions
 from shopgrain.sinks import write_bronze_json, write_table
+from shopgrain.streaming import incremental
 from shopgrain.streaming import (
     current_watermarks,
     filter_since,
@@ -161,3 +162,26 @@ def test_a_new_checkpoint_keeps_earlier_rows(spark, tmp_path):
     load_available(spark, source, target, schemas.BRONZE["orders"], str(tmp_path / "c2"))
     found = rows(spark.read.parquet(target), "id", "date", F.col("ingest_date").cast("string"))
     assert found == [(1, "2024-01-01", "2024-05-02"), (2, "2024-01-01", "2024-05-02")]
+
+
+def test_upsert_moves_only_what_it_must(spark, tmp_path, monkeypatch):
+    """Months that lose all rows or none are not joined, nothing is stored twice, and new
+    items that are stored by month are not moved."""
+    copies, written = [], []
+    copy, write = incremental.scratch.materialized, incremental.write_table
+    monkeypatch.setattr(incremental.scratch, "materialized", lambda df, label: (copies.append(label), copy(df, label))[1])
+    monkeypatch.setattr(incremental, "write_table", lambda df, *a, **k: (written.append((df, k["gathered"])), write(df, *a, **k)))
+    d, m = dt.date, Decimal
+    path, source = str(tmp_path / "fact"), str(tmp_path / "new")
+    write_table(items(spark, ("1", d(2024, 1, 5), "a", m(1)), ("2", d(2024, 2, 5), "a", m(2)), (None, d(2024, 2, 6), "a", m(5))), path, ["year", "month"])
+    write_table(items(spark, ("1", d(2024, 1, 6), "a", m(10)), ("3", d(2024, 2, 7), "b", m(3)), (None, None, "b", m(4))), source, ["year", "month"])
+    new = spark.read.schema(schemas.FACT_ORDERS).parquet(source)
+    for stored in (True, False):
+        upsert_orders(spark, path, new.where("order_id is not null or not " + str(stored).lower()), stored=stored)
+        plan = written[-1][0]._jdf.queryExecution().optimizedPlan().toString()
+        assert written[-1][1] == stored and ("Join" in plan) == (not stored)
+    # The second time February keeps orders and loses one; nothing but new items was copied.
+    assert copies == ["new-items"]
+    assert rows(spark.read.parquet(path), "order_id", "revenue", "month") == [
+        ("1", m("10.00"), 1), ("2", m("2.00"), 2), ("3", m("3.00"), 2), (None, m("4.00"), None), (None, m("5.00"), 2),
+    ]

@@ -158,6 +158,14 @@ def test_fact_is_gathered_by_month_before_it_is_wide(spark, folder, tmp_path, mo
     assert house.table("fact_orders").exceptAll(wanted).isEmpty() and house.table("fact_orders").count() == wanted.count()
 
 
+def test_items_of_an_order_are_neighbours_in_files(house):
+    stored = house.table("fact_orders").select("order_id", F.input_file_name().alias("file"))
+    files = {}
+    for row in stored.collect():
+        files.setdefault(row["file"], []).append(row["order_id"])
+    assert files and all(ids == sorted(ids) for ids in files.values())
+
+
 def test_scratch_needs_a_shared_folder_on_a_cluster():
     class Session:
         class conf:
