@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas, scratch
 from ..functions import RfmThresholds
 from ..operators import merge_history
-from ..session import fitted_shuffles
+from ..session import fitted_shuffles, small_scans
 from ..sinks import write_table
 from ..sources import read_bronze, read_table
 from . import gold, silver
@@ -115,7 +115,8 @@ class Lakehouse:
         Without given bounds the calendar spans the order days of the fact.
         ``inputs`` are the folders behind the frames, for the size of shuffles.
         """
-        with fitted_shuffles(self.spark, inputs):
+        # Items are sorted by order where they are read, which small scans do in memory.
+        with fitted_shuffles(self.spark, inputs), small_scans(self.spark):
             self.build_dimensions(bronze, as_of, history)
             sold = silver.sold_items(
                 bronze["orders"], self.table("dim_products"), self.table("dim_customers"), dedup_orders

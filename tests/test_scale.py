@@ -158,6 +158,14 @@ def test_fact_is_gathered_by_month_before_it_is_wide(spark, folder, tmp_path, mo
     assert house.table("fact_orders").exceptAll(wanted).isEmpty() and house.table("fact_orders").count() == wanted.count()
 
 
+def test_silver_is_built_from_small_scans(spark, folder, tmp_path, monkeypatch):
+    key, seen = "spark.sql.files.maxPartitionBytes", set()
+    before = spark.conf.get(key)
+    monkeypatch.setattr(lakehouse, "write_table", lambda df, *a, **k: (seen.add(spark.conf.get(key)), write_table(df, *a, **k)))
+    lakehouse.Lakehouse(spark, str(tmp_path)).build_silver(warehouse.bronze(spark, folder), LOAD_TIME)
+    assert seen == {str(32 << 20)} and spark.conf.get(key) == before
+
+
 def test_items_of_an_order_are_neighbours_in_files(house):
     stored = house.table("fact_orders").select("order_id", F.input_file_name().alias("file"))
     files = {}
