@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas, scratch
 from ..functions import RfmThresholds
 from ..operators import merge_history
-from ..session import fitted_shuffles, small_scans
+from ..session import fitted_shuffles, small_scans, stored_bytes
 from ..sinks import write_table
 from ..sources import read_bronze, read_table
 from . import gold, silver
@@ -25,6 +25,8 @@ GOLD = (
     "category_analysis",
     "cohort_analysis",
 )
+# Bytes, as stored, of a table of which a join sends a few columns to all tasks.
+_SMALL = 48 * 1024**2
 # What a version of a dimension row says about itself; the rest is tracked.
 _STAMPS = ("effective_date", "expiration_date", "is_current", "load_timestamp")
 _DIMENSIONS = {
@@ -55,6 +57,10 @@ class Lakehouse:
     def exists(self, name: str) -> bool:
         return scratch.exists(self.spark, self.path(name))
 
+    def small(self, *names: str) -> bool:
+        """Whether each of these tables is small enough for every task to hold its keys."""
+        return all(stored_bytes(self.spark, [self.path(n)]) <= _SMALL for n in names)
+
     def _store(self, name: str, df: DataFrame) -> None:
         write_table(df, self.path(name), schemas.PARTITIONING[name])
 
@@ -118,15 +124,12 @@ class Lakehouse:
         # Items are sorted by order where they are read, which small scans do in memory.
         with fitted_shuffles(self.spark, inputs), small_scans(self.spark):
             self.build_dimensions(bronze, as_of, history)
-            sold = silver.sold_items(
-                bronze["orders"], self.table("dim_products"), self.table("dim_customers"), dedup_orders
+            dimensions = ("dim_products", "dim_customers")
+            sold = silver.items_by_month(
+                silver.ordered(bronze["orders"], dedup_orders), *map(self.table, dimensions), self.small(*dimensions)
             )
-            # Gathered by month before measures and constants make the rows wide, and sorted
-            # so that the items of an order are neighbours, of which files hold the most.
-            months = schemas.PARTITIONING["fact_orders"]
-            sold = sold.hint("rebalance", *months).sortWithinPartitions(*months, "order_id")
             fact = silver.measured_items(sold, as_of)
-            write_table(fact, self.path("fact_orders"), months, gathered=True)
+            write_table(fact, self.path("fact_orders"), schemas.PARTITIONING["fact_orders"], gathered=True)
             start, end = calendar or (None, None)
             days = silver.date_dimension(
                 self.spark, start, end, F.col("order_date"), self.table("fact_orders")

@@ -178,6 +178,33 @@ def sold_items(
     return items.withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
 
 
+def items_by_month(
+    orders: DataFrame, products: DataFrame, customers: DataFrame, small: bool
+) -> DataFrame:
+    """What ``sold_items`` gives, of orders as ``ordered`` gives them, gathered by month
+    with the items of an order side by side, which files hold the most of.
+
+    Where the dimensions are ``small`` enough to be sent to all tasks, orders are gathered
+    with their items still nested, and nothing is moved after that. Else items are,
+    before measures and constants make the rows wide.
+    """
+    buyers = customers.filter("is_current").select("customer_id", "customer_key")
+    goods = products.filter("is_current").select("product_id", "product_key", "price", "category")
+    if small:
+        sold = lookup(by_month(orders), F.broadcast(buyers), "customer_id", "inner")
+        items = lookup(_exploded(sold), F.broadcast(goods), "product_id", "inner")
+    else:
+        sold = lookup(orders, buyers, "customer_id", "inner")
+        items = by_month(lookup(_exploded(sold), goods, "product_id", "inner"))
+    return items.sortWithinPartitions(*schemas.PARTITIONING["fact_orders"], "order_id")
+
+
+def by_month(rows: DataFrame) -> DataFrame:
+    """Rows gathered by the month of their order."""
+    dated = rows.withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
+    return dated.hint("rebalance", *schemas.PARTITIONING["fact_orders"])
+
+
 def measured_items(items: DataFrame, as_of: When = None) -> DataFrame:
     """``fact_orders`` from ``sold_items``."""
     revenue, cost, profit = line_metrics(F.col("quantity"), F.col("price"))
@@ -194,18 +221,30 @@ def measured_items(items: DataFrame, as_of: When = None) -> DataFrame:
     return stamped.select(schemas.FACT_ORDERS.names)
 
 
-def delivered_orders(orders: DataFrame) -> DataFrame:
-    """The last delivery of each order, with the day and the file it came in."""
-    return _ordered_items(orders, True, *_DELIVERY)
+def ordered(orders: DataFrame, dedup: bool = False) -> DataFrame:
+    """Orders with typed columns and their items, of every delivery or of the last one."""
+    return _ordered_items(orders, dedup)
+
+
+def delivered_orders(orders: DataFrame, dedup: bool = True) -> DataFrame:
+    """The last delivery of each order, or every one, with the day and the file it came in."""
+    return _ordered_items(orders, dedup, *_DELIVERY)
 
 
 def tagged_items(
-    orders: DataFrame, products: DataFrame, customers: DataFrame, as_of: When = None
+    orders: DataFrame,
+    products: DataFrame,
+    customers: DataFrame,
+    as_of: When = None,
+    small: bool = False,
 ) -> DataFrame:
     """Every item of ``delivered_orders``: columns of the fact, and as ``reason`` why an item
-    is none of it, null if it is. Items of unknown products have no price."""
+    is none of it, null if it is. Items of unknown products have no price. Dimensions that
+    are ``small`` are sent to all tasks."""
     buyers = customers.filter("is_current").select("customer_id", "customer_key")
     goods = products.filter("is_current").select("product_id", "product_key", "price", "category")
+    if small:
+        buyers, goods = F.broadcast(buyers), F.broadcast(goods)
     items = lookup(_exploded(lookup(orders, buyers, "customer_id")), goods, "product_id")
     revenue, cost, profit = line_metrics(F.col("quantity"), F.col("price"))
     reason = F.when(F.col("product_key").isNull(), "unknown product").when(

@@ -199,3 +199,31 @@ def test_scratch_uses_the_shared_folder(spark):
     assert path != scratch.new_path(spark, "x")
     if shared:
         assert path.startswith(shared)
+
+
+def test_orders_are_gathered_with_their_items_nested(spark, folder, tmp_path):
+    """Where dimensions are small, orders move and their items do not."""
+    house = lakehouse.Lakehouse(spark, str(tmp_path))
+    house.build_dimensions({n: f(spark, folder) for n, f in (("products", warehouse.products), ("customers", warehouse.customers))})
+    goods, people = house.table("dim_products"), house.table("dim_customers")
+    orders = scratch.materialize(silver.ordered(warehouse.orders(spark, folder)), "orders")
+    assert house.small("dim_products", "dim_customers")
+    found = []
+    for small in (True, False):
+        items = silver.items_by_month(orders, goods, people, small)
+        text = items._jdf.queryExecution().optimizedPlan().toString()
+        assert (text.index("Generate explode") < text.index("RebalancePartitions")) is small
+        found.append(silver.measured_items(items, LOAD_TIME))
+    assert executed(found[0]).count("Exchange hashpartitioning") == 1
+    assert found[0].exceptAll(found[1]).isEmpty() and found[0].count() == found[1].count() > 0
+
+
+def test_shuffle_files_go_with_their_job(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    groups = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with fitted_shuffles(spark, []):
+        assert spark.conf.get(key) == "true"
+        # A frame that is asked again finds its shuffle gone, and makes it anew.
+        assert sorted(groups.collect()) == sorted(groups.collect())
+    assert spark.conf.get(key) == before and groups.count() == 7
