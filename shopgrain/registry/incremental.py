@@ -8,7 +8,7 @@ from .. import scratch
 from ..plans.ingest import Ingest
 from ..plans.lakehouse import Lakehouse
 from ..schemas import BRONZE, PARTITIONING
-from ..session import small_scans
+from ..session import fitted_shuffles, small_scans
 from ..sinks import write_bronze_json, write_table
 from ..sources import warehouse
 from ..streaming import (
@@ -104,12 +104,18 @@ def daily_run(spark, folder):
     """The fact brought up to date day by day: everything on the first day, on the
     second the orders of 2001 again with another status; both days asked for twice."""
     root, lake_root = scratch.new_path(spark, "daily-bronze"), scratch.new_path(spark, "daily-lake")
-    orders = warehouse.orders(spark, folder)
-    write_bronze_json(orders, f"{root}/orders", F.lit("2001-08-01").cast("date"))
-    again = orders.filter("date >= '2001-01-01'").withColumn("status", F.lit("again"))
-    write_bronze_json(again, f"{root}/orders", F.lit("2001-08-02").cast("date"))
+    with (
+        fitted_shuffles(spark, warehouse.paths(folder)),
+        small_scans(spark),
+        scratch.materialized(warehouse.orders(spark, folder), "order-documents") as orders,
+    ):
+        again = orders.filter("date >= '2001-01-01'").withColumn("status", F.lit("again"))
+        # Of one day each, so nothing is moved to gather them.
+        write_bronze_json(orders, f"{root}/orders", F.lit("2001-08-01").cast("date"), gathered=True, compression="gzip")
+        write_bronze_json(again, f"{root}/orders", F.lit("2001-08-02").cast("date"), gathered=True, compression="gzip")
     house = Lakehouse(spark, lake_root)
-    house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
+    with fitted_shuffles(spark, warehouse.paths(folder)):
+        house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
     loads = Ingest(house, root)
     for day in ("2001-08-01", "2001-08-01", "2001-08-02", "2001-08-02"):
         loads.load("orders", LOAD_TIME, day)
@@ -122,10 +128,11 @@ from ({FACT_SQL})
 """
 
 
-def _deliver(df, root, table, day, part=""):
+def _deliver(folder, df, root, table, day, part=""):
     """Documents of a table in the folder of a day, or of a part of it that sorts later."""
     path = f"{root}/{table}/ingest_date={day}{part}"
-    df.repartition(2).write.mode("append").json(path)
+    with fitted_shuffles(df.sparkSession, warehouse.paths(folder)), small_scans(df.sparkSession):
+        df.write.mode("append").json(path, compression="gzip")
 
 
 def _delivered(spark, folder, root):
@@ -135,20 +142,23 @@ def _delivered(spark, folder, root):
     copies of those since 2000, and a file with the orders of 2001 under another status in
     the folder of a day that is loaded by then. A third of the events comes twice."""
     bronze = warehouse.bronze(spark, folder)
-    products, customers, orders, events = (bronze[n] for n in ("products", "customers", "orders", "events"))
+    products, customers, events = (bronze[n] for n in ("products", "customers", "events"))
+    with fitted_shuffles(spark, warehouse.paths(folder)), small_scans(spark):
+        # Put together once for all deliveries.
+        orders = scratch.materialize(bronze["orders"], "order-documents")
     brand = F.col("description") == "Brand#2"
-    _deliver(products.filter(~brand), root, "products", "2001-08-01")
-    _deliver(customers, root, "customers", "2001-08-01")
-    _deliver(orders.filter("date >= '1998-01-01'"), root, "orders", "2001-08-02")
+    _deliver(folder, products.filter(~brand), root, "products", "2001-08-01")
+    _deliver(folder, customers, root, "customers", "2001-08-01")
+    _deliver(folder, orders.filter("date >= '1998-01-01'"), root, "orders", "2001-08-02")
     half = F.col("event_id").cast("long") % 3
-    _deliver(events.filter(half != 0), root, "events", "2001-08-02")
+    _deliver(folder, events.filter(half != 0), root, "events", "2001-08-02")
     yield
-    _deliver(products.filter(brand), root, "products", "2001-08-03")
+    _deliver(folder, products.filter(brand), root, "products", "2001-08-03")
     old = orders.filter("date >= '2000-01-01'").withColumn("status", F.lit("outdated"))
-    _deliver(orders.filter("date < '1998-01-01'").unionByName(old), root, "orders", "2001-08-01")
+    _deliver(folder, orders.filter("date < '1998-01-01'").unionByName(old), root, "orders", "2001-08-01")
     again = orders.filter("date >= '2001-01-01'").withColumn("status", F.lit("again"))
-    _deliver(again, root, "orders", "2001-08-02", "/zz-added")
-    _deliver(events.filter(half != 1), root, "events", "2001-08-01")
+    _deliver(folder, again, root, "orders", "2001-08-02", "/zz-added")
+    _deliver(folder, events.filter(half != 1), root, "events", "2001-08-01")
     yield
     yield
 
@@ -207,7 +217,8 @@ def stream_fact(spark, folder):
     house = Lakehouse(spark, scratch.new_path(spark, "stream-lake"))
     loads = Ingest(house, root)
     checks = {n: scratch.new_path(spark, f"{n}-check") for n in ("orders", "events")}
-    house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
+    with fitted_shuffles(spark, warehouse.paths(folder)):
+        house.build_dimensions(warehouse.bronze(spark, folder), LOAD_TIME)
     for _ in _delivered(spark, folder, root):
         for name, checkpoint in checks.items():
             loads.stream(name, checkpoint, LOAD_TIME)
@@ -224,11 +235,11 @@ def rejects_replayed(spark, folder):
     bronze = warehouse.bronze(spark, folder)
     brand = F.col("description")
     debtors = warehouse.table(spark, folder, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("id"))
-    _deliver(bronze["products"].filter(~brand.isin("Brand#2", "Brand#3")), root, "products", "2001-08-01")
-    _deliver(bronze["customers"].join(debtors, "id", "left_anti"), root, "customers", "2001-08-01")
-    _deliver(bronze["orders"], root, "orders", "2001-08-01")
+    _deliver(folder, bronze["products"].filter(~brand.isin("Brand#2", "Brand#3")), root, "products", "2001-08-01")
+    _deliver(folder, bronze["customers"].join(debtors, "id", "left_anti"), root, "customers", "2001-08-01")
+    _deliver(folder, bronze["orders"], root, "orders", "2001-08-01")
     loads.load_all(LOAD_TIME)
-    _deliver(bronze["products"].filter(brand == "Brand#2"), root, "products", "2001-08-02")
+    _deliver(folder, bronze["products"].filter(brand == "Brand#2"), root, "products", "2001-08-02")
     for _ in range(2):
         loads.load_all(LOAD_TIME)
     columns = ["order_id", "product_id", "quantity", "order_date"]
